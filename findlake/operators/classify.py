@@ -16,8 +16,6 @@ from findlake.functions import basename, dirname, path_excluded
 from findlake.model import TOOLS
 from findlake.operators.normalize import well_formed
 
-PATH = F.col("path")
-CONTENT = F.col("content")
 
 # --- fixed values: how files are recognised --------------------------------------------------
 DOCKERFILE_NAMES = ["Dockerfile", "dockerfile", "Containerfile"]
@@ -52,16 +50,16 @@ def _has(text: Column, part: str) -> Column:
 
 
 def is_loose_template() -> Column:
-    head = F.substring(CONTENT, 1, LOOSE_TEMPLATE_CHARS)
+    head = F.substring(F.col("content"), 1, LOOSE_TEMPLATE_CHARS)
     marked = _has(head, "AWSTemplateFormatVersion") | _has(head, "AWS::")
-    return F.coalesce(_ends(F.lower(PATH), *LOOSE_TEMPLATE_SUFFIXES) & F.col("read_ok") & marked, F.lit(False))
+    return F.coalesce(_ends(F.lower("path"), *LOOSE_TEMPLATE_SUFFIXES) & F.col("read_ok") & marked, F.lit(False))
 
 
 def is_strict_template() -> Column:
     """Template by path (substring exclusions and all), case-sensitive suffix and markers."""
-    named = ~F.lower(PATH).rlike("|".join(re.escape(part) for part in NOT_TEMPLATE_PATHS))
-    suffix = PATH.rlike(r"[^/]\.(template|yaml|yml|json)$")
-    head = F.substring(CONTENT, 1, STRICT_TEMPLATE_CHARS)
+    named = ~F.lower("path").rlike("|".join(re.escape(part) for part in NOT_TEMPLATE_PATHS))
+    suffix = F.col("path").rlike(r"[^/]\.(template|yaml|yml|json)$")
+    head = F.substring(F.col("content"), 1, STRICT_TEMPLATE_CHARS)
     resources = _has(head, '"Resources"') | _has(head, "Resources:")
     other = (_has(head, '"dependencies"') & _has(head, '"name"')) | _has(head, '"compilerOptions"')
     marked = ~other & (_has(head, "AWSTemplateFormatVersion") | (_has(head, "AWS::") & resources))
@@ -69,14 +67,14 @@ def is_strict_template() -> Column:
 
 
 def is_dockerfile() -> Column:
-    name = basename(PATH)
+    name = basename(F.col("path"))
     return name.isin(DOCKERFILE_NAMES) | name.startswith("Dockerfile.")
 
 
 def has_cdk_dependency() -> Column:
     """A root package.json naming an aws-cdk package; unreadable JSON does not."""
     deps = F.from_json(
-        F.when(PATH == "package.json", CONTENT),
+        F.when(F.col("path") == "package.json", F.col("content")),
         "dependencies map<string,string>, devDependencies map<string,string>",
         {"allowSingleQuotes": "false"},
     )
@@ -85,20 +83,20 @@ def has_cdk_dependency() -> Column:
         F.coalesce(F.map_keys(deps.dependencies), empty), F.coalesce(F.map_keys(deps.devDependencies), empty)
     )
     return F.coalesce(
-        (PATH == "package.json") & well_formed(CONTENT) & F.exists(names, lambda n: _has(n, "aws-cdk")),
+        (F.col("path") == "package.json") & well_formed(F.col("content")) & F.exists(names, lambda n: _has(n, "aws-cdk")),
         F.lit(False),
     )
 
 
 def framework_flags() -> dict[str, Column]:
     return {
-        "terraform": _ends(PATH, ".tf"),
+        "terraform": _ends(F.col("path"), ".tf"),
         "cloudformation": is_loose_template(),
-        "cdk": (PATH == "cdk.json") | has_cdk_dependency(),
-        "npm": PATH == "package.json",
-        "python": _ends(PATH, ".py"),
-        "typescript": _ends(PATH, ".ts", ".tsx") | (PATH == "tsconfig.json"),
-        "javascript": _ends(PATH, ".js", ".jsx"),
+        "cdk": (F.col("path") == "cdk.json") | has_cdk_dependency(),
+        "npm": F.col("path") == "package.json",
+        "python": _ends(F.col("path"), ".py"),
+        "typescript": _ends(F.col("path"), ".ts", ".tsx") | (F.col("path") == "tsconfig.json"),
+        "javascript": _ends(F.col("path"), ".js", ".jsx"),
         "container": is_dockerfile(),
     }
 
@@ -120,12 +118,12 @@ def applicable_scanners(flags: DataFrame) -> DataFrame:
 
 def file_counts(files: DataFrame) -> DataFrame:
     kinds = {
-        "terraform": _ends(PATH, ".tf"),
-        "python": _ends(PATH, ".py"),
-        "javascript": _ends(PATH, ".js"),
-        "typescript": _ends(PATH, ".ts"),
-        "yaml": _ends(PATH, ".yaml", ".yml"),
-        "json": _ends(PATH, ".json"),
+        "terraform": _ends(F.col("path"), ".tf"),
+        "python": _ends(F.col("path"), ".py"),
+        "javascript": _ends(F.col("path"), ".js"),
+        "typescript": _ends(F.col("path"), ".ts"),
+        "yaml": _ends(F.col("path"), ".yaml", ".yml"),
+        "json": _ends(F.col("path"), ".json"),
     }
     return files.groupBy("scan_id").agg(*[F.count_if(c).alias(n) for n, c in kinds.items()])
 
@@ -134,30 +132,30 @@ def cfn_templates(files: DataFrame) -> DataFrame:
     """Strict templates with their place in the search order (by suffix)."""
     order = F
     for rank, suffix in enumerate(STRICT_TEMPLATE_SUFFIXES):
-        order = order.when(PATH.endswith(suffix), rank)
+        order = order.when(F.col("path").endswith(suffix), rank)
     return files.where(is_strict_template()).select("scan_id", "path", order.alias("ext_rank"))
 
 
 def dockerfiles(files: DataFrame, patterns: Sequence[str]) -> DataFrame:
     """Dockerfiles whose directory is not excluded."""
-    return files.where(is_dockerfile() & ~path_excluded(dirname(PATH), patterns)).select("scan_id", "path")
+    return files.where(is_dockerfile() & ~path_excluded(dirname(F.col("path")), patterns)).select("scan_id", "path")
 
 
 def audit_targets(files: DataFrame, patterns: Sequence[str]) -> DataFrame:
-    named = basename(PATH) == "package.json"
-    return files.where(named & ~path_excluded(PATH, patterns)).select("scan_id", "path")
+    named = basename(F.col("path")) == "package.json"
+    return files.where(named & ~path_excluded(F.col("path"), patterns)).select("scan_id", "path")
 
 
 def dependency_manifests(files: DataFrame) -> DataFrame:
-    return files.where(PATH.rlike(r"^requirements[^/]*\.txt$")).select("scan_id", "path")
+    return files.where(F.col("path").rlike(r"^requirements[^/]*\.txt$")).select("scan_id", "path")
 
 
 def pylint_targets(files: DataFrame, patterns: Sequence[str]) -> DataFrame:
-    return files.where(_ends(PATH, ".py") & ~path_excluded(PATH, patterns)).select("scan_id", "path")
+    return files.where(_ends(F.col("path"), ".py") & ~path_excluded(F.col("path"), patterns)).select("scan_id", "path")
 
 
 def npm_applicable(files: DataFrame) -> DataFrame:
-    any_target = (basename(PATH) == "package.json") | _ends(PATH, ".tf", ".yaml", ".yml", ".json", ".template")
+    any_target = (basename(F.col("path")) == "package.json") | _ends(F.col("path"), ".tf", ".yaml", ".yml", ".json", ".template")
     return files.groupBy("scan_id").agg(F.bool_or(any_target).alias("npm_applicable"))
 
 
@@ -170,14 +168,14 @@ def tool_plan(files: DataFrame, config: Mapping, patterns: Sequence[str]) -> Dat
         F.bool_or(detected["cloudformation"]).alias("cfn_loose"),
         F.bool_or(is_strict_template()).alias("cfn_strict"),
         F.bool_or(detected["python"]).alias("python"),
-        F.bool_or(PATH.rlike(r"^requirements[^/]*\.txt$")).alias("manifest"),
-        F.bool_or(_ends(PATH, ".py") & ~path_excluded(PATH, patterns)).alias("pylint_target"),
-        F.bool_or((basename(PATH) == "package.json") & ~path_excluded(PATH, patterns)).alias("audit_target"),
+        F.bool_or(F.col("path").rlike(r"^requirements[^/]*\.txt$")).alias("manifest"),
+        F.bool_or(_ends(F.col("path"), ".py") & ~path_excluded(F.col("path"), patterns)).alias("pylint_target"),
+        F.bool_or((basename(F.col("path")) == "package.json") & ~path_excluded(F.col("path"), patterns)).alias("audit_target"),
         F.bool_or(
-            (basename(PATH) == "package.json") | _ends(PATH, ".tf", ".yaml", ".yml", ".json", ".template")
+            (basename(F.col("path")) == "package.json") | _ends(F.col("path"), ".tf", ".yaml", ".yml", ".json", ".template")
         ).alias("npm_target"),
-        F.bool_or(PATH.endswith(".template")).alias("template_file"),
-        F.bool_or(is_dockerfile() & ~path_excluded(dirname(PATH), patterns)).alias("image_target"),
+        F.bool_or(F.col("path").endswith(".template")).alias("template_file"),
+        F.bool_or(is_dockerfile() & ~path_excluded(dirname(F.col("path")), patterns)).alias("image_target"),
     )
     needs = {
         "terraform": F.col("terraform"),
