@@ -18,8 +18,9 @@ from findlake.operators.remediation import BANDIT_ADVICE
 from findlake.operators.secrets import redact, secret_lines
 from findlake.plans import report
 from findlake.plans.scan_flow import normalize_all, normalize_tool, run_scans
+from findlake.session import materialize
 from findlake.sources.config import POLICY_CONFIG, config_check, config_value, lookup
-from findlake.sources.reports import report_line_counts
+from findlake.sources.reports import lay_out_by_tool, report_line_counts
 from findlake.streaming import arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -431,14 +432,16 @@ def report_parse_errors(spark, sf):
 @query
 def union_findings(spark, sf):
     """All tools and the secrets scan together, with their policies."""
-    found = normalize_all(inputs.raw_reports(spark, sf), inputs.files(spark, sf), POLICY_CONFIG)
+    raw = lay_out_by_tool(inputs.raw_reports(spark, sf))
+    found = normalize_all(raw, inputs.files(spark, sf), POLICY_CONFIG)
     return found.select("scan_id", "tool", "severity", "rule_id", "title", "file_path", "line_number", "resource")
 
 
 @query
 def scan_flow(spark, sf):
     """The whole flow: raw reports and files to the gate of each scan."""
-    result = run_scans(inputs.raw_reports(spark, sf), inputs.files(spark, sf), inputs.scans(spark, sf), POLICY_CONFIG)
+    raw = lay_out_by_tool(inputs.raw_reports(spark, sf))
+    result = run_scans(raw, inputs.files(spark, sf), inputs.scans(spark, sf), POLICY_CONFIG)
     figures = result.summary.select("scan_id", "total_findings", "total_raw_findings", "critical", "high", "unique_files")
     return result.status.join(figures, "scan_id")
 
@@ -480,15 +483,16 @@ def config_check_keys(spark, sf):
 
 
 def reported(spark, sf):
+    """Deduplicated findings, written once for all the parts of a report, and the summary."""
     found = inputs.findings(spark, sf)
     scans = inputs.scans(spark, sf).drop("fail_on", "errored")
-    return aggregate.deduplicate(found), aggregate.summarize(found, scans)
+    kept = materialize(aggregate.deduplicate(found), "reported")
+    return kept, aggregate.summary_of(kept, found, scans, True)
 
 
-def status(spark, sf):
+def status(spark, sf, kept):
     scans = inputs.scans(spark, sf)
-    gated = aggregate.gate(aggregate.deduplicate(inputs.findings(spark, sf)), scans)
-    return report.report_status(gated, scans)
+    return report.report_status(aggregate.gate(kept, scans), scans)
 
 
 @query
@@ -519,12 +523,14 @@ def report_readback(spark, sf):
 
 @query
 def ci_outputs(spark, sf):
-    return report.ci_outputs(reported(spark, sf)[1], status(spark, sf))
+    kept, summary = reported(spark, sf)
+    return report.ci_outputs(summary, status(spark, sf, kept))
 
 
 @query
 def ci_summary(spark, sf):
-    return report.ci_summary(*reported(spark, sf), status(spark, sf))
+    kept, summary = reported(spark, sf)
+    return report.ci_summary(kept, summary, status(spark, sf, kept))
 
 
 @query

@@ -60,12 +60,10 @@ EMOJI = {
 # ---------------------------------------------------------------------------------------------
 
 
-def _lookup(key: Column, table: dict[str, str], default: str) -> Column:
-    """CASE over a small fixed table: stays inside generated code, NULL takes the default."""
-    case = F
-    for word, value in table.items():
-        case = case.when(key == word, value)
-    return case.otherwise(default)
+def _lookup(key: Column, table: dict, default: str | int) -> Column:
+    """Value of a small fixed table; other keys and NULL take the default."""
+    pairs = F.create_map(*[F.lit(part) for pair in table.items() for part in pair])
+    return F.coalesce(F.element_at(pairs, key), F.lit(default))
 
 
 def severity_from_string(word: Column) -> Column:
@@ -97,10 +95,7 @@ def checkov_severity(own: Column, check_name: Column, terraform: bool) -> Column
 
 def severity_rank(severity: Column) -> Column:
     """INFO 0 up to CRITICAL 4; unknown words count as INFO."""
-    case = F
-    for rank, level in enumerate(SEVERITIES):
-        case = case.when(severity == level, rank)
-    return case.otherwise(0)
+    return _lookup(severity, {level: rank for rank, level in enumerate(SEVERITIES)}, 0)
 
 
 def sarif_level(severity: Column) -> Column:

@@ -116,23 +116,39 @@ def scan_status(gated: DataFrame, errors: DataFrame) -> DataFrame:
 
 def summarize(findings: DataFrame, scans: DataFrame, deduplicate_findings: bool = True) -> DataFrame:
     """One row per scan with all the figures of a report; scans without findings included."""
-    kept = deduplicate(findings, deduplicate_findings)
+    return summary_of(deduplicate(findings, deduplicate_findings), findings, scans, deduplicate_findings)
+
+
+def summary_of(reported: DataFrame, findings: DataFrame, scans: DataFrame, deduplicated: bool) -> DataFrame:
+    """The same when the reported findings are at hand. Counts by level, counts by tool and the
+    order of the tools come from one aggregation by (scan, tool)."""
+    levels = [s.lower() for s in SEVERITIES_DESC]
+    per_tool = reported.groupBy("scan_id", "tool").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min("seq").alias("_first"),
+        *[F.count_if(F.col("severity") == s).alias(s.lower()) for s in SEVERITIES_DESC],
+    )
+    # One entry per tool: the list is as long as the tool registry at most.
+    entry = F.struct("_first", "tool", F.col("_n").alias("findings"))
+    per_scan = per_tool.groupBy("scan_id").agg(
+        *[F.sum(level).alias(level) for level in levels],
+        F.sum("_n").alias("total_findings"),
+        F.array_sort(F.collect_list(entry)).alias("_tools"),
+    )
     raw = findings.groupBy("scan_id").agg(F.count(F.lit(1)).alias("total_raw_findings"))
-    empty_list = F.array().cast("array<string>")
-    figures = [s.lower() for s in SEVERITIES_DESC] + ["total_findings", "total_raw_findings", "unique_files"]
     joined = (
-        scans.join(severity_counts(kept), "scan_id", "left")
-        .join(unique_files(kept), "scan_id", "left")
-        .join(scanners_run(kept), "scan_id", "left")
+        scans.join(per_scan, "scan_id", "left")
+        .join(unique_files(reported), "scan_id", "left")
         .join(raw, "scan_id", "left")
-        .withColumn("total_findings", sum((F.col(s.lower()) for s in SEVERITIES), F.lit(0)))
+        .withColumn("_tools", F.coalesce("_tools", F.array().cast(per_scan.schema["_tools"].dataType)))
     )
+    figures = [*levels, "total_findings", "total_raw_findings", "unique_files"]
     return joined.select(
         *scans.columns,
         *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in figures],
-        F.coalesce("scanners_run", empty_list).alias("scanners_run"),
-        F.coalesce("by_tool", F.array().cast("array<struct<tool:string,findings:bigint>>")).alias("by_tool"),
-        F.lit(deduplicate_findings).alias("deduplication_enabled"),
+        F.transform("_tools", lambda t: t.tool).alias("scanners_run"),
+        F.transform("_tools", lambda t: F.struct(t.tool.alias("tool"), t.findings.alias("findings"))).alias("by_tool"),
+        F.lit(deduplicated).alias("deduplication_enabled"),
     )
 
 

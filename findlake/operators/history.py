@@ -36,15 +36,25 @@ def trend(scan_counts: DataFrame) -> DataFrame:
     """Change of the findings count against the previous scan of the repository.
 
     ``scan_counts`` has (repository, scan_ts, scan_id, findings), one row per scan. Scans are
-    numbered in time order by buckets and each joins its predecessor by number, so a repository
-    with very many scans is not one task, as it would be with ``lag``.
+    numbered in time order by buckets, and each hands its count to the next number, so a
+    repository with very many scans is not one task, as it would be with ``lag``.
     """
     timed = scan_counts.withColumn("_micros", F.unix_micros("scan_ts"))
     ordered = numbered(timed, ["repository"], "_micros", "run", ties=["scan_id"])
-    previous = ordered.select("repository", (F.col("run") + 1).alias("run"), F.col("findings").alias("previous"))
-    return ordered.join(previous, ["repository", "run"], "left").select(
-        "repository", "run", "scan_id", "findings", "previous", (F.col("findings") - F.col("previous")).alias("change")
+    none = F.lit(None)
+    own = F.struct("run", "scan_id", "findings", none.cast("bigint").alias("previous"))
+    handed = F.struct(
+        (F.col("run") + 1).alias("run"),
+        none.cast("string").alias("scan_id"),
+        none.cast("bigint").alias("findings"),
+        F.col("findings").alias("previous"),
     )
+    met = (
+        ordered.select("repository", F.inline(F.array(own, handed)))
+        .groupBy("repository", "run")
+        .agg(*[F.max(c).alias(c) for c in ("scan_id", "findings", "previous")])
+    )
+    return met.where("scan_id is not null").withColumn("change", F.col("findings") - F.col("previous"))
 
 
 def by_layer(findings: DataFrame) -> DataFrame:

@@ -58,11 +58,13 @@ def json_object(plain: Mapping[str, Column], raw: Mapping[str, Column] | None =
 
 
 def exploded(raw: DataFrame, entries: Column, *names: str) -> DataFrame:
-    """One row per entry of a well-formed report, with the report's number and target."""
+    """One row per entry of a well-formed report, with the report's number and target, and any
+    column of ``raw`` that starts with an underscore."""
     return raw.where(well_formed(F.col("stdout"))).select(
         "scan_id",
         F.col("seq").alias("_report"),
         F.col("target").alias("_target"),
+        *[c for c in raw.columns if c.startswith("_")],
         F.posexplode(entries).alias("_pos", *names),
     )
 
@@ -478,12 +480,13 @@ def snyk_iac_template(raw: DataFrame) -> DataFrame:
 def trivy_container(raw: DataFrame, image_prefix: str = "scan-") -> DataFrame:
     """``target`` is the Dockerfile; the image is named after its directory."""
     doc = parse("stdout", "Results array<struct<Target: string, Type: string, Vulnerabilities: array<string>>>")
+    named = raw.withColumn("_image", image_tag(dirname(F.col("target")), image_prefix))  # once per report
     rows = read(
-        child_results(raw, children_of(doc.Results, "Vulnerabilities", "Target", "Type")),
+        child_results(named, children_of(doc.Results, "Vulnerabilities", "Target", "Type")),
         "VulnerabilityID string, PkgName string, InstalledVersion string, FixedVersion string, Severity string, "
         "Description string, References string, CVSS string",
     )
-    image = image_tag(dirname(F.col("_target")), image_prefix)
+    image = F.col("_image")
     rule, package = default("VulnerabilityID", "UNKNOWN"), default("PkgName", "")
     installed, fixed = truthy(F.col("InstalledVersion")), truthy(F.col("FixedVersion"))
     target, kind = F.coalesce("_child.Target", image), truthy(F.col("_child.Type"))

@@ -12,6 +12,7 @@ from findlake.model import TOOLS, Tool
 from findlake.operators import aggregate, classify, policy
 from findlake.operators.normalize import NORMALIZERS, bandit, pylint, trivy_container
 from findlake.operators.secrets import scan_secrets
+from findlake.session import materialize
 from findlake.sources.config import lookup
 
 
@@ -68,10 +69,15 @@ def run_scans(
     raw: DataFrame, files: DataFrame | None, scans: DataFrame, config: Mapping[str, Any], fail_on: str | None = None
 ) -> ScanResult:
     """``scans`` has (scan_id, repository, branch, scan_timestamp, errored) and may have
-    ``fail_on``; a given ``fail_on`` beats it, and the configuration is the last resort."""
-    findings = normalize_all(raw, files, config)
+    ``fail_on``; a given ``fail_on`` beats it, and the configuration is the last resort.
+
+    Findings, and what is left of them after dedup, are written to the shared folder once: the
+    reports are parsed once, however many summaries, gates and documents read the result.
+    ``raw`` should be laid out by tool (see ``lay_out_by_tool``).
+    """
     dedup = lookup(config, "aggregation.deduplicate", True)
-    reported = aggregate.deduplicate(findings, dedup)
+    findings = materialize(normalize_all(raw, files, config), "findings", ["tool"])
+    reported = materialize(aggregate.deduplicate(findings), "reported") if dedup else findings
     default_gate = F.lit(lookup(config, "severity.fail_on", "HIGH"))
     if fail_on is not None:
         level = F.lit(fail_on)
@@ -83,4 +89,4 @@ def run_scans(
     gated = aggregate.gate(reported, gates)
     status = aggregate.scan_status(gated, scans).join(gated.select("scan_id", "fail_on"), "scan_id")
     facts = scans.select("scan_id", "repository", "branch", "scan_timestamp")
-    return ScanResult(findings, reported, aggregate.summarize(findings, facts, dedup), status)
+    return ScanResult(findings, reported, aggregate.summary_of(reported, findings, facts, dedup), status)

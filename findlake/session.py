@@ -48,4 +48,4 @@ def materialize(df: DataFrame, purpose: str, partition_by: list[str] | None = No
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(df.columns)
