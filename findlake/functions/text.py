@@ -44,8 +44,9 @@ def location(file_path: Column, line_number: Column, zero_line: bool = False) ->
 
 
 def sarif_rule_name(title: Column) -> Column:
-    """A title as an identifier of at most 128 characters."""
-    name = F.regexp_replace(title, r"[^\p{L}\p{N}_]", "_")
+    """A title as an identifier of at most 128 characters. Characters are replaced one for one,
+    so those beyond the limit need no look."""
+    name = F.regexp_replace(F.substring(title, 1, 128), r"[^\p{L}\p{N}_]", "_")
     name = F.when(name.rlike(r"^\p{Nd}"), F.concat(F.lit("_"), name)).otherwise(name)
     return F.when(truthy(title).isNull(), "unknown").otherwise(F.substring(name, 1, 128))
 
