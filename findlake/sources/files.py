@@ -1,27 +1,91 @@
-"""File inventory: a lake folder with one directory per scan becomes the ``files`` table."""
+"""File inventory: a folder with one directory per scan becomes the ``files`` table.
+
+Spark's own file sources pass over empty files and over names that start with a dot or an
+underscore, so ``__init__.py``, ``.env`` or ``.github/`` would be missing from the inventory.
+The folder is therefore walked by tasks: each round lists the directories found by the round
+before, and the files are then read in parallel, spread by path. The driver sees no names.
+"""
 
 from __future__ import annotations
 
+import fnmatch
+import os
+from collections.abc import Iterator
+
+import pandas as pd
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from findlake.session import materialize
+
+# Texts are handed back to Spark in batches of about this many characters.
+BATCH_CHARS = 16 << 20
+
+
+def open_folder(root: str) -> tuple[pafs.FileSystem, str]:
+    """File system and path of a folder, local or shared, from a path or URI."""
+    filesystem, path = pafs.FileSystem.from_uri(root.replace("s3a://", "s3://", 1))
+    return filesystem, path.rstrip("/")
+
+
+def _entries(filesystem: pafs.FileSystem, folder: str) -> Iterator[tuple[str, bool]]:
+    local = isinstance(filesystem, pafs.LocalFileSystem)
+    for info in filesystem.get_file_info(pafs.FileSelector(folder, allow_not_found=True)):
+        is_folder = info.type == pafs.FileType.Directory
+        if not (is_folder and local and os.path.islink(info.path)):  # links to folders are not followed
+            yield info.path, is_folder
 
-def read_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
+
+def walk_files(spark: SparkSession, root: str) -> DataFrame:
+    """(full_path): every file below ``root``, hidden and empty ones included."""
+
+    def list_folders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        filesystem, _ = open_folder(root)
+        for batch in batches:
+            for folder in batch["full_path"]:
+                yield pd.DataFrame(list(_entries(filesystem, folder)), columns=["full_path", "is_folder"])
+
+    found = None
+    folders = spark.range(1).select(F.lit(open_folder(root)[1]).alias("full_path"))
+    while not folders.isEmpty():
+        listing = folders.repartition("full_path").mapInPandas(list_folders, "full_path string, is_folder boolean")
+        entries = materialize(listing, "listing")
+        files = entries.where("not is_folder").select("full_path")
+        found = files if found is None else found.unionByName(files)
+        folders = entries.where("is_folder").select("full_path")
+    return found
+
+
+def read_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     """``root/<scan_id>/<path>`` as (scan_id, repo, path, content, read_ok).
 
-    Files that are not UTF-8 are kept with ``read_ok`` false. ``glob`` limits the listing by
-    file name; a plan that needs no content does not read any.
+    Whole contents; files that cannot be read or are not UTF-8 are kept with ``read_ok`` false.
+    ``glob`` limits the files by name.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    base = root.rstrip("/") + "/"
-    inside = F.substring_index(F.col("path"), base, -1)
-    text = F.try_validate_utf8(F.col("content").cast("string"))
-    return reader.load(root).select(
-        F.substring_index(inside, "/", 1).alias("scan_id"),
-        F.substring_index(inside, "/", 1).alias("repo"),
-        F.regexp_replace(inside, "^[^/]*/", "").alias("path"),
-        text.alias("content"),
-        text.isNotNull().alias("read_ok"),
-    )
+    base = open_folder(root)[1]
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        filesystem, _ = open_folder(root)
+        rows, chars = [], 0
+        for batch in batches:
+            for full_path in batch["full_path"]:
+                if not fnmatch.fnmatchcase(full_path.rsplit("/", 1)[-1], glob):
+                    continue
+                try:
+                    with filesystem.open_input_file(full_path) as handle:
+                        text = handle.read().decode("utf-8")
+                except (OSError, UnicodeDecodeError):
+                    text = None
+                scan, _, path = full_path[len(base) + 1 :].partition("/")
+                rows.append((scan, scan, path, text, text is not None))
+                chars += len(text or "")
+                if chars > BATCH_CHARS or len(rows) >= 1000:
+                    yield pd.DataFrame(rows, columns=["scan_id", "repo", "path", "content", "read_ok"])
+                    rows, chars = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=["scan_id", "repo", "path", "content", "read_ok"])
+
+    schema = "scan_id string, repo string, path string, content string, read_ok boolean"
+    inside = F.contains(F.substr("full_path", F.lit(len(base) + 2)), F.lit("/"))  # files beside the scans are none
+    return walk_files(spark, root).where(inside).repartition("full_path").mapInPandas(read, schema)
