@@ -28,15 +28,20 @@ def build_session(app_name: str = "findlake", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+_own_folders: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path for ``purpose`` in the folder named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (a local test) is a temporary folder made and set.
+    Only where the session names none (a local test) is a temporary folder made.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="findlake-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        application = spark.sparkContext.applicationId
+        if application not in _own_folders:
+            _own_folders[application] = tempfile.mkdtemp(prefix="findlake-")
+        base = _own_folders[application]
     return os.path.join(base, "findlake", purpose, uuid.uuid4().hex)
 
 

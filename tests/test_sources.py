@@ -71,9 +71,24 @@ def test_read_files(spark, tmp_path):
     assert [r.path for r in read_files(spark, str(tmp_path), "*.tf").collect()] == ["main.tf"]
 
 
+class Unnamed:
+    """A session whose settings name no shared folder."""
+
+    def __init__(self, spark):
+        self.sparkContext = spark.sparkContext
+        self.conf = self
+
+    def get(self, key, default):
+        return default
+
+
 def test_shared_folder_is_the_sessions(spark):
-    named = spark.conf.get("spark.checkpoint.dir")
-    assert shared_dir(spark, "x").startswith(named)
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        assert shared_dir(spark, "x").startswith(named)
+    own = shared_dir(Unnamed(spark), "x")
+    assert own != shared_dir(Unnamed(spark), "x")
+    assert own.rsplit("/", 1)[0] == shared_dir(Unnamed(spark), "x").rsplit("/", 1)[0]
     df = materialize(spark.range(3).select((F.col("id") % 2).alias("k"), "id"), "test", ["k"])
     assert df.columns == ["k", "id"] and df.count() == 3
 
