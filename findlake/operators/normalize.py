@@ -26,6 +26,54 @@ from findlake.functions import (
 )
 from findlake.model import FINDING_COLUMNS, POSITION_BITS, REPORT_BITS, TOOL_BY_NAME
 
+# --- fixed values: rule ids and texts of findings whose report does not state them -------------
+UNKNOWN_RULE = "UNKNOWN"
+FIXED = {
+    "terraform-fmt": {
+        "rule_id": "FMT001",
+        "title": "Terraform file needs formatting",
+        "description": ("File ", " is not properly formatted"),
+        "remediation": "Run: terraform fmt",
+    },
+    "terraform-validate": {
+        "rule_id": "VAL001",
+        "title": "Terraform validation error",
+        "description": "Validation failed",
+    },
+    "tflint": {"severity": "warning", "title": "Linting issue"},
+    "tfsec": {"severity": "MEDIUM", "title": "Security issue detected"},
+    "checkov": {"title": "Policy violation"},
+    "trivy": {"severity": "MEDIUM", "title": "Misconfiguration detected"},
+    "cfn-lint": {"severity": "Warning", "title": "Validation issue"},
+    "cfn-nag": {"title": "Security violation", "file_path": "unknown"},
+    "bandit": {"severity": "MEDIUM", "title": "Security issue detected", "confidence": "UNKNOWN"},
+    "safety": {
+        "title": "Vulnerable dependency: ",
+        "description": "Known vulnerability in dependency",
+        "remediation": ("Update ", " to a secure version. Vulnerable: "),
+        "missing": "unknown",
+    },
+    "pylint": {"severity": "convention", "title": "Code quality issue"},
+    "npm-audit": {
+        "severity": "low",
+        "rule_id": "npm-",
+        "title": "Vulnerable dependency: ",
+        "description": "Dependency vulnerability",
+        "remediation": ("Review and update dependency", "Update to version ", "latest"),
+    },
+    "snyk-iac": {"severity": "medium", "title": "IaC security issue", "file_path": "unknown", "impact": " Impact: "},
+    "trivy-container": {
+        "severity": "MEDIUM",
+        "remediation": ("No fix available yet", "Upgrade ", " to version "),
+    },
+    "container-build": {
+        "rule_id": "BUILD_FAILURE",
+        "title": "Docker image build failed",
+        "description": ("Failed to build Docker image from ", ": "),
+    },
+}
+# ---------------------------------------------------------------------------------------------
+
 STRICT_JSON = {"allowSingleQuotes": "false"}
 BLANKS = " \t\r\n\f\x0b"
 
@@ -137,6 +185,7 @@ def findings_of(rows: DataFrame, tool_name: str, **fields: Column) -> DataFrame:
 
 
 def terraform_fmt(raw: DataFrame) -> DataFrame:
+    fixed = FIXED["terraform-fmt"]
     lines = F.split(F.btrim(F.col("stdout"), F.lit(BLANKS)), "\n")
     rows = (
         raw.where("return_code <> 0")
@@ -148,15 +197,16 @@ def terraform_fmt(raw: DataFrame) -> DataFrame:
         rows,
         "terraform-fmt",
         severity=F.lit("LOW"),
-        rule_id=F.lit("FMT001"),
-        title=F.lit("Terraform file needs formatting"),
-        description=F.concat(F.lit("File "), F.col("_line"), F.lit(" is not properly formatted")),
+        rule_id=F.lit(fixed["rule_id"]),
+        title=F.lit(fixed["title"]),
+        description=F.concat(F.lit(fixed["description"][0]), F.col("_line"), F.lit(fixed["description"][1])),
         file_path=F.col("_path"),
-        remediation=F.lit("Run: terraform fmt"),
+        remediation=F.lit(fixed["remediation"]),
     )
 
 
 def terraform_validate(raw: DataFrame) -> DataFrame:
+    fixed = FIXED["terraform-validate"]
     doc = parse("stdout", "valid boolean, diagnostics array<string>")
     rows = results(raw.where("return_code <> 0"), F.when(~doc.valid, doc.diagnostics))
     rows = read(rows, "severity string, summary string, range struct<filename: string, start: struct<line: int>>")
@@ -164,9 +214,9 @@ def terraform_validate(raw: DataFrame) -> DataFrame:
         rows,
         "terraform-validate",
         severity=F.when(F.col("severity") == "error", "HIGH").otherwise("MEDIUM"),
-        rule_id=F.lit("VAL001"),
-        title=F.lit("Terraform validation error"),
-        description=default("summary", "Validation failed"),
+        rule_id=F.lit(fixed["rule_id"]),
+        title=F.lit(fixed["title"]),
+        description=default("summary", fixed["description"]),
         file_path=F.col("range.filename"),
         line_number=F.col("range.start.line"),
         metadata=F.col("_raw"),
@@ -174,6 +224,7 @@ def terraform_validate(raw: DataFrame) -> DataFrame:
 
 
 def tflint(raw: DataFrame) -> DataFrame:
+    fixed = FIXED["tflint"]
     rows = results(raw, parse("stdout", "issues array<string>").issues)
     rows = read(
         rows,
@@ -183,9 +234,9 @@ def tflint(raw: DataFrame) -> DataFrame:
     return findings_of(
         rows,
         "tflint",
-        severity=severity_from_string(default("rule.severity", "warning")),
-        rule_id=default("rule.name", "UNKNOWN"),
-        title=default("message", "Linting issue"),
+        severity=severity_from_string(default("rule.severity", fixed["severity"])),
+        rule_id=default("rule.name", UNKNOWN_RULE),
+        title=default("message", fixed["title"]),
         description=default("message", ""),
         file_path=F.col("range.filename"),
         line_number=F.col("range.start.line"),
@@ -194,6 +245,7 @@ def tflint(raw: DataFrame) -> DataFrame:
 
 
 def tfsec(raw: DataFrame) -> DataFrame:
+    fixed = FIXED["tfsec"]
     rows = results(raw, parse("stdout", "results array<string>").results)
     rows = read(
         rows,
@@ -203,9 +255,9 @@ def tfsec(raw: DataFrame) -> DataFrame:
     return findings_of(
         rows,
         "tfsec",
-        severity=severity_from_string(default("severity", "MEDIUM")),
-        rule_id=default("rule_id", "UNKNOWN"),
-        title=default("rule_description", "Security issue detected"),
+        severity=severity_from_string(default("severity", fixed["severity"])),
+        rule_id=default("rule_id", UNKNOWN_RULE),
+        title=default("rule_description", fixed["title"]),
         description=default("description", ""),
         file_path=F.col("location.filename"),
         line_number=F.col("location.start_line"),
@@ -228,8 +280,8 @@ def _checkov(raw: DataFrame, tool: str, terraform: bool) -> DataFrame:
         rows,
         tool,
         severity=checkov_severity(F.col("severity"), F.col("check_name"), terraform),
-        rule_id=default("check_id", "UNKNOWN"),
-        title=default("check_name", "Policy violation"),
+        rule_id=default("check_id", UNKNOWN_RULE),
+        title=default("check_name", FIXED["checkov"]["title"]),
         description=default("check_result.result", ""),
         file_path=F.col("file_path"),
         line_number=F.get("file_line_range", F.lit(0)),
@@ -244,6 +296,7 @@ def checkov(raw: DataFrame) -> DataFrame:
 
 
 def trivy(raw: DataFrame) -> DataFrame:
+    fixed = FIXED["trivy"]
     doc = parse("stdout", "Results array<struct<Target: string, Misconfigurations: array<string>>>")
     rows = read(
         child_results(raw, children_of(doc.Results, "Misconfigurations", "Target")),
@@ -253,9 +306,9 @@ def trivy(raw: DataFrame) -> DataFrame:
     return findings_of(
         rows,
         "trivy",
-        severity=severity_from_string(default("Severity", "MEDIUM")),
-        rule_id=default("ID", "UNKNOWN"),
-        title=default("Title", "Misconfiguration detected"),
+        severity=severity_from_string(default("Severity", fixed["severity"])),
+        rule_id=default("ID", UNKNOWN_RULE),
+        title=default("Title", fixed["title"]),
         description=default("Description", ""),
         file_path=F.col("_child.Target"),
         resource=F.col("CauseMetadata.Resource"),
@@ -268,6 +321,7 @@ def trivy(raw: DataFrame) -> DataFrame:
 
 
 def cfn_lint(raw: DataFrame) -> DataFrame:
+    fixed = FIXED["cfn-lint"]
     rows = read(
         results(raw, top_list()),
         "Rule struct<Id: string, ShortDescription: string>, Level string, Message string, Filename string, "
@@ -276,9 +330,9 @@ def cfn_lint(raw: DataFrame) -> DataFrame:
     return findings_of(
         rows,
         "cfn-lint",
-        severity=severity_from_string(default("Level", "Warning")),
-        rule_id=default("Rule.Id", "UNKNOWN"),
-        title=default("Rule.ShortDescription", "Validation issue"),
+        severity=severity_from_string(default("Level", fixed["severity"])),
+        rule_id=default("Rule.Id", UNKNOWN_RULE),
+        title=default("Rule.ShortDescription", fixed["title"]),
         description=default("Message", ""),
         file_path=F.col("Filename"),
         line_number=F.col("Location.Start.LineNumber"),
@@ -287,6 +341,7 @@ def cfn_lint(raw: DataFrame) -> DataFrame:
 
 
 def cfn_nag(raw: DataFrame) -> DataFrame:
+    fixed = FIXED["cfn-nag"]
     file_ddl = "filename string, file_results struct<violations: array<string>>"
     files = F.transform(
         top_list(),
@@ -304,10 +359,10 @@ def cfn_nag(raw: DataFrame) -> DataFrame:
         rows,
         "cfn-nag",
         severity=F.when(F.col("type") == "FAIL", "HIGH").otherwise("MEDIUM"),
-        rule_id=default("id", "UNKNOWN"),
-        title=default("message", "Security violation"),
+        rule_id=default("id", UNKNOWN_RULE),
+        title=default("message", fixed["title"]),
         description=default("message", ""),
-        file_path=default("_child.filename", "unknown"),
+        file_path=default("_child.filename", fixed["file_path"]),
         line_number=F.get("line_numbers", F.lit(0)),
         resource=F.concat_ws(", ", "logical_resource_ids"),
         metadata=F.col("_raw"),
@@ -322,6 +377,7 @@ def checkov_cfn(raw: DataFrame) -> DataFrame:
 
 
 def bandit(raw: DataFrame, scan_root: str = "/repo") -> DataFrame:
+    fixed = FIXED["bandit"]
     rows = read(
         results(raw, parse("stdout", "results array<string>").results),
         "test_id string, test_name string, issue_text string, issue_severity string, issue_confidence string, "
@@ -330,15 +386,15 @@ def bandit(raw: DataFrame, scan_root: str = "/repo") -> DataFrame:
     return findings_of(
         rows,
         "bandit",
-        severity=bandit_severity(default("issue_severity", "MEDIUM")),
-        rule_id=default("test_id", "UNKNOWN"),
-        title=default("issue_text", "Security issue detected"),
+        severity=bandit_severity(default("issue_severity", fixed["severity"])),
+        rule_id=default("test_id", UNKNOWN_RULE),
+        title=default("issue_text", fixed["title"]),
         description=F.concat(default("issue_text", ""), F.lit(" - "), default("test_name", "")),
         file_path=strip_scan_root(default("filename", ""), scan_root),
         line_number=F.col("line_number"),
         metadata=json_object(
             {
-                "confidence": default("issue_confidence", "UNKNOWN"),
+                "confidence": default("issue_confidence", fixed["confidence"]),
                 "code": F.substring(default("code", ""), 1, 200),  # the stored snippet is a short one
             },
             {"cwe": raw_json(F.col("cwe"), "{}")},
@@ -347,6 +403,8 @@ def bandit(raw: DataFrame, scan_root: str = "/repo") -> DataFrame:
 
 
 def safety(raw: DataFrame) -> DataFrame:
+    fixed = FIXED["safety"]
+    missing = F.lit(fixed["missing"])
     doc = parse("stdout", "vulnerabilities array<string>, scanned_packages struct<vulnerabilities: array<string>>")
     listed = F.coalesce(top_list(), doc.vulnerabilities, doc.scanned_packages.vulnerabilities)
     rows = read(
@@ -357,21 +415,21 @@ def safety(raw: DataFrame) -> DataFrame:
     )
     rows = rows.select(
         "*",
-        F.coalesce(truthy(F.col("cve")), F.col("vulnerability_id"), F.lit("UNKNOWN")).alias("_rule"),
-        F.coalesce("package", "package_name", F.lit("unknown")).alias("_package"),
-        F.coalesce("installed_version", "analyzed_version", F.lit("unknown")).alias("_installed"),
-        F.coalesce("affected_versions", "vulnerable_spec", F.lit("unknown")).alias("_affected"),
+        F.coalesce(truthy(F.col("cve")), F.col("vulnerability_id"), F.lit(UNKNOWN_RULE)).alias("_rule"),
+        F.coalesce("package", "package_name", missing).alias("_package"),
+        F.coalesce("installed_version", "analyzed_version", missing).alias("_installed"),
+        F.coalesce("affected_versions", "vulnerable_spec", missing).alias("_affected"),
     )
     return findings_of(
         rows,
         "safety",
         severity=F.lit("HIGH"),
         rule_id=F.col("_rule"),
-        title=F.concat(F.lit("Vulnerable dependency: "), F.col("_package"), F.lit(" "), F.col("_installed")),
-        description=F.coalesce("advisory", "description", F.lit("Known vulnerability in dependency")),
+        title=F.concat(F.lit(fixed["title"]), F.col("_package"), F.lit(" "), F.col("_installed")),
+        description=F.coalesce("advisory", "description", F.lit(fixed["description"])),
         file_path=F.substring_index("_target", "/", -1),
         remediation=F.concat(
-            F.lit("Update "), F.col("_package"), F.lit(" to a secure version. Vulnerable: "), F.col("_affected")
+            F.lit(fixed["remediation"][0]), F.col("_package"), F.lit(fixed["remediation"][1]), F.col("_affected")
         ),
         metadata=json_object(
             {
@@ -385,6 +443,7 @@ def safety(raw: DataFrame) -> DataFrame:
 
 
 def pylint(raw: DataFrame, scan_root: str = "/repo") -> DataFrame:
+    fixed = FIXED["pylint"]
     rows = read(
         results(raw, top_list()),
         "`message-id` string, symbol string, message string, type string, path string, line int, "
@@ -393,9 +452,9 @@ def pylint(raw: DataFrame, scan_root: str = "/repo") -> DataFrame:
     return findings_of(
         rows,
         "pylint",
-        severity=pylint_severity(default("type", "convention")),
+        severity=pylint_severity(default("type", fixed["severity"])),
         rule_id=default("`message-id`", ""),
-        title=F.concat(default("symbol", ""), F.lit(": "), default("message", "Code quality issue")),
+        title=F.concat(default("symbol", ""), F.lit(": "), default("message", fixed["title"])),
         description=default("message", ""),
         file_path=strip_scan_root(default("path", ""), scan_root),
         line_number=F.col("line"),
@@ -403,7 +462,7 @@ def pylint(raw: DataFrame, scan_root: str = "/repo") -> DataFrame:
             {
                 "column": F.col("column"),
                 "symbol": default("symbol", ""),
-                "message_type": default("type", "convention"),
+                "message_type": default("type", fixed["severity"]),
                 "module": F.col("module"),
             }
         ),
@@ -414,6 +473,8 @@ def pylint(raw: DataFrame, scan_root: str = "/repo") -> DataFrame:
 
 
 def npm_audit(raw: DataFrame) -> DataFrame:
+    fixed = FIXED["npm-audit"]
+    no_fix, update, latest = fixed["remediation"]
     by_name = parse("stdout", "vulnerabilities map<string,string>").vulnerabilities
     rows = exploded(raw, by_name, "_name", "_raw").where(F.col("_raw").startswith("{"))
     rows = read(rows, "severity string, via string, fixAvailable string")
@@ -424,21 +485,22 @@ def npm_audit(raw: DataFrame) -> DataFrame:
     return findings_of(
         rows,
         "npm-audit",
-        severity=severity_from_string(default("severity", "low")),
-        rule_id=F.concat(F.lit("npm-"), F.col("_name")),
-        title=F.concat(F.lit("Vulnerable dependency: "), F.col("_name")),
-        description=F.when(via.startswith("["), default(title, "Dependency vulnerability")).otherwise(
+        severity=severity_from_string(default("severity", fixed["severity"])),
+        rule_id=F.concat(F.lit(fixed["rule_id"]), F.col("_name")),
+        title=F.concat(F.lit(fixed["title"]), F.col("_name")),
+        description=F.when(via.startswith("["), default(title, fixed["description"])).otherwise(
             default(via, "")
         ),
         file_path=F.col("_target"),
         remediation=F.when(
-            fix.isNull() | fix.isin("false", "{}", "", "0", "[]"), "Review and update dependency"
-        ).otherwise(F.concat(F.lit("Update to version "), default(version, "latest"))),
+            fix.isNull() | fix.isin("false", "{}", "", "0", "[]"), no_fix
+        ).otherwise(F.concat(F.lit(update), default(version, latest))),
         metadata=F.col("_raw"),
     )
 
 
 def _snyk(raw: DataFrame, tool: str) -> DataFrame:
+    fixed = FIXED["snyk-iac"]
     file_ddl = "targetFile string, infrastructureAsCodeIssues array<string>"
     files = F.transform(top_list_or_object(), lambda text: F.when(text.startswith("{"), parse(text, file_ddl)))
     rows = read(
@@ -451,11 +513,11 @@ def _snyk(raw: DataFrame, tool: str) -> DataFrame:
     return findings_of(
         rows,
         tool,
-        severity=snyk_severity(default("severity", "medium")),
-        rule_id=default("id", "UNKNOWN"),
-        title=default("title", "IaC security issue"),
-        description=F.when(impact.isNull(), issue).otherwise(F.concat(issue, F.lit(" Impact: "), impact)),
-        file_path=default("_child.targetFile", "unknown"),
+        severity=snyk_severity(default("severity", fixed["severity"])),
+        rule_id=default("id", UNKNOWN_RULE),
+        title=default("title", fixed["title"]),
+        description=F.when(impact.isNull(), issue).otherwise(F.concat(issue, F.lit(fixed["impact"]), impact)),
+        file_path=default("_child.targetFile", fixed["file_path"]),
         line_number=F.nullif(F.col("lineNumber"), F.lit(0)),
         resource=default("subType", ""),
         remediation=default("resolve", ""),
@@ -479,6 +541,8 @@ def snyk_iac_template(raw: DataFrame) -> DataFrame:
 
 def trivy_container(raw: DataFrame, image_prefix: str = "scan-") -> DataFrame:
     """``target`` is the Dockerfile; the image is named after its directory."""
+    fixed = FIXED["trivy-container"]
+    no_fix, upgrade, to_version = fixed["remediation"]
     doc = parse("stdout", "Results array<struct<Target: string, Type: string, Vulnerabilities: array<string>>>")
     named = raw.withColumn("_image", image_tag(dirname(F.col("target")), image_prefix))  # once per report
     rows = read(
@@ -487,13 +551,13 @@ def trivy_container(raw: DataFrame, image_prefix: str = "scan-") -> DataFrame:
         "Description string, References string, CVSS string",
     )
     image = F.col("_image")
-    rule, package = default("VulnerabilityID", "UNKNOWN"), default("PkgName", "")
-    installed, fixed = truthy(F.col("InstalledVersion")), truthy(F.col("FixedVersion"))
+    rule, package = default("VulnerabilityID", UNKNOWN_RULE), default("PkgName", "")
+    installed, fix = truthy(F.col("InstalledVersion")), truthy(F.col("FixedVersion"))
     target, kind = F.coalesce("_child.Target", image), truthy(F.col("_child.Type"))
     return findings_of(
         rows,
         "trivy-container",
-        severity=severity_from_string(default("Severity", "MEDIUM")),
+        severity=severity_from_string(default("Severity", fixed["severity"])),
         rule_id=rule,
         title=F.concat(
             rule,
@@ -504,8 +568,8 @@ def trivy_container(raw: DataFrame, image_prefix: str = "scan-") -> DataFrame:
         description=default("Description", ""),
         file_path=F.col("_target"),
         resource=F.when(kind.isNull(), target).otherwise(F.concat(target, F.lit(" ("), kind, F.lit(")"))),
-        remediation=F.when(fixed.isNull(), "No fix available yet").otherwise(
-            F.concat(F.lit("Upgrade "), package, F.lit(" to version "), fixed)
+        remediation=F.when(fix.isNull(), no_fix).otherwise(
+            F.concat(F.lit(upgrade), package, F.lit(to_version), fix)
         ),
         metadata=json_object(
             {
@@ -521,6 +585,7 @@ def trivy_container(raw: DataFrame, image_prefix: str = "scan-") -> DataFrame:
 
 def container_build(raw: DataFrame) -> DataFrame:
     """A failed image build is itself a finding."""
+    fixed = FIXED["container-build"]
     rows = raw.where("return_code <> 0").select(
         "scan_id", F.col("seq").alias("_report"), F.lit(0).alias("_pos"), F.col("target").alias("_target"), "stderr"
     )
@@ -528,12 +593,12 @@ def container_build(raw: DataFrame) -> DataFrame:
         rows,
         "container-build",
         severity=F.lit("HIGH"),
-        rule_id=F.lit("BUILD_FAILURE"),
-        title=F.lit("Docker image build failed"),
+        rule_id=F.lit(fixed["rule_id"]),
+        title=F.lit(fixed["title"]),
         description=F.concat(
-            F.lit("Failed to build Docker image from "),
+            F.lit(fixed["description"][0]),
             F.col("_target"),
-            F.lit(": "),
+            F.lit(fixed["description"][1]),
             F.substring(F.coalesce("stderr", F.lit("")), 1, 500),
         ),
         file_path=F.col("_target"),
