@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# A window group below holds at most 2^BUCKET_BITS rows, whatever the data looks like.
-BUCKET_BITS = 21
+# A window group of ``numbered`` holds at most 2^BUCKET_BITS rows, whatever the data looks like.
+BUCKET_BITS = 18
 SALTS = 16
 
 
@@ -33,45 +33,49 @@ def numbered(
     group: Sequence[str],
     order: str = "seq",
     out: str = "n",
-    bits: int = BUCKET_BITS,
     ties: Sequence[str] = (),
+    bits: int = BUCKET_BITS,
+    order_bits: int = 63,
 ) -> DataFrame:
     """Exact 1-based row numbers in ``group`` by ``order``, without one task per group.
 
-    ``order`` is a non-negative BIGINT, unique within the group or made so by ``ties``. It is cut into buckets of
-    2^bits values; rows are numbered within their bucket, and each bucket gets the number of
-    rows before it from prefix sums over the (pre-aggregated) bucket sizes, done in two levels.
-    With 21 bits no window group at any level exceeds 2^21 rows.
+    ``order`` is a BIGINT below 2^order_bits, not negative, and unique within the group or made
+    so by ``ties``; group columns are not NULL. It is cut into buckets of 2^bits values. Rows
+    are numbered within their bucket, and a bucket adds the number of rows before it, from
+    prefix sums over the pre-aggregated bucket sizes. Those are taken level by level, each
+    bucket of a level holding 2^bits buckets of the level below, so no window group exceeds
+    2^bits entries, however large the group is.
     """
     group = list(group)
-    keyed = df.withColumn("_lo", F.shiftright(order, bits))
-    sizes = keyed.groupBy(*group, "_lo").agg(F.count(F.lit(1)).alias("_rows"))
-    sizes = sizes.withColumn("_hi", F.shiftright("_lo", bits))
-
-    before = (Window.unboundedPreceding, -1)
-    in_hi = Window.partitionBy(*group, "_hi").orderBy("_lo").rowsBetween(*before)
-    sizes_lo = sizes.select(
-        *group, "_lo", "_hi", F.coalesce(F.sum("_rows").over(in_hi), F.lit(0)).alias("_before_lo")
-    )
-    in_group = Window.partitionBy(*group).orderBy("_hi").rowsBetween(*before)
-    sizes_hi = (
-        sizes.groupBy(*group, "_hi")
-        .agg(F.sum("_rows").alias("_rows"))
-        .select(*group, "_hi", F.coalesce(F.sum("_rows").over(in_group), F.lit(0)).alias("_before_hi"))
-    )
-    offsets = sizes_lo.join(sizes_hi, [*group, "_hi"]).select(
-        *group, "_lo", (F.col("_before_lo") + F.col("_before_hi")).alias("_before")
-    )
-
-    in_bucket = Window.partitionBy(*group, "_lo").orderBy(order, *ties)
+    keyed = df.withColumn("_b", F.shiftright(order, bits))
+    sizes = keyed.groupBy(*group, "_b").agg(F.count(F.lit(1)).alias("_rows"))
+    in_bucket = Window.partitionBy(*group, "_b").orderBy(order, *ties)
     return (
         keyed.withColumn("_n", F.row_number().over(in_bucket))
-        .join(offsets, [*group, "_lo"])
+        .join(_rows_before(sizes, group, bits, order_bits - bits), [*group, "_b"])
         .withColumn(out, F.col("_n") + F.col("_before"))
         .select(*df.columns, out)
     )
 
 
+def _rows_before(sizes: DataFrame, group: list[str], bits: int, left: int) -> DataFrame:
+    """(group, _b, _before): rows of the group in buckets before ``_b``, of ``left`` bits."""
+
+    def before(*partition: str):
+        w = Window.partitionBy(*partition).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("_rows").over(w), F.lit(0))
+
+    if left <= bits:
+        return sizes.select(*group, "_b", before(*group).alias("_before"))
+    nested = sizes.withColumn("_outer", F.shiftright("_b", bits))
+    inside = nested.select(*group, "_b", "_outer", before(*group, "_outer").alias("_inside"))
+    outer_sizes = nested.groupBy(*group, F.col("_outer").alias("_b")).agg(F.sum("_rows").alias("_rows"))
+    outer = _rows_before(outer_sizes, group, bits, left - bits).withColumnRenamed("_b", "_outer")
+    return inside.join(outer, [*group, "_outer"]).select(
+        *group, "_b", (F.col("_inside") + F.col("_before")).alias("_before")
+    )
+
+
 def hot_join(
     left: DataFrame,
     right: DataFrame,

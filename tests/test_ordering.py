@@ -22,14 +22,22 @@ def df(spark):
     return spark.createDataFrame(ROWS, "g string, seq bigint").repartition(5)
 
 
-@pytest.mark.parametrize("bits", [2, 5, 21])
+def places(rows):
+    return {(g, s): sum(1 for h, t in rows if h == g and t <= s) for g, s in rows}
+
+
+@pytest.mark.parametrize("bits", [16, 18, 21, 40])
 def test_numbered(df, bits):
-    expected = {}
-    for group in {g for g, _ in ROWS}:
-        for place, seq in enumerate(sorted(s for g, s in ROWS if g == group), 1):
-            expected[group, seq] = place
     got = {(r.g, r.seq): r.n for r in numbered(df, ["g"], bits=bits).collect()}
-    assert got == expected
+    assert got == places(ROWS)
+
+
+@pytest.mark.parametrize("bits", [2, 3, 5])
+def test_numbered_over_many_levels(spark, bits):
+    small = [(g, s) for g, s in ROWS if s < 2000]
+    df = spark.createDataFrame(small, "g string, seq bigint")
+    got = {(r.g, r.seq): r.n for r in numbered(df, ["g"], bits=bits, order_bits=11).collect()}
+    assert got == places(small)
 
 
 def test_numbered_with_ties(spark):
