@@ -25,6 +25,7 @@ from findlake.functions import (
     truthy,
 )
 from findlake.model import FINDING_COLUMNS, POSITION_BITS, REPORT_BITS, TOOL_BY_NAME
+from findlake.operators.policy import container_filter
 
 # --- fixed values: rule ids and texts of findings whose report does not state them -------------
 UNKNOWN_RULE = "UNKNOWN"
@@ -539,8 +540,11 @@ def snyk_iac_template(raw: DataFrame) -> DataFrame:
 # --- container -------------------------------------------------------------------------------
 
 
-def trivy_container(raw: DataFrame, image_prefix: str = "scan-") -> DataFrame:
-    """``target`` is the Dockerfile; the image is named after its directory."""
+def trivy_container(
+    raw: DataFrame, image_prefix: str = "scan-", severities: str | None = None, ignore_unfixed: bool = False
+) -> DataFrame:
+    """``target`` is the Dockerfile; the image is named after its directory. Reports made
+    without the severity list or the unfixed switch can be cut down by them here."""
     fixed = FIXED["trivy-container"]
     no_fix, upgrade, to_version = fixed["remediation"]
     doc = parse("stdout", "Results array<struct<Target: string, Type: string, Vulnerabilities: array<string>>>")
@@ -550,6 +554,8 @@ def trivy_container(raw: DataFrame, image_prefix: str = "scan-") -> DataFrame:
         "VulnerabilityID string, PkgName string, InstalledVersion string, FixedVersion string, Severity string, "
         "Description string, References string, CVSS string",
     )
+    if severities or ignore_unfixed:
+        rows = rows.where(container_filter(F.col("Severity"), F.col("FixedVersion"), severities, ignore_unfixed))
     image = F.col("_image")
     rule, package = default("VulnerabilityID", UNKNOWN_RULE), default("PkgName", "")
     installed, fix = truthy(F.col("InstalledVersion")), truthy(F.col("FixedVersion"))

@@ -63,16 +63,22 @@ def severity_floor(findings: DataFrame, minimum: str) -> DataFrame:
     return findings.where(severity_rank(F.col("severity")) >= floor)
 
 
-def container_filter(raw_severity: Column, fixed_version: Column, severities: str, ignore_unfixed: bool) -> Column:
+def container_filter(
+    raw_severity: Column, fixed_version: Column, severities: str | None, ignore_unfixed: bool
+) -> Column:
     """Severity list and unfixed switch of the image scan, as a predicate."""
-    wanted = [s.strip().upper() for s in severities.split(",")]
-    keep = F.upper(F.coalesce(raw_severity, F.lit("UNKNOWN"))).isin(wanted)
+    keep = F.lit(True)
+    if severities:
+        wanted = [s.strip().upper() for s in severities.split(",")]
+        keep = F.upper(F.coalesce(raw_severity, F.lit("UNKNOWN"))).isin(wanted)
     return keep & truthy(fixed_version).isNotNull() if ignore_unfixed else keep
 
 
 def at_or_above(severity: Column, threshold: str) -> Column:
-    """Tool threshold such as ``low`` or ``high``, on normalised severities."""
-    return severity_rank(severity) >= SEVERITIES.index(threshold.upper())
+    """Tool threshold such as ``low`` or ``high``, on normalised severities; an unknown word
+    keeps all."""
+    level = threshold.upper()
+    return severity_rank(severity) >= (SEVERITIES.index(level) if level in SEVERITIES else 0)
 
 
 def needs_authentication(return_code: Column, stderr: Column) -> Column:

@@ -30,13 +30,20 @@ def normalize_tool(
     elif tool.name == "safety":
         found = NORMALIZERS["safety"](policy.cut_at_auth_failure(reports))
     elif tool.name == "trivy-container":
-        found = trivy_container(reports, lookup(config, "tools.container.image_name_prefix", "scan-"))
+        found = trivy_container(
+            reports,
+            lookup(config, "tools.container.image_name_prefix", "scan-"),
+            lookup(config, "tools.container.severities"),
+            lookup(config, "tools.container.ignore_unfixed", False),
+        )
     else:
         found = NORMALIZERS[tool.name](reports)
     if tool.name == "checkov-cfn" and files is not None:
         found = policy.keep_template_files(found, classify.cfn_templates(files))
     if tool.name == "snyk-iac-template" and files is not None:
         found = policy.restore_template_paths(found, policy.template_renames(files))
+    if tool.finding_tool == "snyk-iac":
+        found = found.where(policy.at_or_above(F.col("severity"), lookup(config, "tool_config.snyk.severity_threshold", "low")))
     if tool.path_filtered:
         found = policy.drop_excluded_paths(found, patterns)
     if tool.exclude_key and tool.name != "pylint":
@@ -73,11 +80,13 @@ def run_scans(
 
     Findings, and what is left of them after dedup, are written to the shared folder once: the
     reports are parsed once, however many summaries, gates and documents read the result.
-    ``raw`` should be laid out by tool (see ``lay_out_by_tool``).
+    ``raw`` should be laid out by tool (see ``lay_out_by_tool``). A scan that only shows up in
+    the reports is added to ``scans`` without facts, so no finding goes unreported.
     """
     dedup = lookup(config, "aggregation.deduplicate", True)
     findings = materialize(normalize_all(raw, files, config), "findings", ["tool"])
     reported = materialize(aggregate.deduplicate(findings), "reported") if dedup else findings
+    scans = scans.join(findings.select("scan_id").distinct(), "scan_id", "full")
     default_gate = F.lit(lookup(config, "severity.fail_on", "HIGH"))
     if fail_on is not None:
         level = F.lit(fail_on)

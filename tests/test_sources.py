@@ -126,8 +126,25 @@ def test_whole_flow(spark, lake):
     assert result.findings.count() == 3
     assert {r.scan_id: (r.fail_on, r.exit_code) for r in result.status.collect()} == {"s1": ("HIGH", 2), "s2": ("HIGH", 0), "s3": ("HIGH", 0)}
     assert {r.scan_id: r.total_findings for r in result.summary.collect()} == {"s1": 1, "s2": 1, "s3": 0}
-    strict = run_scans(lake, None, scans, cfg.POLICY_CONFIG, fail_on="LOW")
+    known = scans.where("scan_id <> 's2'")  # a scan that only shows up in the reports
+    strict = run_scans(lake, None, known, cfg.POLICY_CONFIG, fail_on="LOW")
     assert {r.scan_id: r.exit_code for r in strict.status.collect()} == {"s1": 2, "s2": 2, "s3": 0}
+    assert {r.scan_id: (r.repository, r.total_findings) for r in strict.summary.collect()} == {"s1": ("r", 1), "s2": (None, 1), "s3": ("r", 0)}
+
+
+def test_tool_thresholds(raw):
+    issues = [{"id": s, "severity": s} for s in ("low", "high", "critical")]
+    vulns = [{"VulnerabilityID": "a", "Severity": "LOW", "FixedVersion": "2"}, {"VulnerabilityID": "b", "Severity": "HIGH"},
+             {"VulnerabilityID": "c", "Severity": "HIGH", "FixedVersion": "2"}]
+    reports = raw("snyk-iac", json.dumps([{"infrastructureAsCodeIssues": issues}])).unionByName(
+        raw("trivy-container", json.dumps({"Results": [{"Vulnerabilities": vulns}]}), target="Dockerfile")
+    )
+    config = {
+        "tool_config": {"snyk": {"severity_threshold": "high"}},
+        "tools": {"container": {"severities": "HIGH,CRITICAL", "ignore_unfixed": True}},
+    }
+    assert {r.rule_id for r in normalize_all(reports, None, config).collect()} == {"high", "critical", "c"}
+    assert {r.rule_id for r in normalize_all(reports, None, {}).collect()} == {"low", "high", "critical", "a", "b", "c"}
 
 
 def test_disabled_tools_do_not_run(lake):
