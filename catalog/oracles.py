@@ -721,7 +721,6 @@ norm(
 )
 
 # Reports that are no JSON of the tool's form: cut off, of another type, or with text after.
-_either = "', '".join(inputs.EITHER_TOOLS)
 _text_tools = [t for t in inputs.STDOUT if t not in inputs.TEXT_TOOLS]
 add(
     "report_parse_errors",

@@ -62,8 +62,8 @@ EMOJI = {
 
 def _lookup(key: Column, table: dict, default: str | int) -> Column:
     """Value of a small fixed table; other keys and NULL take the default."""
-    pairs = F.create_map(*[F.lit(part) for pair in table.items() for part in pair])
-    return F.coalesce(F.element_at(pairs, key), F.lit(default))
+    pairs = ", ".join(f"{word!r}, {value!r}" for word, value in table.items())
+    return F.coalesce(F.element_at(F.expr(f"map({pairs})"), key), F.lit(default))
 
 
 def severity_from_string(word: Column) -> Column:

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from findlake.functions import (
     bandit_severity,
     checkov_severity,
-    image_tag,
     dirname,
+    image_tag,
     pylint_severity,
     severity_from_string,
     snyk_severity,

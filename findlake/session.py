@@ -19,11 +19,27 @@ CONF = {
 }
 
 
-def build_session(app_name: str = "findlake", master: str | None = None, **conf: str) -> SparkSession:
+# What one shuffle partition should hold; smaller ones are merged at run time.
+PARTITION_BYTES = 256 << 20
+
+
+def build_session(
+    app_name: str = "findlake", master: str | None = None, shuffled_bytes: int | None = None, **conf: str
+) -> SparkSession:
+    """Session with our settings, then ``conf``.
+
+    ``shuffled_bytes`` is the size of the largest shuffle to expect (for dedup: the findings, not
+    the reports). Adaptive execution merges partitions but never adds any, so a large job has to
+    start with enough of them to fit in executor memory.
+    """
+    settings = dict(CONF)
+    if shuffled_bytes:
+        partitions = max(200, -(-shuffled_bytes // PARTITION_BYTES))
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(partitions)
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**CONF, **conf}.items():
+    for key, value in {**settings, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -46,7 +62,11 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
 
 
 def materialize(df: DataFrame, purpose: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: several readers, one computation."""
+    """Write ``df`` to the shared folder and read it back: several readers, one computation.
+
+    The lineage ends at the written files, so a lost executor never costs more than a read. They
+    stay until the folder's retention removes them.
+    """
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
     writer = df.write

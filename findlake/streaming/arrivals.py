@@ -16,8 +16,13 @@ from findlake.operators.ordering import SALTS
 from findlake.session import shared_dir
 
 
-def read_arrivals(spark: SparkSession, path: str, schema, file_glob: str = "*.parquet") -> DataFrame:
-    return spark.readStream.schema(schema).option("pathGlobFilter", file_glob).parquet(path)
+def read_arrivals(
+    spark: SparkSession, path: str, schema, file_glob: str = "*.parquet", files_per_batch: int = 10_000
+) -> DataFrame:
+    """Files as they arrive. A long backlog is taken in batches of ``files_per_batch``, so each
+    batch's state and shuffle stay of bounded size."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
+    return reader.option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
 def run_to_table(stream: DataFrame, purpose: str) -> DataFrame:

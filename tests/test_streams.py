@@ -34,8 +34,10 @@ def stream(spark, folder, table):
     return arrivals.read_arrivals(spark, folder, table.schema)
 
 
-def test_dedup_across_arrivals(spark, folder, table):
-    got = arrivals.run_to_table(arrivals.dedup_stream(stream(spark, folder, table)), "test_dedup")
+@pytest.mark.parametrize("files_per_batch", [2, 100])
+def test_dedup_across_arrivals(spark, folder, table, files_per_batch):
+    arriving = arrivals.read_arrivals(spark, folder, table.schema, files_per_batch=files_per_batch)
+    got = arrivals.run_to_table(arrivals.dedup_stream(arriving), "test_dedup")
     expected = aggregate.with_key(table).select("scan_id", "key").distinct()
     rows = [(r.scan_id, r.key) for r in got.collect()]
     assert len(rows) == len(set(rows))
