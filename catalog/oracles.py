@@ -735,7 +735,7 @@ add(
 
 def hex_rule(rule: str) -> str:
     """The rule with its case flag, and the match shown by its head and length."""
-    return SECRET_RULES[rule].replace("'", "''")
+    return SECRET_RULES[rule].pattern.replace("'", "''")
 
 
 SECRET_LINES = f"{FILES}, l AS (SELECT scan_id, path, unnest(string_split(content, chr(10))) AS line, unnest(range(1, len(string_split(content, chr(10))) + 1)) AS line_number FROM files WHERE read_ok)"

@@ -8,7 +8,7 @@ import pytest
 
 from findlake.model import FILES
 from findlake.operators import classify
-from findlake.operators.secrets import scan_secrets, secret_lines
+from findlake.operators.secrets import SECRET_RULES, SecretRule, scan_secrets, secret_lines
 from findlake.sources.config import POLICY_CONFIG
 
 PATTERNS = POLICY_CONFIG["repository"]["excluded_paths"]
@@ -125,3 +125,26 @@ def test_secrets(tree):
     found = scan_secrets(files).collect()
     assert all(key not in str(r) for r in found)
     assert len({r.seq for r in found}) == 3
+
+
+SAMPLES = {
+    "aws-access-key-id": "AKIA" + "A1" * 8,
+    "private-key": "-----BEGIN EC PRIVATE KEY-----",
+    "github-token": "ghs_" + "aB3" * 12,
+    "slack-token": "xoxb-" + "1" * 12,
+    "jwt": ".".join(["eyJ" + "a" * 10, "eyJ" + "b" * 10, "c" * 10]),
+    "hex-token": 'API_KEY : "' + "ab" * 16 + '"',
+    "generic-api-key": "Api-Key=" + "z9" * 8,
+}
+
+
+@pytest.mark.parametrize("rule", SECRET_RULES)
+def test_each_secret_rule(tree, rule):
+    files = tree({"a": f"x\n# {SAMPLES[rule]} #\n", "b": SAMPLES[rule][:-8] if rule != "private-key" else "BEGIN PRIVATE"})
+    hits = secret_lines(files).where(f"rule_id = '{rule}'").collect()
+    assert [(r.path, r.line_number) for r in hits] == [("a", 2)]
+
+
+def test_rules_without_keywords(tree):
+    rules = {"digits": SecretRule("[0-9]{4}", []), **SECRET_RULES}
+    assert [r.match for r in secret_lines(tree({"a": "pin 12345"}), rules).collect()] == ["1234"]
