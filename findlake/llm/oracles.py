@@ -37,6 +37,42 @@ SELECT page_id, host, path, rule,
 FROM best
 """
 
+# Order, kind, pattern, group whose length counts, least length.
+SECRET_RULES = [
+    ("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8),
+    ("access", "AKIA[A-Z0-9]+", 0, 16),
+    ("hex", "[0-9a-f]+", 0, 32),
+    ("private_key", "-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 0, 1),
+    ("github", "gh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
+    ("slack", "xox[abprs]-[A-Za-z0-9-]{10,}", 0, 1),
+    ("google", "AIza[A-Za-z0-9_-]{35}", 0, 1),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1),
+]
+
+
+def _secret_index() -> str:
+    each = []
+    for order, (kind, pattern, group, least) in enumerate(SECRET_RULES):
+        quoted = "'" + pattern.replace("'", "''") + "'"
+        each.append(
+            f"SELECT doc_id, {order} AS o, '{kind}' AS kind, {least} AS least, regexp_extract_all(text, {quoted}, 0) AS m, "
+            f"regexp_extract_all(text, {quoted}, {group}) AS g, string_split_regex(text, {quoted}) AS b FROM docs"
+        )
+    return f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+found AS ({" UNION ALL ".join(each)}),
+placed AS (
+  SELECT doc_id, o, kind, length(g[i]) >= least AS counts, length(m[i]) AS n,
+    length(array_to_string(b[1:i], '')) + length(array_to_string(m[1:i - 1], '')) AS s
+  FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM found)),
+spans AS (SELECT doc_id, o, s, kind || ':' || s || ':' || (s + n) AS span FROM placed WHERE counts)
+SELECT d.doc_id, count(*) FILTER (o = 0) AS n_assign, count(*) FILTER (o = 1) AS n_access, count(*) FILTER (o = 2) AS n_hex,
+  sha256(coalesce(string_agg(span, ',' ORDER BY s, o) FILTER (o < 3), '')) AS base_sha256,
+  coalesce(string_agg(span, ',' ORDER BY s, o), '') AS spans
+FROM docs d LEFT JOIN spans USING (doc_id) GROUP BY d.doc_id
+"""
+
+
 QUALITY_RULES = r"""
 WITH docs AS (
   SELECT doc_id, coalesce(text, '') AS text, source,
@@ -91,6 +127,7 @@ FROM lines l LEFT JOIN gone g USING (doc_id, i) GROUP BY l.doc_id
 
 ORACLES = {
     "op2_url_filter": URL_FILTER,
+    "op3_secret_index": _secret_index(),
     "op5_quality_rules": QUALITY_RULES,
     "op6_line_dedup": LINE_DEDUP,
 }

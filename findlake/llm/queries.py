@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, quality_rules, url_filter
+from . import line_dedup, packing, quality_rules, secret_index, simhash_anchors, string_tiling, substring_dedup, url_filter
 
 URL_RULES = [
     ("allow", "org/"),
@@ -26,6 +26,12 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, campaign, URL_RULES)
 
 
+def op3_secret_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: the base rules and public token formats."""
+    rules = secret_index.BASE_RULES + secret_index.MORE_RULES
+    return secret_index.digest(secret_index.scan(table(spark, sf_dir, "documents"), rules), rules, len(secret_index.BASE_RULES))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rules and line frequency of every document."""
     return quality_rules.judged(table(spark, sf_dir, "documents")).select(
@@ -38,8 +44,39 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
 
 
+def op4_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and group of every document."""
+    return simhash_anchors.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document and its place in a sequence of 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What 400-byte repeats leave of every document."""
+    return substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
+
+
+def op10_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that it holds."""
+    return string_tiling.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op2_url_filter": op2_url_filter,
+    "op3_secret_index": op3_secret_index,
+    "op4_simhash_anchors": op4_simhash_anchors,
     "op5_quality_rules": op5_quality_rules,
     "op6_line_dedup": op6_line_dedup,
+    "op8_packing": op8_packing,
+    "op9_substring_dedup": op9_substring_dedup,
+    "op10_string_tiling": op10_string_tiling,
 }
