@@ -201,10 +201,11 @@ def spans_text(spans: Column, rules: tuple[Rule, ...]) -> Column:
 def digest(found: DataFrame, rules: tuple[Rule, ...], base: int) -> DataFrame:
     """Counts and a checksum of the spans of the first ``base`` rules, and the text of all spans."""
     of_base = F.filter("found", lambda s: s["order"] < base)
-    counts = [
-        F.size(F.filter("found", lambda s, i=i: s["order"] == i)).cast("bigint").alias(f"n_{rule.kind}")
-        for i, rule in enumerate(rules[:base])
-    ]
+
+    def count(order: int) -> Column:
+        return F.size(F.filter("found", lambda s: s["order"] == order)).cast("bigint")
+
+    counts = [count(i).alias(f"n_{rule.kind}") for i, rule in enumerate(rules[:base])]
     return found.select(
         "doc_id",
         *counts,
