@@ -29,7 +29,10 @@ def texts(documents: DataFrame, *columns: str) -> DataFrame:
 
 
 def join_rows(left: DataFrame, right: DataFrame, how: str = "left") -> DataFrame:
-    """Join on the row key (a null ``doc_id`` equals a null one); key columns come from the left."""
+    """Join on the row key (a null ``doc_id`` equals a null one); key columns come from the left.
+
+    Give ``right`` a hint where the plan should not depend on its size.
+    """
     other = right.withColumnsRenamed({"k": "_right_k", "doc_id": "_right_id"})
     joined = left.join(other, (F.col("k") == F.col("_right_k")) & F.col("doc_id").eqNullSafe(F.col("_right_id")), how)
     return joined.drop("_right_k", "_right_id")

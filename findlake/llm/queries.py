@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, packing, quality_rules, secret_index, simhash_anchors, string_tiling, substring_dedup, url_filter
+from . import html_blocks, line_dedup, nb_svm, packing, quality_rules, secret_index, simhash_anchors, string_tiling, substring_dedup, url_filter
 
 URL_RULES = [
     ("allow", "org/"),
@@ -19,6 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_nb_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document."""
+    return nb_svm.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page URL. The list to block: URLs that a campaign link (``utm_...``) brought in."""
     pages = table(spark, sf_dir, "pages")
@@ -55,6 +60,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op7_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_blocks.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document and its place in a sequence of 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -71,11 +81,13 @@ def op10_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_nb_svm": op1_nb_svm,
     "op2_url_filter": op2_url_filter,
     "op3_secret_index": op3_secret_index,
     "op4_simhash_anchors": op4_simhash_anchors,
     "op5_quality_rules": op5_quality_rules,
     "op6_line_dedup": op6_line_dedup,
+    "op7_html_blocks": op7_html_blocks,
     "op8_packing": op8_packing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_string_tiling": op10_string_tiling,

@@ -239,7 +239,8 @@ def links(different: DataFrame, parts: int, slice_size: int = SLICE) -> DataFram
 
 
 def groups(documents: DataFrame) -> DataFrame:
-    """``k``, ``doc_id``, ``fp`` and ``component_id`` of every document."""
+    """``k``, ``doc_id``, ``fp``, ``component_id`` and ``root`` (any fingerprint of the group) of every
+    document."""
     prints = written(fingerprints(documents), "fingerprints")
     different = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "different-fingerprints")
     parts = 3 if different.count() < LONG_PARTS_FROM else 2
@@ -247,8 +248,14 @@ def groups(documents: DataFrame) -> DataFrame:
     rooted = different.join(labels, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     rooted = written(rooted, "rooted-fingerprints")
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = written(rooted.join(smallest, "root").select(F.col("fp").alias("_fp"), "component_id"), "named-fingerprints")
-    return prints.join(named, prints.fp == named["_fp"]).select("k", "doc_id", "fp", "component_id")
+    named = written(rooted.join(smallest, "root").select(F.col("fp").alias("_fp"), "component_id", "root"), "named-fingerprints")
+    return prints.join(named, prints.fp == named["_fp"]).select("k", "doc_id", "fp", "component_id", "root")
+
+
+def representatives(found: DataFrame) -> DataFrame:
+    """``k`` and ``doc_id`` of the row of each group that stays: the smallest id, nulls last."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "k")).alias("first")
+    return found.groupBy("root").agg(first).select("first.k", "first.doc_id")
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:

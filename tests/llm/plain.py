@@ -1,0 +1,212 @@
+"""The operators over plain Python lists, written as simply as their definitions, for comparison."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import xxhash
+
+SPACE = r"[\x20\x09-\x0D]"
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def normal(line):
+    return re.sub(SPACE + "+", " ", line.lower()).strip(" ")
+
+
+# Quality rules ------------------------------------------------------------------------------------
+
+
+def base_counts(text):
+    text = text or ""
+    w = words(text)
+    lines = [x for x in text.split("\n") if words(x)]
+    windows = [tuple(w[i : i + 8]) for i in range(len(w) - 7)]
+    often = Counter(windows)
+    covered = {p for i, x in enumerate(windows) if often[x] > 1 for p in range(i, i + 8)}
+    return {
+        "n_words": len(w),
+        "word_chars": sum(map(len, w)),
+        "n_symbols": sum(c in "#*$%&|<>" for c in text),
+        "n_dup_lines": len(lines) - len(set(lines)),
+        "n_repeat_words": len(covered),
+        "base_failed": len(w) < 20 or 100 * len(covered) > 30 * len(w),
+    }
+
+
+def quality(docs, max_docs=20):
+    """{row: (counts, removed words, kept, text left)} for rows (doc_id, text, source)."""
+    marks = defaultdict(set)
+    for _, text, source in set(docs):
+        hashes = sorted({hashlib.md5(normal(x).encode()).hexdigest() for x in (text or "").split("\n") if words(x)})
+        for h in hashes:
+            marks[source, h].add(next((o for o in hashes[:2] if o != h), ""))
+    frequent = {key for key, m in marks.items() if len(m) > max_docs}
+    out = {}
+    for doc_id, text, source in docs:
+        counts = base_counts(text)
+        lines = (text or "").split("\n")
+        gone = [bool(words(x)) and (source, hashlib.md5(normal(x).encode()).hexdigest()) in frequent for x in lines]
+        lost = sum(len(words(x)) for x, g in zip(lines, gone) if g)
+        left = counts["n_words"] - lost
+        kept = not counts["base_failed"] and left >= 20 and 100 * left >= 50 * counts["n_words"]
+        out[doc_id, text, source] = (counts, lost, kept, "\n".join(x for x, g in zip(lines, gone) if not g))
+    return out
+
+
+# Line dedup ---------------------------------------------------------------------------------------
+
+
+def line_dedup(docs):
+    """{(doc_id, text): text left} for (doc_id, text) in order of ids."""
+    seen, out = set(), {}
+    for doc_id, text in sorted(set(docs), key=lambda r: (r[0] is not None, r[0])):
+        lines = (text or "").split("\n")
+        full = [i for i, x in enumerate(lines) if words(x)]
+        gone = set()
+        for j in range(len(full) - 2):
+            key = tuple(normal(lines[i]) for i in full[j : j + 3])
+            if key in seen:
+                gone.update(full[j : j + 3])
+            seen.add(key)
+        out[doc_id, text] = "\n".join(x for i, x in enumerate(lines) if i not in gone)
+    return out
+
+
+# SimHash ------------------------------------------------------------------------------------------
+
+
+def fingerprint(text):
+    w = words("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    shingles = [" ".join(w[i : i + 4]) for i in range(max(1, len(w) - 3))] if w else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum((2 * sum(h >> b & 1 for h in hashes) > len(hashes)) << b for b in range(64))
+
+
+def near_groups(docs, distance=4):
+    """[(doc_id, fingerprint, smallest reachable id)] for (doc_id, text)."""
+    prints = [fingerprint(t) for _, t in docs]
+    different = sorted(set(prints))
+    up = {f: f for f in different}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i, a in enumerate(different):
+        for b in different[:i]:
+            if (a ^ b).bit_count() <= distance:
+                up[find(a)] = find(b)
+    smallest = {}
+    for (doc_id, _), f in zip(docs, prints):
+        if doc_id is not None:
+            smallest[find(f)] = min(doc_id, smallest.get(find(f), doc_id))
+    return [(doc_id, f, smallest.get(find(f))) for (doc_id, _), f in zip(docs, prints)]
+
+
+# Tiling -------------------------------------------------------------------------------------------
+
+
+def tiles(doc, item, least=5):
+    """Greedy string tiling by trying every pair of places; (document, item, length)."""
+    used_doc, used_item, out = [False] * len(doc), [False] * len(item), []
+    while True:
+        best, longest = [], least
+        for q in range(len(item)):
+            for p in range(len(doc)):
+                n = 0
+                while q + n < len(item) and p + n < len(doc) and doc[p + n] == item[q + n] and not used_doc[p + n] and not used_item[q + n]:
+                    n += 1
+                if n > longest:
+                    best, longest = [], n
+                if n == longest:
+                    best.append((q, p))
+        if not best:
+            return out
+        for q, p in best:
+            if not any(used_doc[p : p + longest]) and not any(used_item[q : q + longest]):
+                used_doc[p : p + longest] = [True] * longest
+                used_item[q : q + longest] = [True] * longest
+                out.append((p, q, longest))
+
+
+def tokens(text):
+    return re.findall(r"\w+", (text or "").lower())
+
+
+def contaminated(docs, items, min_coverage=0.6):
+    """{(doc_id, item_id)} whose tiles cover the item; only pairs that share five tokens are tiled."""
+    found = set()
+    seeds = defaultdict(set)
+    for n, (_, text) in enumerate(items):
+        t = tokens(text)
+        for i in range(len(t) - 4):
+            seeds[tuple(t[i : i + 5])].add(n)
+    for doc_id, text in docs:
+        t = tokens(text)
+        near = {n for i in range(len(t) - 4) for n in seeds.get(tuple(t[i : i + 5]), ())}
+        for n in near:
+            item = tokens(items[n][1])
+            if sum(size for _, _, size in tiles(t, item)) >= min_coverage * len(item):
+                found.add((doc_id, items[n][0]))
+    return found
+
+
+# Byte strings -------------------------------------------------------------------------------------
+
+
+def without_repeats(texts, length=400):
+    """(bytes, removed, runs, what is kept) of each text."""
+    data = [(t or "").encode() for t in texts]
+    often = Counter(d[i : i + length] for d in data for i in range(len(d) - length + 1))
+    out = []
+    for d in data:
+        runs = []
+        for i in range(len(d) - length + 1):
+            if often[d[i : i + length]] > 1:
+                if runs and i <= runs[-1][1]:
+                    runs[-1][1] = i + length
+                else:
+                    runs.append([i, i + length])
+        edges = [0, *(e for r in runs for e in r), len(d)]
+        kept = b"".join(d[a:b] for a, b in zip(edges[::2], edges[1::2]))
+        out.append((len(d), len(d) - len(kept), len(runs), kept))
+    return out
+
+
+# Packing ------------------------------------------------------------------------------------------
+
+
+def check_packing(rows, ids_of, capacity=2048):
+    """``rows`` (dicts) hold every document of ``ids_of`` ({doc_id: ids}) whole, each sequence is
+    gapless and none too long. Returns the number of sequences."""
+    import numpy as np
+
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for r in rows:
+        pieces[r["doc_id"]].append(r)
+        sequences[r["sequence_id"]].append(r)
+    assert set(pieces) == set(ids_of)
+    for doc_id, ids in ids_of.items():
+        at = 0
+        for n, r in enumerate(sorted(pieces[doc_id], key=lambda r: r["piece"])):
+            part = np.array(ids[at : at + r["length"]], "<u4").tobytes()
+            assert (r["piece"], r["start"], r["ids_crc32"]) == (n, at, zlib.crc32(part))
+            assert r["length"] == capacity or n == 0
+            at += r["length"]
+        assert at == len(ids)
+        assert len(ids) > capacity or len(pieces[doc_id]) == 1
+    for found in sequences.values():
+        at = 0
+        for r in sorted(found, key=lambda r: r["offset"]):
+            assert r["offset"] == at
+            at += r["length"]
+        assert at <= capacity
+    return len(sequences)
