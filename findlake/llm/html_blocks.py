@@ -115,7 +115,8 @@ class _Blocks(HTMLParser):
                     break
         _, bad, talk, silent, section, article = self.open[-1]
         given = {k: v or "" for k, v in attrs}
-        names = {p.lower() for k in ("class", "id") for p in _NAME_PARTS.findall(given.get(k, ""))}
+        called = [*given.get("class", "").split(), *given.get("id", "").split()]
+        names = {p.lower() for name in called for p in (*_NAME_PARTS.findall(name), re.sub(r"[-_]", "", name))}
         talk = talk or bool(names & DISCUSSION)
         if tag in ("article", "main") and not talk:
             bad = False  # what was left open before it has ended

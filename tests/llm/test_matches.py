@@ -1,0 +1,106 @@
+"""Substring dedup and string tiling."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from findlake.llm import string_tiling, substring_dedup, substring_names
+
+from . import plain
+
+
+def texts():
+    chance = random.Random(11)
+    word = lambda n: "".join(chance.choice("abcé ") for _ in range(n))
+    shared = [word(900) for _ in range(4)]
+    out = [None, "", "short", "ab" * 400, "ab" * 400 + "c", "x" * 1000, shared[0], shared[0], word(50) + shared[0][100:650] + word(70) + shared[1]]
+    out += [word(30) + shared[1][chance.randrange(300) :] + word(chance.randrange(90)) for _ in range(6)]
+    out += [shared[2] + word(300) + shared[2], shared[2][:520] + "!" + shared[2][521:], shared[3][:399], shared[3][1:401], shared[3][:400]]
+    return out + ["of, " * 300 + word(100), "of, " * 260, word(5000)]
+
+
+def test_repeats_equal_plain(spark, documents, monkeypatch):
+    found = texts()
+    want = plain.without_repeats(found)
+    for limit, block in ((32 << 20, 1 << 20), (0, 700)):
+        monkeypatch.setattr(substring_dedup, "BROADCAST_BYTES", limit)
+        got = substring_dedup.without_repeats(documents(list(enumerate(found))), keep_text=True).collect()
+        for r in got:
+            n, removed, runs, kept = want[r["doc_id"]]
+            assert (r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) == (n, removed, runs, kept), r["doc_id"]
+            assert r["kept_sha256"] == hashlib.sha256(kept).hexdigest()
+
+
+def test_repeated_rows_and_null_ids(spark, documents):
+    text = "".join(chr(97 + i * 7 % 26) + str(i) for i in range(300))
+    rows = [(1, text), (1, text), (None, "other" + text[:300]), (2, None)]
+    got = substring_dedup.without_repeats(documents(rows)).collect()
+    want = plain.without_repeats([t for _, t in rows])
+    assert sorted((r["n_bytes"], r["n_removed"]) for r in got) == sorted((n, m) for n, m, _, _ in want)
+    assert substring_dedup.without_repeats(documents([])).count() == 0
+
+
+def test_long_texts_are_taken_in_blocks(monkeypatch):
+    data = np.frombuffer(bytes(random.Random(2).choices(b"ab ", k=9000)), np.uint8)
+    whole = [(o + a, o + f, o + e) for o, _, A, B, C in substring_names.anchored_runs(data, 400) for a, f, e in zip(A, B, C)]
+    monkeypatch.setattr(substring_names, "BLOCK", 1500)
+    blocks = [(o + a, o + f, o + e) for o, _, A, B, C in substring_names.anchored_runs(data, 400) for a, f, e in zip(A, B, C)]
+    assert whole == blocks and whole[0][1] == 0 and whole[-1][2] == len(data) - 400
+    assert all(x[2] + 1 == y[1] for x, y in zip(whole, whole[1:]))
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 4), max_size=40), st.lists(st.integers(1, 4), max_size=25))
+def test_tiles_equal_plain(doc, item):
+    as_numbers = lambda x: np.array(x, np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    assert string_tiling.tiles(as_numbers(doc), as_numbers(item)) == plain.tiles(doc, item)
+
+
+PASSAGE = "the quick brown fox jumps over the lazy dog while seven wise owls watch from an old oak tree"
+
+
+def test_reordered_passages_are_found(spark, documents):
+    w = PASSAGE.split()
+    rows = [
+        (1, "Intro. " + PASSAGE.upper() + "! More."), (2, " ".join(w[9:] + ["and", "then"] + w[:9])), (3, " ".join(w[:8])), (4, " ".join(reversed(w))),
+        (5, None), (6, ""), (None, PASSAGE), (1, PASSAGE), (7, "x " * 30000 + PASSAGE + " y" * 30000),
+    ]
+    items = spark.createDataFrame([(10, PASSAGE), (11, "too short"), (12, None), (10, PASSAGE)], "item_id bigint, text string")
+    want = {(1, 10), (2, 10), (None, 10), (7, 10)}
+    assert plain.contaminated(rows[:2] + rows[2:6] + rows[6:7], [(10, PASSAGE)]) == want - {(7, 10)}
+    for limit in (32 << 20, 0):
+        all_pairs = string_tiling.overlaps(documents(rows), items, broadcast_bytes=limit)
+        got = [(r["doc_id"], r["item_id"]) for r in all_pairs.where("coverage >= 0.6").collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
+        assert all_pairs.where("doc_id = 3").first()["n_covered"] == 8
+
+
+def test_empty_benchmark_and_documents(spark, documents):
+    none = spark.createDataFrame([], "item_id bigint, text string")
+    some = spark.createDataFrame([(1, PASSAGE)], "item_id bigint, text string")
+    assert string_tiling.contaminated(documents([(1, PASSAGE)]), none).count() == 0
+    assert string_tiling.contaminated(documents([]), some).count() == 0
+
+
+@pytest.mark.parametrize("name", ["op9_substring_dedup", "op10_string_tiling"])
+def test_queries_equal_plain(spark, name):
+    import duckdb
+
+    from findlake.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    db = duckdb.connect()
+    docs = db.execute(f"SELECT doc_id, text FROM '{sf}/documents.parquet'").fetchall()
+    rows = QUERIES[name](spark, sf).collect()
+    if name.startswith("op9"):
+        want = dict(zip([d for d, _ in docs], plain.without_repeats([t for _, t in docs])))
+        assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"]) for r in rows} == {d: v[:3] for d, v in want.items()}
+    else:
+        items = db.execute(f"SELECT item_id, text FROM '{sf}/benchmark.parquet'").fetchall()
+        assert {(r["doc_id"], r["item_id"]) for r in rows} == plain.contaminated(docs, items)
