@@ -18,7 +18,7 @@ from findlake.operators.remediation import BANDIT_ADVICE
 from findlake.operators.secrets import redact, secret_lines
 from findlake.plans import report
 from findlake.plans.scan_flow import normalize_all, normalize_tool, run_scans
-from findlake.session import materialize
+from findlake.session import materialize, shared_dir
 from findlake.sources.config import POLICY_CONFIG, config_check, config_value, lookup
 from findlake.sources.reports import lay_out_by_tool, report_line_counts
 from findlake.streaming import arrivals
@@ -604,28 +604,28 @@ def normalized_dedup(spark, sf):
 
 
 def event_stream(spark, sf):
-    schema = inputs.table(spark, sf, "events").schema
-    return arrivals.read_arrivals(spark, sf, schema, "events.parquet")
+    """The events in eight files, each over the whole period, taken three at a time: most rows of
+    the later batches are older than what came before."""
+    events = inputs.table(spark, sf, "events")
+    folder = shared_dir(spark, "arriving-events")
+    events.repartition(8, "event_id").write.parquet(folder)
+    return arrivals.read_arrivals(spark, folder, events.schema, files_per_batch=3)
 
 
 @query
 def stream_normalize(spark, sf):
     raw = inputs.raw_report(inputs.events_numbers(event_stream(spark, sf)), "tflint")
     found = arrivals.normalize_stream(raw, NORMALIZERS["tflint"])
-    return arrivals.run_to_table(found, "stream_normalize").drop("metadata")
+    return arrivals.run_to_table(found, shared_dir(spark, "stream_normalize")).drop("metadata")
 
 
 @query
 def stream_dedup_keys(spark, sf):
     found = inputs.findings_from(event_stream(spark, sf))
-    return arrivals.run_to_table(arrivals.dedup_stream(found), "stream_dedup").select("scan_id", "key")
+    return arrivals.run_to_table(arrivals.dedup_stream(found), shared_dir(spark, "stream_dedup"))
 
 
 @query
 def stream_windowed_counts(spark, sf):
-    closed = arrivals.run_to_table(arrivals.windowed_counts(inputs.findings_from(event_stream(spark, sf))), "stream_counts")
-    table = inputs.findings_from(inputs.table(spark, sf, "events"))
-    counts = arrivals.with_open_windows(closed, table)
+    counts = arrivals.count_to_table(inputs.findings_from(event_stream(spark, sf)), shared_dir(spark, "stream_counts"))
     return counts.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "severity", "findings")
-
-

@@ -1,44 +1,45 @@
 """Reports that keep arriving: stateless normalisation, dedup across arrivals, windowed counts.
 
-Jobs run until the input is used up (``availableNow``) and keep their progress and their output
-in the shared folder, so a lost executor or a restart repeats no row and loses none.
+Jobs run until the input is used up (``availableNow``). Each is given a folder of its own, in which
+it keeps its progress and its output: run again with the same folder, it takes up only what is new,
+and a lost executor or a restart repeats no row and loses none. No result depends on how many files
+make a batch, nor on the order in which they arrive.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from findlake.operators.aggregate import with_key
 from findlake.operators.ordering import SALTS
-from findlake.session import shared_dir
+
+COUNTS = "window_start timestamp, window_end timestamp, severity string, findings bigint"
 
 
 def read_arrivals(
     spark: SparkSession, path: str, schema, file_glob: str = "*.parquet", files_per_batch: int = 10_000
 ) -> DataFrame:
     """Files as they arrive. A long backlog is taken in batches of ``files_per_batch``, so each
-    batch's state and shuffle stay of bounded size."""
+    batch's shuffle stays of bounded size."""
     reader = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
     return reader.option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def run_to_table(stream: DataFrame, purpose: str) -> DataFrame:
-    """Run a stream to the end of its input and read back the written table."""
-    spark = stream.sparkSession
-    base = shared_dir(spark, purpose)
+def run_to_table(stream: DataFrame, folder: str) -> DataFrame:
+    """Run a stream to the end of its input and read back the table written to ``folder``."""
     query = (
         stream.writeStream.format("parquet")
-        .option("path", f"{base}/table")
-        .option("checkpointLocation", f"{base}/progress")
+        .option("path", f"{folder}/table")
+        .option("checkpointLocation", f"{folder}/progress")
         .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{base}/table")
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/table")
 
 
 def normalize_stream(raw_stream: DataFrame, normalizer: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -46,38 +47,41 @@ def normalize_stream(raw_stream: DataFrame, normalizer: Callable[[DataFrame], Da
     return normalizer(raw_stream)
 
 
-def dedup_stream(findings_stream: DataFrame, ts: str = "ts", delay: str = "30 days") -> DataFrame:
-    """One row per (scan_id, key) within the watermark delay, first processed wins.
+def dedup_stream(findings_stream: DataFrame) -> DataFrame:
+    """Each (scan_id, key) once, whenever it arrives.
 
-    The stream is first deduplicated per salt, then per key: copies of one hot key are spread
+    The keys seen are kept as state on the executors' disks, without a time limit, so no row is too
+    late. The stream is first deduplicated per salt, then per key: copies of one hot key are spread
     over the salts, and only one row per salt goes on to the key's own task.
     """
-    keyed = with_key(findings_stream).withWatermark(ts, delay)
-    salt = F.pmod(F.xxhash64("seq"), F.lit(SALTS))
-    per_salt = keyed.withColumn("_salt", salt).dropDuplicatesWithinWatermark(["scan_id", "key", "_salt"])
-    return per_salt.dropDuplicatesWithinWatermark(["scan_id", "key"]).select("scan_id", "key", ts)
-
-
-def windowed_counts(findings_stream: DataFrame, ts: str = "ts", size: str = "1 day", delay: str = "1 hour") -> DataFrame:
-    """Findings per event-time window and severity; a window is written when it is closed."""
-    return (
-        findings_stream.withWatermark(ts, delay)
-        .groupBy(F.window(ts, size).alias("w"), "severity")
-        .agg(F.count(F.lit(1)).alias("findings"))
-        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "severity", "findings")
-    )
+    salt = F.pmod(F.xxhash64("seq"), F.lit(SALTS)).alias("_salt")
+    keyed = with_key(findings_stream).select("scan_id", "key", salt)
+    return keyed.dropDuplicates(["scan_id", "key", "_salt"]).select("scan_id", "key").dropDuplicates(["scan_id", "key"])
+
 
+def window_counts(findings: DataFrame, ts: str | Column = "ts", size: str = "1 day") -> DataFrame:
+    """Findings per event-time window and severity."""
+    counted = findings.groupBy(F.window(ts, size).alias("w"), "severity").agg(F.count(F.lit(1)).alias("findings"))
+    return counted.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "severity", "findings")
 
-def with_open_windows(closed: DataFrame, findings: DataFrame, ts: str = "ts", size: str = "1 day") -> DataFrame:
-    """Closed windows of the stream plus the still open ones, counted from the table.
 
-    Only rows after the last closed window are read again.
+def count_to_table(findings_stream: DataFrame, folder: str, ts: str = "ts", size: str = "1 day") -> DataFrame:
+    """Run the stream to the end of its input and return its windowed counts so far.
+
+    Every batch writes the counts of its own rows, under its number, so that a batch run again
+    replaces what it wrote; reading adds them up. A row counts in its window however late it comes.
     """
-    last = closed.agg(F.max("window_end")).scalar()
-    tail = findings.where(last.isNull() | (F.col(ts) >= last))
-    counted = (
-        tail.groupBy(F.window(ts, size).alias("w"), "severity")
-        .agg(F.count(F.lit(1)).alias("findings"))
-        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "severity", "findings")
+    spark = findings_stream.sparkSession
+
+    def count_batch(batch: DataFrame, number: int) -> None:
+        window_counts(batch, ts, size).write.mode("overwrite").parquet(f"{folder}/counts/batch={number}")
+
+    query = (
+        findings_stream.writeStream.foreachBatch(count_batch)
+        .option("checkpointLocation", f"{folder}/progress")
+        .trigger(availableNow=True)
+        .start()
     )
-    return closed.unionByName(counted)
+    query.awaitTermination()
+    parts = spark.read.schema(COUNTS).option("basePath", f"{folder}/counts").parquet(f"{folder}/counts")
+    return parts.groupBy("window_start", "window_end", "severity").agg(F.sum("findings").alias("findings"))
