@@ -133,17 +133,22 @@ def cases(number: str, options: list[str]) -> str:
     return f"case {number} % {len(options)} {whens} end"
 
 
+# Documents whose place is taken by a package file or by one that cannot be read lie beside it.
+BESIDE = "d % 41 = 0 or (d div 3) % 9 = 6"
+BESIDE_PATH = "concat('docs/d', d, '.txt')"
+
+
 def files(spark: SparkSession, sf: str) -> DataFrame:
-    """Eight files per scan, one per document; whole texts, some with template or package heads."""
+    """At least eight files per scan; every document's whole text is in one of them, some behind
+    template or package heads."""
     docs = table(spark, sf, "documents").select(F.col("doc_id").alias("d"), "text", "source")
-    return as_table(
-        docs,
-        scan_id=F.expr("concat('scan-', d div 8)"),
-        repo=F.col("source"),
-        path=F.expr(cases("(d * 7 + d div 8)", FILE_PATHS)),
-        content=F.expr(f"case when d % 41 <> 0 then {cases('(d div 3)', FILE_HEADS)} end"),
-        read_ok=F.expr("d % 41 <> 0"),
+    common = "'scan_id', concat('scan-', d div 8), 'repo', source"
+    own = (
+        f"named_struct({common}, 'path', {cases('(d * 7 + d div 8)', FILE_PATHS)}, "
+        f"'content', case when d % 41 <> 0 then {cases('(d div 3)', FILE_HEADS)} end, 'read_ok', d % 41 <> 0)"
     )
+    beside = f"if({BESIDE}, named_struct({common}, 'path', {BESIDE_PATH}, 'content', text, 'read_ok', true), null)"
+    return docs.select(F.inline(F.expr(f"array_compact(array({own}, {beside}))")))
 
 
 # --- raw reports -----------------------------------------------------------------------------

@@ -112,7 +112,9 @@ def duck(sql: str) -> str:
 
 FILES = f"""files AS (SELECT 'scan-' || (d // 8) AS scan_id, {duck(inputs.cases("(d * 7 + d div 8)", inputs.FILE_PATHS))} AS path,
     CASE WHEN d % 41 <> 0 THEN {duck(inputs.cases("(d div 3)", inputs.FILE_HEADS))} END AS content, d % 41 <> 0 AS read_ok
-  FROM (SELECT doc_id AS d, text FROM documents))"""
+  FROM (SELECT doc_id AS d, text FROM documents)
+  UNION ALL SELECT 'scan-' || (doc_id // 8), 'docs/d' || doc_id || '.txt', text, true
+  FROM documents WHERE doc_id % 41 = 0 OR (doc_id // 3) % 9 = 6)"""
 BASENAME = "string_split(path, '/')[-1]"
 DIRNAME = "regexp_replace(path, '/?[^/]*$', '')"
 HEAD = "substring(content, 1, 2000)"
@@ -730,6 +732,27 @@ add(
     ),
 )
 
+# Results that are a text instead of an object: where they stand, by the shape of the report.
+_children = (
+    "(SELECT r.*, '0.' AS parent, unnest(range(0, e % 4)) AS i FROM r UNION ALL SELECT r.*, '2.', unnest(range(0, (e + 1) % 3)) FROM r)"
+)
+_flat, _nested = "(SELECT r.*, '' AS parent, unnest(range(0, e % 4)) AS i FROM r)", "(SELECT r.*, '0.' AS parent, unnest(range(0, e % 4)) AS i FROM r)"
+_shapes = {
+    **{t: _flat for t in ("terraform-validate", "tflint", "tfsec", "checkov", "cfn-lint", "checkov-cfn", "bandit", "safety", "pylint")},
+    **{t: _children for t in ("trivy", "trivy-container")},
+    "cfn-nag": _nested,
+    **{t: f"(SELECT * FROM {_nested} WHERE NOT (e % 3 = 2 AND e % 5 = 0))" for t in ("snyk-iac", "snyk-iac-template")},
+}
+add(
+    "result_errors",
+    NUMBERS,
+    " UNION ALL ".join(
+        f"SELECT scan_id, '{t}' AS tool, e AS seq, 'entry' AS reason, parent || i AS position, 'odd' AS text FROM {rows} "
+        "WHERE e % 23 <> 0 AND e % 29 <> 0 AND e % 31 <> 0 AND e % 37 <> 0 AND (e + i) % 13 <> 0 AND (e + i) % 19 = 0"
+        for t, rows in _shapes.items()
+    ),
+)
+
 # --- secrets ---------------------------------------------------------------------------------
 
 
@@ -740,7 +763,7 @@ def hex_rule(rule: str) -> str:
 
 SECRET_LINES = f"{FILES}, l AS (SELECT scan_id, path, unnest(string_split(content, chr(10))) AS line, unnest(range(1, len(string_split(content, chr(10))) + 1)) AS line_number FROM files WHERE read_ok)"
 SECRETS = " UNION ALL ".join(
-    f"SELECT scan_id, path, CAST(line_number AS INTEGER) AS line_number, '{rule}' AS rule_id, regexp_extract(line, '{hex_rule(rule)}') AS m FROM l WHERE regexp_matches(line, '{hex_rule(rule)}')"
+    f"SELECT scan_id, path, CAST(line_number AS INTEGER) AS line_number, '{rule}' AS rule_id, unnest(regexp_extract_all(line, '{hex_rule(rule)}')) AS m FROM l"
     for rule in SECRET_RULES
     if rule != "generic-api-key"  # excluded by the configuration
 )
@@ -763,6 +786,12 @@ UNION_COLUMNS = "scan_id, tool, severity, rule_id, title, file_path, line_number
 ALL_FINDINGS = "a AS (" + " UNION ALL ".join(
     [f"SELECT scan_id, seq, {UNION_COLUMNS[9:]} FROM ({ORACLES[n]})" for n in NORMS] + [f"SELECT scan_id, seq, {UNION_COLUMNS[9:]} FROM ({SECRET_FINDINGS})"]
 ) + ")"
+add(
+    "flow_switches",
+    ALL_FINDINGS,
+    "SELECT scan_id, tool, count(*) AS findings FROM a WHERE severity <> 'INFO' "
+    "AND tool NOT IN ('npm-audit', 'snyk-iac', 'trivy-container', 'container-build', 'docker-build') GROUP BY ALL",
+)
 add("union_findings", ALL_FINDINGS, f"SELECT {UNION_COLUMNS} FROM a")
 KEY = "md5(coalesce(file_path, 'None') || ':' || coalesce(CAST(line_number AS VARCHAR), 'None') || ':' || rule_id || ':' || title)"
 _gate = GATE_RANK.replace("fail_on", "coalesce(fail_on, 'HIGH')")

@@ -12,7 +12,7 @@ from catalog.shapes import CHECK_NAMES, SEVERITY_WORDS
 from catalog.shapes import spark_pick as pick
 from findlake import functions as fn
 from findlake.model import TOOL_BY_NAME, TOOLS
-from findlake.operators import aggregate, classify, history, policy
+from findlake.operators import aggregate, classify, errors, history, policy
 from findlake.operators.normalize import NORMALIZERS, parse_errors
 from findlake.operators.remediation import BANDIT_ADVICE
 from findlake.operators.secrets import redact, secret_lines
@@ -429,6 +429,26 @@ def report_parse_errors(spark, sf):
     return parse_errors(inputs.raw_reports(spark, sf)).select("scan_id", "tool", "seq")
 
 
+@query
+def result_errors(spark, sf):
+    """Results that are no objects, one row each."""
+    found = errors.result_errors(inputs.raw_reports(spark, sf))
+    return found.select("scan_id", "tool", "seq", "reason", "position", "text")
+
+
+@query
+def flow_switches(spark, sf):
+    """Findings per scan and tool with the npm and container scanners switched off, of severity
+    LOW and above."""
+    tools = {**POLICY_CONFIG["tools"]}
+    for scanner in ("npm", "container"):
+        tools[scanner] = {**tools[scanner], "enabled": False}
+    result = run_scans(
+        inputs.raw_reports(spark, sf), inputs.files(spark, sf), inputs.scans(spark, sf), {**POLICY_CONFIG, "tools": tools}, report_minimum="LOW"
+    )
+    return result.findings.groupBy("scan_id", "tool").agg(F.count("*").alias("findings"))
+
+
 @query
 def union_findings(spark, sf):
     """All tools and the secrets scan together, with their policies."""
@@ -615,7 +635,7 @@ def event_stream(spark, sf):
 @query
 def stream_normalize(spark, sf):
     raw = inputs.raw_report(inputs.events_numbers(event_stream(spark, sf)), "tflint")
-    found = arrivals.normalize_stream(raw, NORMALIZERS["tflint"])
+    found = arrivals.normalize_stream(raw, lambda reports: NORMALIZERS["tflint"](reports, POLICY_CONFIG))
     return arrivals.run_to_table(found, shared_dir(spark, "stream_normalize")).drop("metadata")
 
 

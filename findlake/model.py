@@ -92,8 +92,7 @@ FINDINGS = T.StructType(
 
 FINDING_COLUMNS = FINDINGS.fieldNames()
 
-# findings.seq = tool rank | report number within the scan | position within the report.
-# One stdout is a single JVM string (< 2^31 bytes), and no reported element is shorter than
-# eight characters, so 28 bits always hold the position; 30 bits hold a billion reports a scan.
+# findings.seq = tool rank | report number within the scan | position within the report. A report
+# numbered beyond 30 bits and an entry placed beyond 28 are listed by ``parse_errors``, not misplaced.
 POSITION_BITS = 28
 REPORT_BITS = 30

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from findlake.functions import finding_key, normal_path, severity_rank
@@ -81,10 +81,9 @@ def scanners_run(findings: DataFrame) -> DataFrame:
 
 def tools_ranked(findings: DataFrame) -> DataFrame:
     """Tools of a scan by number of findings, ties in first-seen order."""
-    order = [F.desc("findings"), F.asc("first_seq")]
-    return top_by(count_by_tool(findings), ["scan_id"], order, 1 << 30, "place").select(
-        "scan_id", "place", "tool", "findings"
-    )
+    by_rank = Window.partitionBy("scan_id").orderBy(F.desc("findings"), F.asc("first_seq"))
+    ranked = count_by_tool(findings).withColumn("place", F.row_number().over(by_rank))
+    return ranked.select("scan_id", "place", "tool", "findings")
 
 
 def gate_rank(fail_on: Column) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from findlake.functions import basename, dirname, path_excluded
-from findlake.model import TOOLS
+from findlake.model import TOOLS, Tool
 from findlake.operators.normalize import well_formed
 
 
@@ -159,9 +159,19 @@ def npm_applicable(files: DataFrame) -> DataFrame:
     return files.groupBy("scan_id").agg(F.bool_or(any_target).alias("npm_applicable"))
 
 
+# The scanners with a switch of their own, ``tools.<scanner>.enabled``.
+SWITCHED_SCANNERS = ("npm", "container")
+
+
+def tool_enabled(config: Mapping, tool: Tool) -> bool:
+    """Whether the configuration lets a tool run: its scanner's switch and its own flag."""
+    section = config.get("tools", {}).get(tool.scanner) or {}
+    switch = section.get("enabled", True) if tool.scanner in SWITCHED_SCANNERS else True
+    return bool(switch) and bool(section.get(tool.flag, True))
+
+
 def tool_plan(files: DataFrame, config: Mapping, patterns: Sequence[str]) -> DataFrame:
     """(scan_id, tool, ord): the tools that run on each scan, by detection and by flag."""
-    tools = config.get("tools", {})
     detected = framework_flags()
     facts = files.groupBy("scan_id").agg(
         F.bool_or(detected["terraform"]).alias("terraform"),
@@ -181,8 +191,8 @@ def tool_plan(files: DataFrame, config: Mapping, patterns: Sequence[str]) -> Dat
         "terraform": F.col("terraform"),
         "cloudformation": F.col("cfn_loose") & F.col("cfn_strict"),
         "python": F.col("python"),
-        "npm": F.col("npm_target") & F.lit(bool(tools.get("npm", {}).get("enabled", True))),
-        "container": F.col("image_target") & F.lit(bool(tools.get("container", {}).get("enabled", True))),
+        "npm": F.col("npm_target"),
+        "container": F.col("image_target"),
         "secrets": F.lit(True),
     }
     extra = {
@@ -193,8 +203,7 @@ def tool_plan(files: DataFrame, config: Mapping, patterns: Sequence[str]) -> Dat
     }
     runs = []
     for tool in TOOLS:
-        enabled = tools.get(tool.scanner, {}).get(tool.flag, True)
-        if enabled:
+        if tool_enabled(config, tool):
             cond = needs[tool.scanner] & extra.get(tool.name, F.lit(True))
             runs.append(F.when(cond, F.struct(F.lit(tool.name).alias("tool"), F.lit(tool.rank).alias("ord"))))
     return facts.select("scan_id", F.inline(F.array_compact(F.array(*runs))))

@@ -9,6 +9,7 @@ its neighbours. Missing keys and JSON nulls both take the default.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from findlake.functions import (
 )
 from findlake.model import FINDING_COLUMNS, POSITION_BITS, REPORT_BITS, TOOL_BY_NAME
 from findlake.operators.policy import container_filter
+from findlake.sources.config import lookup
 
 # --- fixed values: rule ids and texts of findings whose report does not state them -------------
 UNKNOWN_RULE = "UNKNOWN"
@@ -156,12 +158,17 @@ def top_list_or_object() -> Column:
 
 
 def finding_seq(rank: int, report: Column, position: Column) -> Column:
-    """Total order of findings within a scan: tool, report, position."""
-    fits = (report >= 0) & (report < (1 << REPORT_BITS))
+    """Total order of findings within a scan: tool, report, position. Null where a number does not
+    fit; the flow leaves such reports out and lists them (see ``numbered_well``)."""
     return F.when(
-        fits,
+        numbered_well(report) & (position < (1 << POSITION_BITS)),
         F.lit(rank << (REPORT_BITS + POSITION_BITS)) + F.shiftleft(report, POSITION_BITS) + position.cast("bigint"),
-    ).otherwise(F.raise_error(F.lit("raw_reports.seq must be between 0 and 2^30")).cast("bigint"))
+    )
+
+
+def numbered_well(report: Column) -> Column:
+    """The report's number has a place in the order of findings."""
+    return F.coalesce((report >= 0) & (report < (1 << REPORT_BITS)), F.lit(False))
 
 
 def findings_of(rows: DataFrame, tool_name: str, **fields: Column) -> DataFrame:
@@ -541,14 +548,20 @@ def snyk_iac_template(raw: DataFrame) -> DataFrame:
 
 
 def trivy_container(
-    raw: DataFrame, image_prefix: str = "scan-", severities: str | None = None, ignore_unfixed: bool = False
+    raw: DataFrame,
+    image_prefix: str = "scan-",
+    severities: str | None = None,
+    ignore_unfixed: bool = False,
+    build_images: bool = True,
 ) -> DataFrame:
-    """``target`` is the Dockerfile; the image is named after its directory. Reports made
+    """``target`` is the Dockerfile; the image is named after its directory. Where images are not
+    built, ``target`` is the name of a ready image and there is no Dockerfile. Reports made
     without the severity list or the unfixed switch can be cut down by them here."""
     fixed = FIXED["trivy-container"]
     no_fix, upgrade, to_version = fixed["remediation"]
     doc = parse("stdout", "Results array<struct<Target: string, Type: string, Vulnerabilities: array<string>>>")
-    named = raw.withColumn("_image", image_tag(dirname(F.col("target")), image_prefix))  # once per report
+    image_name = image_tag(dirname(F.col("target")), image_prefix) if build_images else F.col("target")
+    named = raw.withColumn("_image", image_name)  # once per report
     rows = read(
         child_results(named, children_of(doc.Results, "Vulnerabilities", "Target", "Type")),
         "VulnerabilityID string, PkgName string, InstalledVersion string, FixedVersion string, Severity string, "
@@ -572,7 +585,7 @@ def trivy_container(
             F.when(installed.isNull(), "").otherwise(F.concat(F.lit(" ("), installed, F.lit(")"))),
         ),
         description=default("Description", ""),
-        file_path=F.col("_target"),
+        file_path=F.col("_target") if build_images else F.lit(None).cast("string"),
         resource=F.when(kind.isNull(), target).otherwise(F.concat(target, F.lit(" ("), kind, F.lit(")"))),
         remediation=F.when(fix.isNull(), no_fix).otherwise(
             F.concat(F.lit(upgrade), package, F.lit(to_version), fix)
@@ -611,27 +624,50 @@ def container_build(raw: DataFrame) -> DataFrame:
     )
 
 
-Normalizer = Callable[[DataFrame], DataFrame]
+def _configured_bandit(raw: DataFrame, config: Mapping[str, Any]) -> DataFrame:
+    return bandit(raw, lookup(config, "repository.default_path", "/repo"))
+
+
+def _configured_pylint(raw: DataFrame, config: Mapping[str, Any]) -> DataFrame:
+    return pylint(raw, lookup(config, "repository.default_path", "/repo"))
+
+
+def _configured_images(raw: DataFrame, config: Mapping[str, Any]) -> DataFrame:
+    return trivy_container(
+        raw,
+        lookup(config, "tools.container.image_name_prefix", "scan-"),
+        lookup(config, "tools.container.severities"),
+        lookup(config, "tools.container.ignore_unfixed", False),
+        lookup(config, "tools.container.build_images", True),
+    )
+
 
-# The registry is the extension point: a user adds a tool by adding a function here.
+def _plain(normalizer: Callable[[DataFrame], DataFrame]) -> Normalizer:
+    return lambda raw, config: normalizer(raw)
+
+
+Normalizer = Callable[[DataFrame, Mapping[str, Any]], DataFrame]
+
+# The registry is the extension point: a user adds a tool by adding a function (reports,
+# configuration) -> findings here, or replaces one.
 NORMALIZERS: dict[str, Normalizer] = {
-    "terraform-fmt": terraform_fmt,
-    "terraform-validate": terraform_validate,
-    "tflint": tflint,
-    "tfsec": tfsec,
-    "checkov": checkov,
-    "trivy": trivy,
-    "cfn-lint": cfn_lint,
-    "cfn-nag": cfn_nag,
-    "checkov-cfn": checkov_cfn,
-    "bandit": bandit,
-    "safety": safety,
-    "pylint": pylint,
-    "npm-audit": npm_audit,
-    "snyk-iac-template": snyk_iac_template,
-    "snyk-iac": snyk_iac,
-    "container-build": container_build,
-    "trivy-container": trivy_container,
+    "terraform-fmt": _plain(terraform_fmt),
+    "terraform-validate": _plain(terraform_validate),
+    "tflint": _plain(tflint),
+    "tfsec": _plain(tfsec),
+    "checkov": _plain(checkov),
+    "trivy": _plain(trivy),
+    "cfn-lint": _plain(cfn_lint),
+    "cfn-nag": _plain(cfn_nag),
+    "checkov-cfn": _plain(checkov_cfn),
+    "bandit": _configured_bandit,
+    "safety": _plain(safety),
+    "pylint": _configured_pylint,
+    "npm-audit": _plain(npm_audit),
+    "snyk-iac-template": _plain(snyk_iac_template),
+    "snyk-iac": _plain(snyk_iac),
+    "container-build": _plain(container_build),
+    "trivy-container": _configured_images,
 }
 
 # What the tools' JSON starts with; the others print plain text.
@@ -642,8 +678,8 @@ TOP_LEVEL = {
 }
 
 
-def parse_errors(raw: DataFrame) -> DataFrame:
-    """Reports with output that is not JSON of the tool's form; the normalisers skip them."""
+def readable(raw: DataFrame) -> Column:
+    """The report's output is empty or JSON of its tool's form."""
     start = F.substring(F.btrim(F.col("stdout"), F.lit(BLANKS)), 1, 1)
     expected = F
     for chars, tools in TOP_LEVEL.items():
@@ -651,4 +687,9 @@ def parse_errors(raw: DataFrame) -> DataFrame:
     ok = expected.otherwise(True) & F.when(
         F.col("tool").isin([t for tools in TOP_LEVEL.values() for t in tools]), well_formed(F.col("stdout"))
     ).otherwise(True)
-    return raw.where((start != "") & ~ok).select("scan_id", "tool", "target", "seq", "stdout")
+    return F.coalesce((start == "") | ok, F.lit(True))
+
+
+def parse_errors(raw: DataFrame) -> DataFrame:
+    """Reports with output that is not JSON of the tool's form; the normalisers skip them."""
+    return raw.where(~readable(raw)).select("scan_id", "tool", "target", "seq", "stdout")

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from findlake.model import TOOLS, Tool
 from findlake.operators import aggregate, classify, policy
-from findlake.operators.normalize import NORMALIZERS, bandit, pylint, trivy_container
+from findlake.operators.errors import unread, usable
+from findlake.operators.normalize import NORMALIZERS
 from findlake.operators.secrets import scan_secrets
 from findlake.session import materialize
 from findlake.sources.config import lookup
+from findlake.sources.reports import laid_out_by_tool, lay_out_by_tool
 
 
 def normalize_tool(
@@ -21,23 +23,14 @@ def normalize_tool(
 ) -> DataFrame:
     """Findings of one tool with everything the configuration says about it."""
     patterns = lookup(config, "repository.excluded_paths", [])
-    root = lookup(config, "repository.default_path", "/repo")
     reports = raw.where(F.col("tool") == tool.name)
+    if tool.name == "safety":
+        reports = policy.cut_at_auth_failure(reports)
+    found = NORMALIZERS[tool.name](reports, config)
     if tool.name == "bandit":
-        found = policy.bandit_remediation(bandit(reports, root))
-    elif tool.name == "pylint":
-        found = policy.drop_excluded_pylint(pylint(reports, root), rules)
-    elif tool.name == "safety":
-        found = NORMALIZERS["safety"](policy.cut_at_auth_failure(reports))
-    elif tool.name == "trivy-container":
-        found = trivy_container(
-            reports,
-            lookup(config, "tools.container.image_name_prefix", "scan-"),
-            lookup(config, "tools.container.severities"),
-            lookup(config, "tools.container.ignore_unfixed", False),
-        )
-    else:
-        found = NORMALIZERS[tool.name](reports)
+        found = policy.bandit_remediation(found)
+    if tool.name == "pylint":
+        found = policy.drop_excluded_pylint(found, rules)
     if tool.name == "checkov-cfn" and files is not None:
         found = policy.keep_template_files(found, classify.cfn_templates(files))
     if tool.name == "snyk-iac-template" and files is not None:
@@ -56,7 +49,7 @@ def normalize_all(raw: DataFrame, files: DataFrame | None, config: Mapping[str,
     rules = policy.exclude_rules_dim(raw.sparkSession, config)
     parts = []
     for tool in TOOLS:
-        if not lookup(config, f"tools.{tool.scanner}.{tool.flag}", True):
+        if not classify.tool_enabled(config, tool):
             continue
         if tool.name in NORMALIZERS:
             parts.append(normalize_tool(raw, files, tool, config, rules))
@@ -70,21 +63,35 @@ class ScanResult(NamedTuple):
     reported: DataFrame  # deduplicated, what reports show
     summary: DataFrame  # one row per scan
     status: DataFrame  # gate, exit code and status word per scan
+    errors: DataFrame  # reports and entries that could not be read or belong to no scan
 
 
 def run_scans(
-    raw: DataFrame, files: DataFrame | None, scans: DataFrame, config: Mapping[str, Any], fail_on: str | None = None
+    raw: DataFrame,
+    files: DataFrame | None,
+    scans: DataFrame,
+    config: Mapping[str, Any],
+    fail_on: str | None = None,
+    report_minimum: str | None = None,
 ) -> ScanResult:
     """``scans`` has (scan_id, repository, branch, scan_timestamp, errored) and may have
     ``fail_on``; a given ``fail_on`` beats it, and the configuration is the last resort.
 
     Findings, and what is left of them after dedup, are written to the shared folder once: the
     reports are parsed once, however many summaries, gates and documents read the result.
-    ``raw`` should be laid out by tool (see ``lay_out_by_tool``). A scan that only shows up in
-    the reports is added to ``scans`` without facts, so no finding goes unreported.
+    ``raw`` is laid out by tool first if its files are not (see ``lay_out_by_tool``). A scan that
+    only shows up in the reports is added to ``scans`` without facts, so no finding goes unreported;
+    reports without a scan are listed in ``errors``. ``report_minimum`` drops lower findings from
+    what is reported and counted (``severity.report_minimum`` of the configuration, if wanted).
     """
     dedup = lookup(config, "aggregation.deduplicate", True)
+    raw = raw if laid_out_by_tool(raw) else lay_out_by_tool(raw)
+    errors = unread(raw)
+    raw = usable(raw)
+    files = files.where("scan_id is not null") if files is not None else None
     findings = materialize(normalize_all(raw, files, config), "findings", ["tool"])
+    if report_minimum is not None:
+        findings = policy.severity_floor(findings, report_minimum)
     reported = materialize(aggregate.deduplicate(findings), "reported") if dedup else findings
     scans = scans.join(findings.select("scan_id").distinct(), "scan_id", "full")
     default_gate = F.lit(lookup(config, "severity.fail_on", "HIGH"))
@@ -98,4 +105,4 @@ def run_scans(
     gated = aggregate.gate(reported, gates)
     status = aggregate.scan_status(gated, scans).join(gated.select("scan_id", "fail_on"), "scan_id")
     facts = scans.select("scan_id", "repository", "branch", "scan_timestamp")
-    return ScanResult(findings, reported, aggregate.summary_of(reported, findings, facts, dedup), status)
+    return ScanResult(findings, reported, aggregate.summary_of(reported, findings, facts, dedup), status, errors)

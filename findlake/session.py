@@ -50,10 +50,14 @@ _own_folders: dict[str, str] = {}
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path for ``purpose`` in the folder named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (a local test) is a temporary folder made.
+    Only where the session names none and its master is local (a test) is a temporary folder made;
+    on a cluster executors would each write to a disk of their own, so that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         application = spark.sparkContext.applicationId
         if application not in _own_folders:
             _own_folders[application] = tempfile.mkdtemp(prefix="findlake-")
@@ -61,14 +65,29 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return os.path.join(base, "findlake", purpose, uuid.uuid4().hex)
 
 
+_written: dict[str, list[str]] = {}
+
+
+def remove_written(spark: SparkSession) -> int:
+    """Remove the tables that this application has written with ``materialize``, once nothing reads
+    them any more; returns how many there were."""
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for path in paths:
+        place = hadoop(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)
+
+
 def materialize(df: DataFrame, purpose: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: several readers, one computation.
 
     The lineage ends at the written files, so a lost executor never costs more than a read. They
-    stay until the folder's retention removes them.
+    stay until ``remove_written`` or the folder's retention removes them.
     """
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -11,6 +11,7 @@ from __future__ import annotations
 import fnmatch
 import os
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 from pyarrow import fs as pafs
@@ -21,6 +22,8 @@ from findlake.session import materialize
 
 # Texts are handed back to Spark in batches of about this many characters.
 BATCH_CHARS = 16 << 20
+# Names are handed back in batches of this many.
+LISTED_AT_ONCE = 10_000
 
 
 def open_folder(root: str) -> tuple[pafs.FileSystem, str]:
@@ -37,14 +40,17 @@ def _entries(filesystem: pafs.FileSystem, folder: str) -> Iterator[tuple[str, bo
             yield info.path, is_folder
 
 
-def walk_files(spark: SparkSession, root: str) -> DataFrame:
-    """(full_path): every file below ``root``, hidden and empty ones included."""
+def walk_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
+    """(full_path): every file below ``root`` whose name matches, hidden and empty ones included."""
 
     def list_folders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         filesystem, _ = open_folder(root)
         for batch in batches:
             for folder in batch["full_path"]:
-                yield pd.DataFrame(list(_entries(filesystem, folder)), columns=["full_path", "is_folder"])
+                entries = _entries(filesystem, folder)
+                wanted = ((p, d) for p, d in entries if d or fnmatch.fnmatchcase(p.rsplit("/", 1)[-1], glob))
+                while rows := list(islice(wanted, LISTED_AT_ONCE)):
+                    yield pd.DataFrame(rows, columns=["full_path", "is_folder"])
 
     found = None
     folders = spark.range(1).select(F.lit(open_folder(root)[1]).alias("full_path"))
@@ -60,8 +66,9 @@ def walk_files(spark: SparkSession, root: str) -> DataFrame:
 def read_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     """``root/<scan_id>/<path>`` as (scan_id, repo, path, content, read_ok).
 
-    Whole contents; files that cannot be read or are not UTF-8 are kept with ``read_ok`` false.
-    ``glob`` limits the files by name.
+    Whole contents; bytes that are not UTF-8 become U+FFFD, the rest of the file stays. Files that
+    cannot be read are kept with ``read_ok`` false (see ``unreadable``). ``glob`` limits the files
+    by name. A checkout's directory names its scan; the repository is not known here.
     """
     base = open_folder(root)[1]
 
@@ -70,15 +77,13 @@ def read_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
         rows, chars = [], 0
         for batch in batches:
             for full_path in batch["full_path"]:
-                if not fnmatch.fnmatchcase(full_path.rsplit("/", 1)[-1], glob):
-                    continue
                 try:
                     with filesystem.open_input_file(full_path) as handle:
-                        text = handle.read().decode("utf-8")
-                except (OSError, UnicodeDecodeError):
+                        text = handle.read().decode("utf-8", errors="replace")
+                except OSError:
                     text = None
                 scan, _, path = full_path[len(base) + 1 :].partition("/")
-                rows.append((scan, scan, path, text, text is not None))
+                rows.append((scan, None, path, text, text is not None))
                 chars += len(text or "")
                 if chars > BATCH_CHARS or len(rows) >= 1000:
                     yield pd.DataFrame(rows, columns=["scan_id", "repo", "path", "content", "read_ok"])
@@ -88,4 +93,9 @@ def read_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
 
     schema = "scan_id string, repo string, path string, content string, read_ok boolean"
     inside = F.contains(F.substr("full_path", F.lit(len(base) + 2)), F.lit("/"))  # files beside the scans are none
-    return walk_files(spark, root).where(inside).repartition("full_path").mapInPandas(read, schema)
+    return walk_files(spark, root, glob).where(inside).repartition("full_path").mapInPandas(read, schema)
+
+
+def unreadable(files: DataFrame) -> DataFrame:
+    """(scan_id, path): files that no scan could look into."""
+    return files.where(~F.col("read_ok")).select("scan_id", "path")

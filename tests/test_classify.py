@@ -127,6 +127,14 @@ def test_secrets(tree):
     assert len({r.seq for r in found}) == 3
 
 
+def test_every_match_of_a_line_counts(tree):
+    keys = ["AKIA" + f"{i:016d}" for i in range(1000)]
+    files = tree({"min.js": ";".join(keys) + ";xoxb-1234567890"})
+    hits = secret_lines(files).where("rule_id = 'aws-access-key-id'").orderBy("match_number").collect()
+    assert [r.match for r in hits] == keys
+    assert len({r.seq for r in scan_secrets(files).collect()}) == 1001
+
+
 SAMPLES = {
     "aws-access-key-id": "AKIA" + "A1" * 8,
     "private-key": "-----BEGIN EC PRIVATE KEY-----",

@@ -82,7 +82,7 @@ FULL = {
 @pytest.mark.parametrize("tool", FULL)
 def test_full_report(raw, tool):
     report, expected = FULL[tool]
-    (found,) = rows(n.NORMALIZERS[tool](raw(tool, json.dumps(report), code=1)))
+    (found,) = rows(n.NORMALIZERS[tool](raw(tool, json.dumps(report), code=1), {}))
     assert {k: found[k] for k in expected} == expected
     assert found["tool"] == TOOL_BY_NAME[tool].finding_tool
     assert found["scan_id"] == "s"
@@ -111,7 +111,7 @@ EMPTY = {
 @pytest.mark.parametrize("tool", EMPTY)
 def test_defaults(raw, tool):
     report, expected = EMPTY[tool]
-    (found,) = rows(n.NORMALIZERS[tool](raw(tool, json.dumps(report), code=1)))
+    (found,) = rows(n.NORMALIZERS[tool](raw(tool, json.dumps(report), code=1), {}))
     assert (found["severity"], found["rule_id"], found["title"], found["description"]) == expected
     assert found["line_number"] is None
 
@@ -127,7 +127,7 @@ def test_null_lists_and_broken_reports_give_nothing(raw, tool):
         for key in empty:
             empty[key] = False if key == "valid" else None
         broken.append(json.dumps(empty))
-    assert rows(n.NORMALIZERS[tool](raw(tool, *broken, code=1))) == []
+    assert rows(n.NORMALIZERS[tool](raw(tool, *broken, code=1), {})) == []
 
 
 def test_single_quotes_are_not_json(raw):

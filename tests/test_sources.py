@@ -12,7 +12,7 @@ from findlake.operators import classify
 from findlake.plans.scan_flow import normalize_all, run_scans
 from findlake.session import materialize, shared_dir
 from findlake.sources import config as cfg
-from findlake.sources.files import read_files
+from findlake.sources.files import read_files, unreadable
 from findlake.sources.reports import lay_out_by_tool, read_raw_reports
 
 
@@ -25,7 +25,7 @@ def test_load_config(tmp_path):
     empty.write_text("{}")
     assert cfg.load_config(str(good)) == {"severity": {"fail_on": "LOW"}}
     assert cfg.load_config(str(bad)) == {} and cfg.load_config(str(empty)) == {}
-    env = {"REPO_PATH": "/x", "LOG_LEVEL": "", "REPORTS_PATH": "/r"}
+    env = {"REPO_PATH": "/x", "REPORTS_PATH": "/r"}
     assert cfg.load_config(str(good), env) == {
         "severity": {"fail_on": "LOW"}, "repository": {"default_path": "/x"}, "output": {"directory": "/r"},
     }
@@ -59,18 +59,29 @@ def test_read_files(spark, tmp_path):
         file.parent.mkdir(parents=True, exist_ok=True)
         file.write_bytes(data)
     (tmp_path / "s3" / "loop").symlink_to(tmp_path / "s3")
+    (tmp_path / "s2" / "gone.py").symlink_to(tmp_path / "nowhere")
     files = read_files(spark, str(tmp_path))
     got = {(r.scan_id + "/" + r.path): r.content for r in files.collect()}
     assert got == {
         "s1/main.tf": "x", "s1/a/b/t.yaml": "AWS::é", "s1/.github/w.yml": "on: push", "s1/_private/.env": "k=v",
-        "s2/bad.py": None, "s2/pkg/__init__.py": "", "s3/deep/er/and/deeper/x.js": "\r\n",
+        "s2/bad.py": "\ufffd\ufffd", "s2/gone.py": None, "s2/pkg/__init__.py": "", "s3/deep/er/and/deeper/x.js": "\r\n",
     }
-    assert {r.path for r in files.where("not read_ok").collect()} == {"bad.py"}
+    assert [tuple(r) for r in unreadable(files).collect()] == [("s2", "gone.py")]
     flags = {r.scan_id: r for r in classify.repo_flags(files).collect()}
     assert flags["s1"].terraform and flags["s1"].cloudformation and flags["s2"].python and flags["s3"].javascript
     assert [r.path for r in read_files(spark, str(tmp_path), "*.tf").collect()] == ["main.tf"]
 
 
+def test_one_bad_byte_hides_nothing(spark, tmp_path):
+    token = "AKIA" + "ABCDEFGH12345678"
+    (tmp_path / "s").mkdir()
+    (tmp_path / "s" / "a.py").write_bytes(b"# caf\xe9\nkey = " + token.encode())
+    (tmp_path / "s" / "t.yaml").write_bytes(b"AWSTemplateFormatVersion: x\n" + b"#" * 9000 + b"\xe9")
+    files = read_files(spark, str(tmp_path))
+    assert [(r.path, r.line_number, r.match) for r in secret_lines(files).collect()] == [("a.py", 2, token)]
+    assert [r.path for r in classify.cfn_templates(files).collect()] == ["t.yaml"]
+
+
 class Unnamed:
     """A session whose settings name no shared folder."""
 
