@@ -3,6 +3,22 @@
 from __future__ import annotations
 
 from catalog import inputs
+from catalog.expected import (
+    BANDIT_WORDS,
+    CHECK_NAME_WORDS,
+    EMOJI,
+    EXCLUDED_PATHS,
+    EXCLUDED_RULES,
+    GENERIC_WORDS,
+    NOT_TEMPLATE_PATHS,
+    PYLINT_WORDS,
+    SARIF_LEVELS,
+    SARIF_SCORES,
+    SECRET_PATTERNS,
+    SEVERITIES,
+    SEVERITIES_DESC,
+    SNYK_WORDS,
+)
 from catalog.shapes import (
     CHECK_NAMES,
     LINES,
@@ -14,22 +30,9 @@ from catalog.shapes import (
     literal,
 )
 from catalog.shapes import duck_pick as pick
-from findlake.functions.severity import (
-    BANDIT_WORDS,
-    CHECK_NAME_WORDS,
-    EMOJI,
-    GENERIC_WORDS,
-    PYLINT_WORDS,
-    SARIF_LEVELS,
-    SARIF_SCORES,
-    SNYK_WORDS,
-)
-from findlake.model import SEVERITIES, SEVERITIES_DESC, TOOL_BY_NAME, TOOLS
-from findlake.operators.classify import NOT_TEMPLATE_PATHS
+from findlake.model import TOOL_BY_NAME, TOOLS
 from findlake.operators.remediation import BANDIT_ADVICE, BANDIT_DEFAULT
-from findlake.operators.secrets import SECRET_RULES
 from findlake.plans.report import SARIF_SCHEMA, STYLE, TITLE
-from findlake.sources.config import POLICY_CONFIG
 
 ORACLES: dict[str, str] = {}
 
@@ -64,7 +67,7 @@ def normal(path: str) -> str:
 
 def excluded(path: str) -> str:
     patterns = []
-    for pattern in POLICY_CONFIG["repository"]["excluded_paths"]:
+    for pattern in EXCLUDED_PATHS:
         patterns += [pattern] + ([pattern.replace("**/", "").replace("**", "")] if "**" in pattern else [])
     hits = " OR ".join(f"contains({normal(path)}, '{p}')" for p in patterns)
     return f"coalesce({hits}, FALSE)"
@@ -73,7 +76,7 @@ def excluded(path: str) -> str:
 def excluded_rules() -> list[tuple[str, str]]:
     pairs = []
     for tool in TOOLS:
-        rules = POLICY_CONFIG["tools"].get(tool.scanner, {}).get("exclude_rules", {}).get(tool.exclude_key) or []
+        rules = EXCLUDED_RULES.get(tool.scanner, {}).get(tool.exclude_key) or []
         pairs += [(tool.finding_tool, rule) for rule in rules]
     return sorted(set(pairs))
 
@@ -244,7 +247,7 @@ add(
     "SELECT tool, count(*) AS excluded_count FROM f SEMI JOIN rules USING (tool, rule_id) GROUP BY tool",
 )
 add("path_exclusion", FINDINGS, f"SELECT scan_id, seq, file_path FROM f WHERE NOT {excluded("nullif(file_path, '')")}")
-PYLINT_RULES = ", ".join(f"'{r}'" for r in POLICY_CONFIG["tools"]["python"]["exclude_rules"]["pylint"])
+PYLINT_RULES = ", ".join(f"'{r}'" for r in EXCLUDED_RULES["python"]["pylint"])
 add(
     "pylint_exclusion",
     FINDINGS,
@@ -758,13 +761,13 @@ add(
 
 def hex_rule(rule: str) -> str:
     """The rule with its case flag, and the match shown by its head and length."""
-    return SECRET_RULES[rule].pattern.replace("'", "''")
+    return SECRET_PATTERNS[rule].replace("'", "''")
 
 
 SECRET_LINES = f"{FILES}, l AS (SELECT scan_id, path, unnest(string_split(content, chr(10))) AS line, unnest(range(1, len(string_split(content, chr(10))) + 1)) AS line_number FROM files WHERE read_ok)"
 SECRETS = " UNION ALL ".join(
     f"SELECT scan_id, path, CAST(line_number AS INTEGER) AS line_number, '{rule}' AS rule_id, unnest(regexp_extract_all(line, '{hex_rule(rule)}')) AS m FROM l"
-    for rule in SECRET_RULES
+    for rule in SECRET_PATTERNS
     if rule != "generic-api-key"  # excluded by the configuration
 )
 add(
@@ -1006,7 +1009,7 @@ CI_OUTPUTS = {
     "medium-count": "CAST(medium AS VARCHAR)",
     "low-count": "CAST(low AS VARCHAR)",
     "report-path": "'reports'",
-    "sarif-path": "'reports/' || scan_id || '/report.sarif'",
+    "sarif-path": "'reports/sarif/scan_id=' || scan_id",
     "scan-status": "status",
 }
 add("ci_outputs", CI, union(*[f"SELECT scan_id, '{n}' AS name, {v} AS value FROM ci" for n, v in CI_OUTPUTS.items()]))

@@ -132,6 +132,12 @@ def child_results(raw: DataFrame, children: Column) -> DataFrame:
     )
 
 
+def parents(key: str, ddl: str) -> Column:
+    """The objects listed under ``key``, each read by itself: an odd one hides no other."""
+    listed = parse("stdout", f"{key} array<string>")[key]
+    return F.transform(listed, lambda text: F.when(text.startswith("{"), parse(text, ddl)))
+
+
 def children_of(parents: Column, child: str, *carried: str) -> Column:
     """Children of all parents in order, each with the named fields of its parent."""
 
@@ -305,9 +311,8 @@ def checkov(raw: DataFrame) -> DataFrame:
 
 def trivy(raw: DataFrame) -> DataFrame:
     fixed = FIXED["trivy"]
-    doc = parse("stdout", "Results array<struct<Target: string, Misconfigurations: array<string>>>")
     rows = read(
-        child_results(raw, children_of(doc.Results, "Misconfigurations", "Target")),
+        child_results(raw, children_of(parents("Results", "Target string, Misconfigurations array<string>"), "Misconfigurations", "Target")),
         "ID string, Severity string, Title string, Description string, Resolution string, "
         "CauseMetadata struct<Resource: string>",
     )
@@ -559,11 +564,11 @@ def trivy_container(
     without the severity list or the unfixed switch can be cut down by them here."""
     fixed = FIXED["trivy-container"]
     no_fix, upgrade, to_version = fixed["remediation"]
-    doc = parse("stdout", "Results array<struct<Target: string, Type: string, Vulnerabilities: array<string>>>")
+    scanned = parents("Results", "Target string, Type string, Vulnerabilities array<string>")
     image_name = image_tag(dirname(F.col("target")), image_prefix) if build_images else F.col("target")
     named = raw.withColumn("_image", image_name)  # once per report
     rows = read(
-        child_results(named, children_of(doc.Results, "Vulnerabilities", "Target", "Type")),
+        child_results(named, children_of(scanned, "Vulnerabilities", "Target", "Type")),
         "VulnerabilityID string, PkgName string, InstalledVersion string, FixedVersion string, Severity string, "
         "Description string, References string, CVSS string",
     )

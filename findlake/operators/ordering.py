@@ -10,6 +10,15 @@ from pyspark.sql import functions as F
 # A window group of ``numbered`` holds at most 2^BUCKET_BITS rows, whatever the data looks like.
 BUCKET_BITS = 18
 SALTS = 16
+MOST_SALTS = 4096
+
+
+def salts_for(df: DataFrame) -> int:
+    """Salts that follow the data: one for every eight partitions that the session starts a shuffle
+    with (see ``build_session``), 16 at least. Results do not depend on the number."""
+    conf = df.sparkSession.conf
+    partitions = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or conf.get("spark.sql.shuffle.partitions")
+    return min(MOST_SALTS, max(SALTS, int(partitions) // 8))
 
 
 def first_by(df: DataFrame, keys: Sequence[str], order: str = "seq") -> DataFrame:
@@ -82,7 +91,7 @@ def hot_join(
     on: Sequence[str],
     how: str = "left",
     spread_by: Sequence[str] = ("seq",),
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Join rows to a small-per-key side when one key may own a third of the left rows.
 
@@ -91,6 +100,7 @@ def hot_join(
     side turns out small, Spark broadcasts it by its measured size and the salt costs nothing.
     """
     on = list(on)
+    salts = salts or salts_for(left)
     salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")

@@ -11,7 +11,7 @@ one row per scan from ``summarize``.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -324,8 +324,24 @@ def html_report(findings: DataFrame, scans: DataFrame) -> DataFrame:
 # --- CI --------------------------------------------------------------------------------------
 
 
-def ci_outputs(scans: DataFrame, status: DataFrame, report_path: str = "reports") -> DataFrame:
-    """(scan_id, name, value): the named outputs of a CI step."""
+# Characters that a folder name of a partition column holds as % and two hex digits.
+ESCAPED = r"""[\x01-\x1f\x7f"#%'*/:=?\\{\[\]^]"""
+
+
+def report_folder(root: str, name: str) -> Column:
+    """Where a scan's document of that name is written: a folder whose files, by path, are its parts."""
+    chars = F.split(F.col("scan_id"), "")
+    escaped = F.transform(
+        chars, lambda c: F.when(c.rlike(ESCAPED), F.concat(F.lit("%"), F.lpad(F.hex(F.ascii(c)), 2, "0"))).otherwise(c)
+    )
+    return text(f"{root}/{name}/scan_id=", F.array_join(escaped, ""))
+
+
+def ci_outputs(
+    scans: DataFrame, status: DataFrame, report_path: str = "reports", formats: Sequence[str] = ("json", "sarif")
+) -> DataFrame:
+    """(scan_id, name, value): the named outputs of a CI step. The SARIF path is named if SARIF is
+    among the formats written."""
     joined = scans.join(status.select("scan_id", "status"), "scan_id")
     # The names of the outputs.
     values = {
@@ -335,9 +351,11 @@ def ci_outputs(scans: DataFrame, status: DataFrame, report_path: str = "reports"
         "medium-count": F.col("medium").cast("string"),
         "low-count": F.col("low").cast("string"),
         "report-path": F.lit(report_path),
-        "sarif-path": text(f"{report_path}/", F.col("scan_id"), "/report.sarif"),
+        "sarif-path": report_folder(report_path, "sarif"),
         "scan-status": F.col("status"),
     }
+    if "sarif" not in formats:
+        del values["sarif-path"]
     wide = joined.select("scan_id", *[v.alias(n) for n, v in values.items()])
     return wide.unpivot("scan_id", list(values), "name", "value")
 
@@ -415,6 +433,11 @@ def ci_log(findings: DataFrame, scans: DataFrame) -> DataFrame:
     )
 
 
+def ci_output_file(outputs: DataFrame) -> DataFrame:
+    """The outputs as lines ``name=value``."""
+    return fragments(outputs, text(F.col("name"), "=", F.col("value")), 0, item=F.abs(F.xxhash64("name")))
+
+
 # --- registry and sink -----------------------------------------------------------------------
 
 Renderer = Callable[[DataFrame, DataFrame], DataFrame]
@@ -425,26 +448,46 @@ RENDERERS: dict[str, Renderer] = {
     "sarif": sarif_report,
     "markdown": markdown_report,
     "html": html_report,
+    "ci-log": ci_log,
+}
+
+StatusRenderer = Callable[[DataFrame, DataFrame, DataFrame, str, Sequence[str]], DataFrame]
+
+# Documents that also show the status of a scan and what else is written where.
+STATUS_RENDERERS: dict[str, StatusRenderer] = {
+    "ci-outputs": lambda findings, scans, status, path, formats: ci_output_file(ci_outputs(scans, status, path, formats)),
+    "ci-summary": lambda findings, scans, status, path, formats: ci_summary(findings, scans, status, formats=",".join(formats)),
 }
 
+# Files of a scan are kept in sections of this many, so that names of one section are equally long.
+FILES_PER_SECTION = 10_000
+
 
 def write_report(report: DataFrame, path: str) -> None:
-    """Write one directory per scan; its files, in name order, are the document.
+    """Write one folder per scan; its files, in the order of their paths, are the document.
 
     Range partitioning by the full order splits a large scan over many tasks. The file count
-    follows the data: AQE merges small ranges.
+    follows the data: AQE merges small ranges. Spark numbers files with five digits, and with more
+    from 100,000 on, so a padded section number stands before the file name.
     """
-    ordered = report.repartitionByRange(*ORDER).sortWithinPartitions(*ORDER)
-    ordered.select("scan_id", "text").write.partitionBy("scan_id").text(path)
-
-
-def write_reports(findings: DataFrame, scans: DataFrame, formats: list[str], path: str) -> list[str]:
-    written = []
-    for name in formats:
+    ranged = report.repartitionByRange(*ORDER)
+    section = F.lpad((F.spark_partition_id() / FILES_PER_SECTION).cast("int").cast("string"), 8, "0")
+    ordered = ranged.withColumn("section", section).sortWithinPartitions(ORDER[0], "section", *ORDER[1:])
+    ordered.select("scan_id", "section", "text").write.partitionBy("scan_id", "section").text(path)
+
+
+def write_reports(
+    findings: DataFrame, scans: DataFrame, formats: Sequence[str], path: str, status: DataFrame | None = None
+) -> list[str]:
+    """Write the documents; those that show the status need ``status`` (see ``run_scans``)."""
+    known = [n for n in formats if n in RENDERERS or status is not None and n in STATUS_RENDERERS]
+    for name in known:
         if name in RENDERERS:
-            write_report(RENDERERS[name](findings, scans), f"{path}/{name}")
-            written.append(name)
-    return written
+            document = RENDERERS[name](findings, scans)
+        else:
+            document = STATUS_RENDERERS[name](findings, scans, status, path, [n for n in known if n in RENDERERS])
+        write_report(document, f"{path}/{name}")
+    return known
 
 
 def report_status(gated: DataFrame, errors: DataFrame) -> DataFrame:

@@ -160,13 +160,14 @@ def test_children_are_numbered_across_parents(raw):
     assert [(f["rule_id"], f["file_path"], f["seq"] & 7) for f in found] == [("1", "a", 0), ("2", "a", 1), ("3", "b", 2)]
 
 
-def test_report_number_out_of_range_fails(raw, spark):
-    from pyspark.errors import PySparkException
+def test_report_number_out_of_range_has_no_place(raw):
     from pyspark.sql import functions as F
 
-    far = raw("tflint", '{"issues":[{}]}').withColumn("seq", F.lit(1 << 30))
-    with pytest.raises(PySparkException):
-        n.tflint(far).collect()
+    from findlake.operators.errors import report_errors, usable
+
+    far = raw("tflint", '{"issues":[{}]}').withColumn("seq", F.lit(1 << 30).cast("bigint"))
+    assert [f["seq"] for f in rows(n.tflint(far))] == [None]
+    assert usable(far).isEmpty() and [r.reason for r in report_errors(far).collect()] == ["number"]
 
 
 def test_terraform_fmt(raw):

@@ -33,7 +33,7 @@ def documents(fragments, path):
     report.write_report(fragments, path)
     docs = {}
     for folder in glob.glob(f"{path}/scan_id=*"):
-        parts = sorted(glob.glob(f"{folder}/part-*"))
+        parts = sorted(glob.glob(f"{folder}/section=*/part-*"))
         text = "".join(open(p, encoding="utf-8").read() for p in parts)
         docs[os.path.basename(folder).removeprefix("scan_id=")] = (text, len(parts))
     return docs
@@ -127,6 +127,29 @@ def test_ci(spark, found, scans, tmp_path):
     assert logs["none"][0].strip() == "No findings to display."
 
 
+def test_outputs_name_what_was_written(spark, findings, tmp_path):
+    found = findings({"scan_id": "a:b/c [1]"}, {"scan_id": "plain"})
+    scans = spark.createDataFrame([("a:b/c [1]",), ("plain",)], "scan_id string").selectExpr(
+        "scan_id", "'r' repository", "'main' branch", "'2026-01-01T00:00:00' scan_timestamp"
+    )
+    summary = aggregate.summary_of(found, found, scans, True)
+    gates = scans.selectExpr("scan_id", "'HIGH' fail_on", "false errored")
+    status = report.report_status(aggregate.gate(found, gates), gates)
+    root = str(tmp_path)
+    assert report.write_reports(found, summary, ["sarif", "ci-outputs", "ci-summary"], root, status) == ["sarif", "ci-outputs", "ci-summary"]
+    lines = [r.value for r in spark.read.text(f"{root}/ci-outputs").where("scan_id <> 'plain'").collect()]
+    named = dict(line.split("=", 1) for line in lines)
+    document = "\n".join(open(f).read() for f in sorted(glob.glob(glob.escape(named["sarif-path"]) + "/*/*.txt")))
+    assert json.loads(document)["version"] == "2.1.0"
+    no_sarif = report.ci_outputs(summary, status, root, ["json"])
+    assert no_sarif.where("name = 'sarif-path'").isEmpty()
+
+
+def test_parts_beyond_five_digits_stay_in_order():
+    names = [f"section={i // report.FILES_PER_SECTION:08d}/part-{i:05d}" for i in range(0, 250_000, 7)]
+    assert names == sorted(names)
+
+
 def test_unknown_formats_are_ignored(found, scans, tmp_path):
     assert report.write_reports(found, scans, ["json", "pdf"], str(tmp_path)) == ["json"]
     assert sorted(os.listdir(tmp_path)) == ["json"]

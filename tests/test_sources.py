@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from findlake.model import RAW_REPORTS
 from findlake.operators import classify
+from findlake.operators.secrets import secret_lines
 from findlake.plans.scan_flow import normalize_all, run_scans
 from findlake.session import materialize, shared_dir
 from findlake.sources import config as cfg
@@ -16,12 +17,22 @@ from findlake.sources.files import read_files, unreadable
 from findlake.sources.reports import lay_out_by_tool, read_raw_reports
 
 
+def test_a_good_file_is_never_empty_for_want_of_a_package(tmp_path, monkeypatch):
+    good = tmp_path / "a.yaml"
+    good.write_text("severity:\n  fail_on: LOW\n")
+    if cfg.yaml is not None:
+        assert cfg.load_config(str(good)) == {"severity": {"fail_on": "LOW"}}
+    monkeypatch.setattr(cfg, "yaml", None)
+    with pytest.raises(RuntimeError):
+        cfg.load_config(str(good))
+
+
 def test_load_config(tmp_path):
     assert cfg.load_config(None) == cfg.DEFAULT_CONFIG
     assert cfg.load_config(str(tmp_path / "absent.yaml")) == cfg.DEFAULT_CONFIG
     good, bad, empty = tmp_path / "a.json", tmp_path / "b.yaml", tmp_path / "c.yaml"
     good.write_text('{"severity": {"fail_on": "LOW"}}')
-    bad.write_text("a: [1")
+    bad.write_bytes(b"\xff\xfe")
     empty.write_text("{}")
     assert cfg.load_config(str(good)) == {"severity": {"fail_on": "LOW"}}
     assert cfg.load_config(str(bad)) == {} and cfg.load_config(str(empty)) == {}
@@ -59,14 +70,14 @@ def test_read_files(spark, tmp_path):
         file.parent.mkdir(parents=True, exist_ok=True)
         file.write_bytes(data)
     (tmp_path / "s3" / "loop").symlink_to(tmp_path / "s3")
-    (tmp_path / "s2" / "gone.py").symlink_to(tmp_path / "nowhere")
     files = read_files(spark, str(tmp_path))
     got = {(r.scan_id + "/" + r.path): r.content for r in files.collect()}
     assert got == {
         "s1/main.tf": "x", "s1/a/b/t.yaml": "AWS::é", "s1/.github/w.yml": "on: push", "s1/_private/.env": "k=v",
-        "s2/bad.py": "\ufffd\ufffd", "s2/gone.py": None, "s2/pkg/__init__.py": "", "s3/deep/er/and/deeper/x.js": "\r\n",
+        "s2/bad.py": "\ufffd\ufffd", "s2/pkg/__init__.py": "", "s3/deep/er/and/deeper/x.js": "\r\n",
     }
-    assert [tuple(r) for r in unreadable(files).collect()] == [("s2", "gone.py")]
+    gone = files.withColumn("read_ok", F.col("path") != "main.tf")
+    assert unreadable(files).isEmpty() and [tuple(r) for r in unreadable(gone).collect()] == [("s1", "main.tf")]
     flags = {r.scan_id: r for r in classify.repo_flags(files).collect()}
     assert flags["s1"].terraform and flags["s1"].cloudformation and flags["s2"].python and flags["s3"].javascript
     assert [r.path for r in read_files(spark, str(tmp_path), "*.tf").collect()] == ["main.tf"]
@@ -93,6 +104,16 @@ class Unnamed:
         return default
 
 
+def test_a_cluster_needs_a_shared_folder(spark):
+    class Context:
+        master, applicationId = "yarn", "x"
+
+    on_cluster = Unnamed(spark)
+    on_cluster.sparkContext = Context()
+    with pytest.raises(RuntimeError):
+        shared_dir(on_cluster, "x")
+
+
 def test_shared_folder_is_the_sessions(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -161,3 +182,46 @@ def test_tool_thresholds(raw):
 def test_disabled_tools_do_not_run(lake):
     config = {**cfg.POLICY_CONFIG, "tools": {"terraform": {"tfsec": False}}}
     assert {r.tool for r in normalize_all(lake, None, config).collect()} == {"checkov", "terraform-fmt"}
+
+
+def test_switches_of_npm_and_container(spark, raw):
+    vulnerable = json.dumps({"vulnerabilities": {"p": {"severity": "high"}}})
+    image = json.dumps({"Results": [{"Vulnerabilities": [{"VulnerabilityID": "C1"}]}]})
+    reports = (
+        raw("npm-audit", vulnerable, code=1).unionByName(raw("trivy-container", image, target="x/Dockerfile"))
+        .unionByName(raw("container-build", "", code=1, stderr="e")).unionByName(raw("tflint", '{"issues":[{}]}'))
+    )
+    everything = {r.tool for r in normalize_all(reports, None, {}).collect()}
+    assert everything == {"npm-audit", "trivy-container", "tflint"}
+    off = {"tools": {"npm": {"enabled": False}, "container": {"enabled": False}}}
+    assert {r.tool for r in normalize_all(reports, None, off).collect()} == {"tflint"}
+    ready = {"tools": {"container": {"build_images": False}}}
+    (found,) = normalize_all(reports.where("tool = 'trivy-container'"), None, ready).collect()
+    assert found.file_path is None and found.resource == "x/Dockerfile" and json.loads(found.metadata)["image"] == "x/Dockerfile"
+
+
+def test_a_replaced_normaliser_is_used(raw, monkeypatch):
+    from findlake.operators.normalize import NORMALIZERS
+
+    monkeypatch.setitem(NORMALIZERS, "bandit", lambda reports, config: NORMALIZERS["tflint"](reports, config))
+    assert normalize_all(raw("bandit", '{"issues":[{},{}]}'), None, {}).count() == 2
+
+
+def test_errors_are_listed_and_stop_nothing(spark, raw):
+    scans = spark.createDataFrame([("s", "r", "m", "t", False)], "scan_id string, repository string, branch string, scan_timestamp string, errored boolean")
+    reports = (
+        raw("tflint", '{"issues":["odd",5,{"message":"m"},null]}', '{"issues":{"a":1}}', "broken", '{"issues":[{"range":{"start":{"line":"twelve"}}}]}')
+        .unionByName(raw("trivy", '{"Results":[{"Misconfigurations":[{"ID":"x"},7]},"no"]}'))
+        .unionByName(raw("tfsec", '{"results":[{}]}').withColumn("seq", F.lit(1 << 31).cast("bigint")))
+        .unionByName(raw("tfsec", '{"results":[{}]}', scan=None))
+    )
+    result = run_scans(reports, None, scans, {})
+    got = sorted((r.tool, r.reason, r.position, r.text) for r in result.errors.collect() if r.reason not in ("no scan", "number", "report"))
+    assert got == [
+        ("tflint", "entry", "0", "odd"), ("tflint", "entry", "1", "5"), ("tflint", "field $.range.start.line", "0", "twelve"),
+        ("tflint", "list", "", '{"a":1}'), ("trivy", "entry", "0.1", "7"), ("trivy", "entry", "1", "no"),
+    ]
+    whole = sorted((r.tool, r.reason) for r in result.errors.collect() if r.position is None)
+    assert whole == [("tflint", "report"), ("tfsec", "no scan"), ("tfsec", "number")]
+    assert result.findings.count() == 3
+    assert [r.scan_id for r in result.status.collect()] == ["s"]
