@@ -228,8 +228,9 @@ def fit(training: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     weight = dual_coordinate_descent([vectors[i] for i in learn], sign[learn], np.full(len(learn), COST), BUCKETS + 1)
     margins = np.array([weight[at] @ value for at, value in (vectors[i] for i in np.flatnonzero(curve))])
     of_curve = label[curve]
-    balance = np.where(of_curve > 0, texts[1] / max(1, (of_curve > 0).sum()), texts[0] / max(1, (of_curve == 0).sum()))
-    slope, shift = logistic_curve(margins, np.where(of_curve > 0, 1.0, -1.0), balance * len(of_curve) / texts.sum())
+    # Both classes weigh the same, so that a score of 0.5 lies midway between them.
+    balance = np.where(of_curve > 0, 1 / max(1, (of_curve > 0).sum()), 1 / max(1, (of_curve == 0).sum()))
+    slope, shift = logistic_curve(margins, np.where(of_curve > 0, 1.0, -1.0), balance * len(of_curve) / 2)
     return Model(ratio, weight[:BUCKETS], float(weight[BUCKETS]), slope, shift)
 
 
