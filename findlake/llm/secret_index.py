@@ -131,12 +131,12 @@ def candidates(documents: DataFrame, queries: dict[int, list[frozenset[str]]]) -
     at = {t: i for i, t in enumerate(trigrams)}
     index = written(postings(documents, trigrams), "trigrams")
     wanted = [
-        (rule, number, len(need), at[t])
+        F.struct(F.lit(rule).alias("rule"), F.lit(number).alias("alternative"), F.lit(len(need)).alias("need"), F.lit(at[t]).alias("t"))
         for rule, alternatives in queries.items()
         for number, need in enumerate(alternatives)
-        for t in need
+        for t in sorted(need)
     ]
-    wanted = documents.sparkSession.createDataFrame(wanted, "rule int, alternative int, need int, t int")
+    wanted = documents.sparkSession.range(1).select(F.inline(F.array(*wanted)))
     both = index.distinct().join(wanted, "t").groupBy("k", "doc_id", "rule", "alternative", "need").agg(F.count("*").alias("have"))
     return both.where("have = need").groupBy("k", "doc_id").agg(F.collect_set("rule").alias("rules"))
 
