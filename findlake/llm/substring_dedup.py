@@ -31,14 +31,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import texts, written
-from .substring_names import BLOCK, Names, anchored_runs, cell_names, cells
+from .substring_names import BLOCK, SHORT, Names, anchored_runs, cell_names, cells
 
 LENGTH = 400
 # Lists of cells up to this size are sent to every executor; larger ones meet the texts in a shuffle.
 BROADCAST_BYTES = 32 << 20
-CELL_BYTES = 48
-_CELLS = "k bigint, core bigint, a bigint, b bigint, anchor int, first int, last int, open boolean"
-_NAMES = ["k", "core", "a", "b", "anchor", "first", "last", "open"]
+CELL_BYTES = 32
+_CELLS = "k bigint, core bigint, a bigint, b bigint, place bigint, open boolean"
+_NAMES = ["k", "core", "a", "b", "place", "open"]
+# A cell's place is its first window start, and how far the last one and the anchor lie behind it.
+_BITS = 12
+_REST = (1 << _BITS) - 1
+
+
+def _place(first: np.ndarray, last: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+    return (first << (2 * _BITS)) | ((last - first) << _BITS) | (anchor - first)
+
+
+def _placed(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor, first, last)"""
+    first = place >> (2 * _BITS)
+    return first + (place & _REST), first, first + ((place >> _BITS) & _REST)
 
 
 def _bytes(value: pa.Scalar) -> np.ndarray:
@@ -47,12 +60,13 @@ def _bytes(value: pa.Scalar) -> np.ndarray:
 
 def _rows(key: int, offset: int, names: Names, size: int, run, first, last, low, high, anchor, opened, length: int) -> list[np.ndarray]:
     core, a, b = cell_names(names, size - offset, low, high, length)
-    return [np.full(len(run), key, np.int64), core.view(np.int64), a.view(np.int64), b.view(np.int64), anchor[run] + offset, first + offset, last + offset, opened]
+    place = _place(first + offset, last + offset, anchor[run] + offset)
+    return [np.full(len(run), key, np.int64), core.view(np.int64), a.view(np.int64), b.view(np.int64), place, opened]
 
 
 def _batch(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
-    kinds = [pa.int64()] * 4 + [pa.int32()] * 3 + [pa.bool_()]
-    columns = [np.concatenate(c) if parts else np.zeros(0) for c in (zip(*parts) if parts else [[]] * 8)]
+    kinds = [pa.int64()] * 5 + [pa.bool_()]
+    columns = [np.concatenate(c) if parts else np.zeros(0) for c in (zip(*parts) if parts else [[]] * 6)]
     return pa.RecordBatch.from_arrays([pa.array(c.astype(k.to_pandas_dtype()), k) for c, k in zip(columns, kinds)], _NAMES)
 
 
@@ -78,7 +92,7 @@ def first_cells(documents: DataFrame, length: int, width: int) -> DataFrame:
 
 def smaller_cells(documents: DataFrame, left: DataFrame, length: int, width: int) -> DataFrame:
     """The cells of ``left`` cut to ``width``."""
-    lists = left.groupBy("k").agg(F.collect_list(F.struct("anchor", "first", "last", "open")).alias("cells"))
+    lists = left.groupBy("k").agg(F.collect_list(F.struct("place", "open")).alias("cells"))
     if left.count() * CELL_BYTES <= BROADCAST_BYTES:
         lists = F.broadcast(lists)
     both = documents.select("k", "text").join(lists, "k")
@@ -87,7 +101,7 @@ def smaller_cells(documents: DataFrame, left: DataFrame, length: int, width: int
         for batch in batches:
             for key, text, found in zip(batch.column("k").to_pylist(), batch.column("text"), batch.column("cells")):
                 data, found = _bytes(text), found.values
-                anchor, first, last = (found.field(n).to_numpy().astype(np.int64) for n in ("anchor", "first", "last"))
+                anchor, first, last = _placed(found.field("place").to_numpy())
                 opened = found.field("open").to_numpy(zero_copy_only=False)
                 block = first // BLOCK
                 parts = []
@@ -105,24 +119,25 @@ def smaller_cells(documents: DataFrame, left: DataFrame, length: int, width: int
 def decided(found: DataFrame, last_round: bool) -> tuple[DataFrame, DataFrame | None]:
     """(decided cells, cells to cut further) of a round's cells."""
     spans = found.groupBy("core", "a", "b").agg(
-        F.count("*").alias("n"), F.max("open").alias("open"), F.min(F.struct("k", "first", "last", "anchor")).alias("one")
+        F.count("*").alias("n"), F.max("open").alias("open"), F.min("k").alias("k"), F.min_by("place", "k").alias("place")
     )
     if last_round:
         spans = spans.where("open and n > 1")
     spans = written(spans, "spans")
     repeated = spans.where("open and n > 1").select("core", "a", "b")
-    done = found.where("open").join(repeated, ["core", "a", "b"], "left_semi").select("k", "first", "last")
+    done = found.where("open").join(repeated, ["core", "a", "b"], "left_semi").select("k", "place")
     if last_round:
         return done, None
     undecided = F.col("open") & (F.col("n") == 1)
     cores = spans.groupBy("core").agg(F.count("*").alias("spans"), F.max(undecided).alias("undecided")).where("spans > 1 and undecided")
-    left = spans.join(cores.select("core"), "core", "left_semi").select("one.*", undecided.alias("open"))
+    left = spans.join(cores.select("core"), "core", "left_semi").select("k", "place", undecided.alias("open"))
     return done, written(left, "cells")
 
 
 def repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``k`` and ranges (first, last) of starts of the windows of ``length`` bytes that start
-    elsewhere too."""
+    """``k`` and ``place`` of the cells whose windows of ``length`` bytes start elsewhere too."""
+    if not SHORT < length <= _REST:
+        raise ValueError(f"a repeat has more than {SHORT} and at most {_REST} bytes")
     part = max(1, length // 16)
     widths = [8 * part, part, 1]  # each divides the one before, so a smaller cell lies in one larger
     found = written(first_cells(documents, length, widths[0]), "all-cells")
@@ -144,10 +159,8 @@ def _kept(data: bytes, ranges: pa.Scalar, length: int) -> tuple[int, int, bytes]
     """(removed bytes, removed runs, what is kept)."""
     if not ranges.is_valid or not len(ranges.values):
         return 0, 0, data
-    begin = ranges.values.field("first").to_numpy()
-    order = np.argsort(begin, kind="stable")
-    begin = begin[order].astype(np.int64)
-    end = np.maximum.accumulate(ranges.values.field("last").to_numpy()[order].astype(np.int64) + length)
+    _, begin, last = _placed(np.sort(ranges.values.to_numpy()))
+    end = np.maximum.accumulate(last + length)
     fresh = np.concatenate([[True], begin[1:] > end[:-1]])  # touching runs are one
     begin, end = begin[fresh], end[np.concatenate([np.flatnonzero(fresh)[1:] - 1, [len(end) - 1]])]
     edges = [0, *np.stack([begin, end], 1).ravel().tolist(), len(data)]
@@ -159,8 +172,8 @@ def without_repeats(documents: DataFrame, length: int = LENGTH, keep_text: bool
     """``doc_id``, counts of bytes and removed runs, and the checksum of what is kept of every text;
     with ``keep_text`` the kept bytes too."""
     docs = texts(documents)
-    ranges = repeats(docs, length).groupBy(F.col("k").alias("_k")).agg(F.collect_set(F.struct("first", "last")).alias("ranges"))
-    both = docs.join(ranges, docs.k == F.col("_k"), "left").select("doc_id", "text", "ranges")
+    ranges = repeats(docs, length).groupBy(F.col("k").alias("_k")).agg(F.collect_set("place").alias("ranges"))
+    both = docs.join(ranges.hint("merge"), docs.k == F.col("_k"), "left").select("doc_id", "text", "ranges")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
