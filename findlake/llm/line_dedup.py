@@ -54,7 +54,7 @@ def covered_lines(documents: DataFrame) -> DataFrame:
     found = windows(documents)
     repeated = written(repeated_windows(found), "line-windows")
     here = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "k", F.element_at("places", 1).alias("at"))
-    later = found.withColumn("here", here).join(repeated, ["a", "b"]).where("here != first")
+    later = found.withColumn("here", here).join(repeated.hint("merge"), ["a", "b"]).where("here != first")
     return later.groupBy("k", "doc_id").agg(F.array_distinct(F.flatten(F.collect_set("places"))).alias("covered"))
 
 
@@ -68,7 +68,7 @@ def kept_text(text: Column, covered: Column) -> Column:
 def dedup_lines(documents: DataFrame) -> DataFrame:
     """``doc_id``, ``n_lines`` (not blank), ``n_removed`` and the kept ``text`` of every document."""
     docs = texts(documents)
-    joined = join_rows(docs, written(covered_lines(docs), "line-covered"))
+    joined = join_rows(docs, written(covered_lines(docs), "line-covered").hint("merge"))
     return joined.select(
         "doc_id",
         F.size(F.filter(F.split("text", "\n"), lambda x: x.rlike(rf"[^{SPACE}]"))).cast("bigint").alias("n_lines"),
