@@ -764,6 +764,8 @@ def hex_rule(rule: str) -> str:
     return SECRET_PATTERNS[rule].replace("'", "''")
 
 
+ORACLES["file_inventory"] = """SELECT 'scan=s' || (doc_id // 8) AS scan_id, CAST(1 AS BIGINT) AS files, CAST(sum(length(text) + 1) AS BIGINT) AS chars,
+  CAST(sum(strlen(text) + 1) AS BIGINT) AS bytes FROM documents GROUP BY doc_id // 8"""
 SECRET_LINES = f"{FILES}, l AS (SELECT scan_id, path, unnest(string_split(content, chr(10))) AS line, unnest(range(1, len(string_split(content, chr(10))) + 1)) AS line_number FROM files WHERE read_ok)"
 SECRETS = " UNION ALL ".join(
     f"SELECT scan_id, path, CAST(line_number AS INTEGER) AS line_number, '{rule}' AS rule_id, unnest(regexp_extract_all(line, '{hex_rule(rule)}')) AS m FROM l"

@@ -20,6 +20,7 @@ from findlake.plans import report
 from findlake.plans.scan_flow import normalize_all, normalize_tool, run_scans
 from findlake.session import materialize, shared_dir
 from findlake.sources.config import POLICY_CONFIG, config_check, config_value, lookup
+from findlake.sources.files import read_files
 from findlake.sources.reports import lay_out_by_tool, report_line_counts
 from findlake.streaming import arrivals
 
@@ -561,6 +562,18 @@ def ci_log(spark, sf):
 # --- secrets ---------------------------------------------------------------------------------
 
 
+@query
+def file_inventory(spark, sf):
+    """The documents as files, a folder for every eight, listed and read again as bytes."""
+    folder = shared_dir(spark, "checkouts")
+    texts = inputs.table(spark, sf, "documents").select(F.expr("concat('s', doc_id div 8)").alias("scan"), "text")
+    texts.repartition("scan").write.partitionBy("scan").text(folder)
+    found = read_files(spark, folder, "*.txt")
+    return found.groupBy("scan_id").agg(
+        F.count_if("read_ok").alias("files"), F.sum(F.length("content")).alias("chars"), F.sum(F.octet_length("content")).alias("bytes")
+    )
+
+
 @query
 def secrets_scan(spark, sf):
     hits = secret_lines(inputs.files(spark, sf))
