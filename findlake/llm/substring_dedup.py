@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,8 +55,29 @@ def _placed(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return first + (place & _REST), first, first + ((place >> _BITS) & _REST)
 
 
-def _bytes(value: pa.Scalar) -> np.ndarray:
-    return np.frombuffer((value.as_py() or "").encode("utf-8", "surrogatepass"), np.uint8)
+def _whole(batch: pa.RecordBatch) -> Iterator[bytes]:
+    """The bytes of each text, whether it came as it is or compressed."""
+    if "packed" in batch.schema.names:
+        unpack = zstandard.ZstdDecompressor().decompress
+        for value in batch.column("packed"):
+            yield unpack(value.as_py())
+    else:
+        for value in batch.column("text"):
+            yield (value.as_py() or "").encode("utf-8", "surrogatepass")
+
+
+def packed(documents: DataFrame) -> DataFrame:
+    """``documents`` with compressed texts, for a shuffle that moves all of them."""
+    others = [c for c in documents.columns if c != "text"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            values = pa.array([pack(data) for data in _whole(batch)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), values], [*others, "packed"])
+
+    kinds = dict(documents.dtypes)
+    return documents.mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in others) + ", packed binary")
 
 
 def _rows(key: int, offset: int, names: Names, size: int, run, first, last, low, high, anchor, opened, length: int) -> list[np.ndarray]:
@@ -76,8 +98,8 @@ def first_cells(documents: DataFrame, length: int, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts, rows = [], 0
-            for key, text in zip(batch.column("k").to_pylist(), batch.column("text")):
-                data = _bytes(text)
+            for key, whole in zip(batch.column("k").to_pylist(), _whole(batch)):
+                data = np.frombuffer(whole, np.uint8)
                 for offset, names, anchor, first, last in anchored_runs(data, length):
                     cut = cells(anchor, first, last, length, width)
                     parts.append(_rows(key, offset, names, len(data), *cut, anchor, np.ones(len(cut[0]), bool), length))
@@ -94,13 +116,14 @@ def smaller_cells(documents: DataFrame, left: DataFrame, length: int, width: int
     """The cells of ``left`` cut to ``width``."""
     lists = left.groupBy("k").agg(F.collect_list(F.struct("place", "open")).alias("cells"))
     if left.count() * CELL_BYTES <= BROADCAST_BYTES:
-        lists = F.broadcast(lists)
-    both = documents.select("k", "text").join(lists, "k")
+        both = documents.select("k", "text").join(F.broadcast(lists), "k")
+    else:
+        both = packed(documents.select("k", "text")).join(lists.hint("merge"), "k")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, text, found in zip(batch.column("k").to_pylist(), batch.column("text"), batch.column("cells")):
-                data, found = _bytes(text), found.values
+            for key, whole, found in zip(batch.column("k").to_pylist(), _whole(batch), batch.column("cells")):
+                data, found = np.frombuffer(whole, np.uint8), found.values
                 anchor, first, last = _placed(found.field("place").to_numpy())
                 opened = found.field("open").to_numpy(zero_copy_only=False)
                 block = first // BLOCK
@@ -173,13 +196,12 @@ def without_repeats(documents: DataFrame, length: int = LENGTH, keep_text: bool
     with ``keep_text`` the kept bytes too."""
     docs = texts(documents)
     ranges = repeats(docs, length).groupBy(F.col("k").alias("_k")).agg(F.collect_set("place").alias("ranges"))
-    both = docs.join(ranges.hint("merge"), docs.k == F.col("_k"), "left").select("doc_id", "text", "ranges")
+    both = packed(docs).join(ranges.hint("merge"), F.col("k") == F.col("_k"), "left").select("doc_id", "packed", "ranges")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, removed, spans, digests, texts_kept = [], [], [], [], []
-            for text, found in zip(batch.column("text"), batch.column("ranges")):
-                data = (text.as_py() or "").encode("utf-8", "surrogatepass")
+            for data, found in zip(_whole(batch), batch.column("ranges")):
                 gone, n, kept = _kept(data, found, length)
                 sizes.append(len(data))
                 removed.append(gone)
