@@ -65,6 +65,12 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return os.path.join(base, "findlake", purpose, uuid.uuid4().hex)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of our own, on whatever file system it is."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 _written: dict[str, list[str]] = {}
 
 
@@ -72,10 +78,8 @@ def remove_written(spark: SparkSession) -> int:
     """Remove the tables that this application has written with ``materialize``, once nothing reads
     them any more; returns how many there were."""
     paths = _written.pop(spark.sparkContext.applicationId, [])
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     for path in paths:
-        place = hadoop(path)
-        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+        remove_folder(spark, path)
     return len(paths)
 
 

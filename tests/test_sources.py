@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from findlake.model import RAW_REPORTS
 from findlake.operators import classify
 from findlake.operators.secrets import secret_lines
 from findlake.plans.scan_flow import normalize_all, run_scans
-from findlake.session import materialize, shared_dir
+from findlake.session import materialize, remove_written, shared_dir
 from findlake.sources import config as cfg
 from findlake.sources.files import read_files, unreadable
 from findlake.sources.reports import lay_out_by_tool, read_raw_reports
@@ -125,6 +126,14 @@ def test_shared_folder_is_the_sessions(spark):
     assert df.columns == ["k", "id"] and df.count() == 3
 
 
+def test_written_tables_can_be_removed(spark):
+    remove_written(spark)
+    df = materialize(spark.range(3), "test")
+    (path,) = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    assert remove_written(spark) == 1 and remove_written(spark) == 0
+    assert not os.path.exists(path.removeprefix("file:").replace("///", "/"))
+
+
 @pytest.fixture(scope="module")
 def lake(spark):
     """Reports of three scans: two tools agree on one finding, one report is broken."""
