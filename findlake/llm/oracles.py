@@ -91,18 +91,21 @@ base AS (
     len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words
   FROM docs d LEFT JOIN repeats r USING (doc_id)),
 each AS (
-  SELECT doc_id, source, md5(trim(regexp_replace(lower(x), '[\x20\x09-\x0D]+', ' ', 'g'))) AS line,
-    len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS n
-  FROM (SELECT doc_id, source, unnest(lines) AS x FROM docs)),
-lowest AS (SELECT doc_id, list_sort(list_distinct(list(line))) AS l FROM each GROUP BY doc_id),
+  SELECT doc_id, source, md5(x) AS line, len(t) AS n,
+    list_min(list_transform(range(0, len(t), 8), lambda i: md5(array_to_string(t[i + 1 : i + 8], ' ')))) AS block
+  FROM (SELECT doc_id, source, x, string_split(x, ' ') AS t
+        FROM (SELECT doc_id, source, trim(regexp_replace(lower(unnest(lines)), '[\x20\x09-\x0D]+', ' ', 'g')) AS x FROM docs))),
+different AS (SELECT DISTINCT doc_id, source, line, block FROM each),
 marked AS (
-  SELECT e.*, coalesce(CASE WHEN e.line = l[1] THEN l[2] ELSE l[1] END, '') AS mark FROM each e JOIN lowest USING (doc_id)),
-frequent AS (SELECT source, line FROM marked GROUP BY ALL HAVING count(DISTINCT mark) > 20),
+  SELECT d.*, coalesce((SELECT min(o.block) FROM different o WHERE o.doc_id = d.doc_id AND o.line <> d.line), '') AS mark
+  FROM different d),
+frequent AS (
+  SELECT source, line FROM marked GROUP BY ALL HAVING count(DISTINCT mark) > 20 AND 2 * count(DISTINCT mark) >= count(*)),
 lost AS (SELECT doc_id, sum(n) AS n FROM each SEMI JOIN frequent USING (source, line) GROUP BY doc_id),
 failed AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM base)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   coalesce(n, 0)::BIGINT AS n_removed_words, base_failed,
-  NOT base_failed AND n_words - coalesce(n, 0) >= 20 AND 100 * (n_words - coalesce(n, 0)) >= 50 * n_words AS kept
+  NOT base_failed AND 100 * (n_words - coalesce(n, 0)) >= 30 * n_words AS kept
 FROM failed LEFT JOIN lost USING (doc_id)
 """
 

@@ -1,14 +1,16 @@
 """Quality rules: counts inside each text, then lines that too many documents of a host share.
 
-Line frequency: each line in its normal form is counted once per document and host. Copies of a
-document are not evidence of boilerplate (they are left to the deduplication), so documents are told
-apart by a line that goes with the counted one: its smallest other line by hash. Near copies agree
-in it and count once, while a footer under a thousand different articles counts a thousand times.
-Lines above the limit are removed, and a document that loses too many of its words is rejected.
+Line frequency: each line in its normal form is counted in the different documents of a host. Copies
+of a document are not evidence of boilerplate (they are left to the deduplication), so documents are
+told apart by a mark, taken from what stands beside the counted line: the smallest hash of the blocks
+of eight words in the other lines. Copies and most near copies agree in it, while a footer under a
+thousand different articles has nearly a thousand marks. A line is removed if it has more marks than
+the limit and at least one for every two documents that hold it; a document that keeps too small a
+share of its words is rejected.
 
 Defined results: a null or empty text has no words and fails the base rules. A null host is a host
-of its own. Repeated rows (same id and text) count as one document and get the same verdict; a
-null id is an id. No rows give no rows. Columns other than id, text and host are not read.
+of its own. Repeated rows (same id and text) are copies, and get the same verdict; a null id is an
+id. No rows give no rows. Columns other than id, text and host are not read.
 """
 
 from __future__ import annotations
@@ -23,8 +25,9 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 # A line in more different documents of one host than this is boilerplate.
 MAX_DOCS_PER_LINE = 20
-# A document must keep this share of its words, and MIN_WORDS of them.
-MIN_KEPT_PERCENT = 50
+# A document must keep this share of its words.
+MIN_KEPT_PERCENT = 30
+BLOCK_WORDS = 8
 
 
 def covered_by_repeats(tokens: Column, window: int = REPEAT_WINDOW) -> Column:
@@ -81,27 +84,53 @@ def line_hash(line: Column) -> Column:
     return F.md5(normal_line(line))
 
 
+def smallest_block(tokens: Column) -> Column:
+    """Smallest hash of the blocks of words, one after the other, of a line."""
+    starts = F.sequence(F.lit(1), F.size(tokens), F.lit(BLOCK_WORDS))
+    return F.array_min(F.transform(starts, lambda i: F.md5(F.array_join(F.slice(tokens, i, BLOCK_WORDS), " "))))
+
+
 def document_lines(documents: DataFrame) -> DataFrame:
     """One row per line that is not blank: ``host``, hash ``line``, its place ``i`` and ``n`` words,
-    and ``mark``, the smallest hash among the document's other lines."""
+    whether it is the ``first`` such line of the document, and ``mark`` (see above)."""
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(rf"[^{SPACE}]"))
-    pair = F.transform(lines, lambda x, i: F.struct(i.alias("i"), line_hash(x).alias("line"), F.size(words(x)).alias("n")))
-    each = documents.select("k", "doc_id", "host", pair.alias("pairs"))
-    lowest = F.slice(F.sort_array(F.array_distinct(F.col("pairs")["line"])), 1, 2)
+
+    def facts(line: Column, i: Column) -> Column:
+        def of(form: Column) -> Column:
+            return let(
+                F.split(form, " "),
+                lambda w: F.struct(F.md5(form).alias("line"), i.alias("i"), F.size(w).alias("n"), smallest_block(w).alias("block")),
+            )
+
+        return let(normal_line(line), of)
+
+    def flagged(p: Column) -> Column:
+        def new(x: Column, j: Column) -> Column:
+            before = F.get(p, j - 1)["line"]
+            return x.withField("first", before.isNull() | (before != x["line"]))
+
+        return F.transform(p, new)
+
+    pairs = let(F.sort_array(F.transform(lines, facts)), flagged)
+    each = documents.select("k", "doc_id", "host", F.explode(F.array(pairs)).alias("pairs"))  # computed once
+    different = F.filter("pairs", lambda x: x["first"])
+    lowest = F.slice(F.sort_array(F.transform(different, lambda x: F.struct(x["block"], x["line"]))), 1, 2)
     each = each.select("k", "doc_id", "host", lowest.alias("lowest"), F.explode("pairs").alias("p"))
-    other = F.when(F.col("p.line") == F.get("lowest", F.lit(0)), F.get("lowest", F.lit(1))).otherwise(F.get("lowest", F.lit(0)))
-    return each.select("k", "doc_id", "host", "p.i", "p.line", "p.n", F.coalesce(other, F.lit("")).alias("mark"))
+    own = F.get("lowest", F.lit(0))["line"] == F.col("p.line")
+    mark = F.when(own, F.get("lowest", F.lit(1))["block"]).otherwise(F.get("lowest", F.lit(0))["block"])
+    return each.select("k", "doc_id", "host", "p.i", "p.line", "p.n", "p.first", F.coalesce(mark, F.lit("")).alias("mark"))
 
 
 def frequent_lines(lines: DataFrame, max_docs: int = MAX_DOCS_PER_LINE) -> DataFrame:
     """``host`` and ``line`` of the lines in more than ``max_docs`` different documents of the host."""
-    seen = lines.select("host", "line", "mark").distinct()
-    return seen.groupBy("host", "line").agg(F.count("*").alias("docs")).where(F.col("docs") > max_docs).select("host", "line")
+    marks = lines.where("first").groupBy("host", "line", "mark").agg(F.count("*").alias("docs"))
+    counted = marks.groupBy("host", "line").agg(F.count("*").alias("marks"), F.sum("docs").alias("docs"))
+    return counted.where((F.col("marks") > max_docs) & (2 * F.col("marks") >= F.col("docs"))).select("host", "line")
 
 
 def removed_lines(documents: DataFrame, max_docs: int = MAX_DOCS_PER_LINE) -> DataFrame:
     """Key, hashes of the lines to remove and the words they hold, for documents that lose any."""
-    lines = document_lines(documents)
+    lines = written(document_lines(documents), "document-lines")
     frequent = written(frequent_lines(lines, max_docs), "frequent-lines").withColumnsRenamed({"host": "_host", "line": "_line"})
     hit = lines.join(frequent, (F.col("line") == F.col("_line")) & F.col("host").eqNullSafe(F.col("_host")))
     places = hit.groupBy("k", "doc_id").agg(F.collect_set(F.struct("i", "line", "n")).alias("p"))
@@ -115,7 +144,7 @@ def judged(documents: DataFrame, host: str = "source", max_docs: int = MAX_DOCS_
     removed = written(removed_lines(docs, max_docs), "removed-lines")
     joined = join_rows(base_counts(docs), removed)
     left = F.col("n_words") - F.coalesce("removed_words", F.lit(0))
-    kept = ~F.col("base_failed") & (left >= MIN_WORDS) & (100 * left >= MIN_KEPT_PERCENT * F.col("n_words"))
+    kept = ~F.col("base_failed") & (100 * left >= MIN_KEPT_PERCENT * F.col("n_words"))
     return joined.withColumn("n_removed_words", F.coalesce("removed_words", F.lit(0)).cast("bigint")).withColumn("kept", kept)
 
 

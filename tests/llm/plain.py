@@ -42,12 +42,14 @@ def base_counts(text):
 
 def quality(docs, max_docs=20):
     """{row: (counts, removed words, kept, text left)} for rows (doc_id, text, source)."""
-    marks = defaultdict(set)
-    for _, text, source in set(docs):
-        hashes = sorted({hashlib.md5(normal(x).encode()).hexdigest() for x in (text or "").split("\n") if words(x)})
-        for h in hashes:
-            marks[source, h].add(next((o for o in hashes[:2] if o != h), ""))
-    frequent = {key for key, m in marks.items() if len(m) > max_docs}
+    digest = lambda x: hashlib.md5(x.encode()).hexdigest()
+    marks = defaultdict(list)
+    for _, text, source in docs:
+        forms = {normal(x) for x in (text or "").split("\n") if words(x)}
+        blocks = {x: min(digest(" ".join(x.split(" ")[i : i + 8])) for i in range(0, len(x.split(" ")), 8)) for x in forms}
+        for x in forms:
+            marks[source, digest(x)].append(min((blocks[o] for o in forms if o != x), default=""))
+    frequent = {key for key, m in marks.items() if len(set(m)) > max_docs and 2 * len(set(m)) >= len(m)}
     out = {}
     for doc_id, text, source in docs:
         counts = base_counts(text)
@@ -55,7 +57,7 @@ def quality(docs, max_docs=20):
         gone = [bool(words(x)) and (source, hashlib.md5(normal(x).encode()).hexdigest()) in frequent for x in lines]
         lost = sum(len(words(x)) for x, g in zip(lines, gone) if g)
         left = counts["n_words"] - lost
-        kept = not counts["base_failed"] and left >= 20 and 100 * left >= 50 * counts["n_words"]
+        kept = not counts["base_failed"] and 100 * left >= 30 * counts["n_words"]
         out[doc_id, text, source] = (counts, lost, kept, "\n".join(x for x, g in zip(lines, gone) if not g))
     return out
 

@@ -13,6 +13,8 @@ def corpus():
     rows += [(100 + i, "only\n" + FOOTER + " " + "x y z " * 20 + f"\n{FOOTER}", "busy") for i in range(3)]
     rows += [(200 + i, LONG + "\n" + FOOTER, "copies") for i in range(30)]  # copies are no evidence
     rows += [(300, None, "busy"), (301, "", None), (302, " \t\n", "busy"), (303, "ab " * 60, "busy"), (304, "é# $\n" * 3 + LONG, None), (None, LONG, "busy")]
+    # near copies in which any line may differ: two lines, one of them changed
+    rows += [(400 + i, " ".join(f"a{j}" for j in range(60)) + "\n" + " ".join(f"b{j}" if j != i else "other" for j in range(60)), "near") for i in range(40)]
     rows += [(305, "\n".join([FOOTER] * 5) + "\nshort rest of only a few words", "busy"), (305, "another text under the same id " + LONG, "busy")]
     return rows + rows[:2] + [(306, LONG + " " + "v " * 20000, "busy")]
 
@@ -25,7 +27,8 @@ def test_quality_rules_equal_plain(spark, documents):
     key = lambda r: (str(r["doc_id"]), *[r[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")], r["n_removed_words"], r["kept"])
     want = [(str(d), *expected[d, t, s][0].values(), expected[d, t, s][1], expected[d, t, s][2]) for d, t, s in rows]
     assert sorted(map(key, got)) == sorted(want)
-    assert any(w[7] for w in want) and all(w[8] for w in want if w[0].startswith("20"))
+    assert any(w[7] for w in want) and all(w[8] for w in want if len(w[0]) == 3 and w[0][0] == "2")
+    assert all(w[8] and not w[7] for w in want if len(w[0]) == 3 and w[0][0] == "4")
     assert not next(w for w in want if w[0] == "305" and w[1] < 60)[8]
 
 
