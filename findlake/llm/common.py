@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from findlake.session import materialize
+from findlake.session import materialize, remove_folder, shared_dir
 
 # The characters that separate words.
 SPACE = r"\x20\x09-\x0D"
@@ -18,6 +18,14 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return materialize(df, f"llm-{purpose}")
 
 
+def written_for_now(df: DataFrame, purpose: str) -> tuple[DataFrame, Callable[[], None]]:
+    """The same, and a function that removes the files once all that read them is written itself."""
+    spark = df.sparkSession
+    path = shared_dir(spark, f"llm-{purpose}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), lambda: remove_folder(spark, path)
+
+
 def texts(documents: DataFrame, *columns: str) -> DataFrame:
     """Row key ``k``, ``doc_id``, the whole ``text`` (null: empty) and ``columns``; nothing else.
 

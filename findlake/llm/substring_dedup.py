@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts, written
+from .common import texts, written, written_for_now
 from .substring_names import BLOCK, SHORT, Names, anchored_runs, cell_names, cells
 
 LENGTH = 400
@@ -163,9 +163,10 @@ def repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
         raise ValueError(f"a repeat has more than {SHORT} and at most {_REST} bytes")
     part = max(1, length // 16)
     widths = [8 * part, part, 1]  # each divides the one before, so a smaller cell lies in one larger
-    found = written(first_cells(documents, length, widths[0]), "all-cells")
+    found, remove = written_for_now(first_cells(documents, length, widths[0]), "all-cells")
     shared = found.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
     found = written(found.join(written(shared, "shared-cores"), "core", "left_semi").select(_NAMES), "shared-cells")
+    remove()
     ranges = None
     for width in widths[1:] + [None]:
         done, left = decided(found, width is None)
