@@ -5,8 +5,8 @@ of a document are not evidence of boilerplate (they are left to the deduplicatio
 told apart by a mark, taken from what stands beside the counted line: the smallest hash of the blocks
 of eight words in the other lines. Copies and most near copies agree in it, while a footer under a
 thousand different articles has nearly a thousand marks. A line is removed if it has more marks than
-the limit and at least one for every two documents that hold it; a document that keeps too small a
-share of its words is rejected.
+the limit and at least one for every two different texts that hold it, so copies neither add to the
+count nor take from it; a document that keeps too small a share of its words is rejected.
 
 Defined results: a null or empty text has no words and fails the base rules. A null host is a host
 of its own. Repeated rows (same id and text) are copies, and get the same verdict; a null id is an
@@ -91,8 +91,9 @@ def smallest_block(tokens: Column) -> Column:
 
 
 def document_lines(documents: DataFrame) -> DataFrame:
-    """One row per line that is not blank: ``host``, hash ``line``, its place ``i`` and ``n`` words,
-    whether it is the ``first`` such line of the document, and ``mark`` (see above)."""
+    """One row per line that is not blank: ``host``, hash of the whole text ``t``, hash ``line``, its
+    place ``i`` and ``n`` words, whether it is the ``first`` such line of the document, and ``mark``
+    (see above)."""
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(rf"[^{SPACE}]"))
 
     def facts(line: Column, i: Column) -> Column:
@@ -112,20 +113,21 @@ def document_lines(documents: DataFrame) -> DataFrame:
         return F.transform(p, new)
 
     pairs = let(F.sort_array(F.transform(lines, facts)), flagged)
-    each = documents.select("k", "doc_id", "host", F.explode(F.array(pairs)).alias("pairs"))  # computed once
+    each = documents.select("k", "doc_id", "host", F.xxhash64("text").alias("t"), F.explode(F.array(pairs)).alias("pairs"))  # computed once
     different = F.filter("pairs", lambda x: x["first"])
     lowest = F.slice(F.sort_array(F.transform(different, lambda x: F.struct(x["block"], x["line"]))), 1, 2)
-    each = each.select("k", "doc_id", "host", lowest.alias("lowest"), F.explode("pairs").alias("p"))
+    each = each.select("k", "doc_id", "host", "t", lowest.alias("lowest"), F.explode("pairs").alias("p"))
     own = F.get("lowest", F.lit(0))["line"] == F.col("p.line")
     mark = F.when(own, F.get("lowest", F.lit(1))["block"]).otherwise(F.get("lowest", F.lit(0))["block"])
-    return each.select("k", "doc_id", "host", "p.i", "p.line", "p.n", "p.first", F.coalesce(mark, F.lit("")).alias("mark"))
+    return each.select("k", "doc_id", "host", "t", "p.i", "p.line", "p.n", "p.first", F.coalesce(mark, F.lit("")).alias("mark"))
 
 
 def frequent_lines(lines: DataFrame, max_docs: int = MAX_DOCS_PER_LINE) -> DataFrame:
     """``host`` and ``line`` of the lines in more than ``max_docs`` different documents of the host."""
-    marks = lines.where("first").groupBy("host", "line", "mark").agg(F.count("*").alias("docs"))
-    counted = marks.groupBy("host", "line").agg(F.count("*").alias("marks"), F.sum("docs").alias("docs"))
-    return counted.where((F.col("marks") > max_docs) & (2 * F.col("marks") >= F.col("docs"))).select("host", "line")
+    different = lines.where("first").select("host", "line", "mark", "t").distinct()
+    marks = different.groupBy("host", "line", "mark").agg(F.count("*").alias("texts"))
+    counted = marks.groupBy("host", "line").agg(F.count("*").alias("marks"), F.sum("texts").alias("texts"))
+    return counted.where((F.col("marks") > max_docs) & (2 * F.col("marks") >= F.col("texts"))).select("host", "line")
 
 
 def removed_lines(documents: DataFrame, max_docs: int = MAX_DOCS_PER_LINE) -> DataFrame:
