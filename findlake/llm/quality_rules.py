@@ -1,12 +1,17 @@
 """Quality rules: counts inside each text, then lines that too many documents of a host share.
 
-Line frequency: each line in its normal form is counted in the different documents of a host. Copies
-of a document are not evidence of boilerplate (they are left to the deduplication), so documents are
-told apart by a mark, taken from what stands beside the counted line: the smallest hash of the blocks
-of eight words in the other lines. Copies and most near copies agree in it, while a footer under a
-thousand different articles has nearly a thousand marks. A line is removed if it has more marks than
-the limit and at least one for every two different texts that hold it, so copies neither add to the
-count nor take from it; a document that keeps too small a share of its words is rejected.
+Line frequency: a line in its normal form that more different texts of a host hold than the limit is
+shared. Copies of a document are not evidence of boilerplate (they are left to the deduplication), and
+exact ones are one text. To tell near copies from different documents, only what boilerplate cannot
+supply counts: the lines of a text that are its own, that is neither shared nor, beginning or ending as
+more texts than the limit do, variants of a line that many have. A text whose own lines hold at least
+``MIN_OWN_PERCENT`` of the words of its different lines is evidence, with the smallest hash of the
+blocks of eight words in its own lines as its mark. Beginnings and ends are looked for among the texts
+that hold a shared line; they are eight words, in lines under sixteen words one half.
+
+A shared line is removed if the evidence for it has more marks than the limit. However many copies,
+near copies or other shared lines there are, they neither add to the marks nor take from them. A
+document that keeps too small a share of its words is rejected.
 
 Defined results: a null or empty text has no words and fails the base rules. A null host is a host
 of its own. Repeated rows (same id and text) are copies, and get the same verdict; a null id is an
@@ -28,6 +33,8 @@ MAX_DOCS_PER_LINE = 20
 # A document must keep this share of its words.
 MIN_KEPT_PERCENT = 30
 BLOCK_WORDS = 8
+# Share of the words of a text that its own lines hold if it counts as a different document.
+MIN_OWN_PERCENT = 10
 
 
 def covered_by_repeats(tokens: Column, window: int = REPEAT_WINDOW) -> Column:
@@ -87,20 +94,31 @@ def line_hash(line: Column) -> Column:
 def smallest_block(tokens: Column) -> Column:
     """Smallest hash of the blocks of words, one after the other, of a line."""
     starts = F.sequence(F.lit(1), F.size(tokens), F.lit(BLOCK_WORDS))
-    return F.array_min(F.transform(starts, lambda i: F.md5(F.array_join(F.slice(tokens, i, BLOCK_WORDS), " "))))
+    return F.array_min(F.transform(starts, lambda i: F.xxhash64(F.slice(tokens, i, BLOCK_WORDS))))
+
+
+def line_ends(tokens: Column) -> Column:
+    """Hashes of how a line begins and ends; one changed word leaves one of them as it is."""
+    half = F.floor(F.size(tokens) / 2).cast("int")
+    head = F.slice(tokens, 1, F.least(F.lit(BLOCK_WORDS), F.size(tokens) - half))
+    n = F.least(F.lit(BLOCK_WORDS), half)
+    tail = F.slice(tokens, F.size(tokens) - n + 1, n)
+    return F.array_compact(F.array(F.xxhash64(F.lit("head"), head), F.when(n > 0, F.xxhash64(F.lit("tail"), tail))))
 
 
 def document_lines(documents: DataFrame) -> DataFrame:
     """One row per line that is not blank: ``host``, hash of the whole text ``t``, hash ``line``, its
-    place ``i`` and ``n`` words, whether it is the ``first`` such line of the document, and ``mark``
-    (see above)."""
+    place ``i`` and ``n`` words, whether it is the ``first`` such line of the document, its smallest
+    ``block`` and its ``ends``."""
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(rf"[^{SPACE}]"))
 
     def facts(line: Column, i: Column) -> Column:
         def of(form: Column) -> Column:
             return let(
                 F.split(form, " "),
-                lambda w: F.struct(F.md5(form).alias("line"), i.alias("i"), F.size(w).alias("n"), smallest_block(w).alias("block")),
+                lambda w: F.struct(
+                    F.md5(form).alias("line"), i.alias("i"), F.size(w).alias("n"), smallest_block(w).alias("block"), line_ends(w).alias("ends")
+                ),
             )
 
         return let(normal_line(line), of)
@@ -113,28 +131,58 @@ def document_lines(documents: DataFrame) -> DataFrame:
         return F.transform(p, new)
 
     pairs = let(F.sort_array(F.transform(lines, facts)), flagged)
-    each = documents.select("k", "doc_id", "host", F.xxhash64("text").alias("t"), F.explode(F.array(pairs)).alias("pairs"))  # computed once
-    different = F.filter("pairs", lambda x: x["first"])
-    lowest = F.slice(F.sort_array(F.transform(different, lambda x: F.struct(x["block"], x["line"]))), 1, 2)
-    each = each.select("k", "doc_id", "host", "t", lowest.alias("lowest"), F.explode("pairs").alias("p"))
-    own = F.get("lowest", F.lit(0))["line"] == F.col("p.line")
-    mark = F.when(own, F.get("lowest", F.lit(1))["block"]).otherwise(F.get("lowest", F.lit(0))["block"])
-    return each.select("k", "doc_id", "host", "t", "p.i", "p.line", "p.n", "p.first", F.coalesce(mark, F.lit("")).alias("mark"))
-
-
-def frequent_lines(lines: DataFrame, max_docs: int = MAX_DOCS_PER_LINE) -> DataFrame:
-    """``host`` and ``line`` of the lines in more than ``max_docs`` different documents of the host."""
-    different = lines.where("first").select("host", "line", "mark", "t").distinct()
-    marks = different.groupBy("host", "line", "mark").agg(F.count("*").alias("texts"))
-    counted = marks.groupBy("host", "line").agg(F.count("*").alias("marks"), F.sum("texts").alias("texts"))
-    return counted.where((F.col("marks") > max_docs) & (2 * F.col("marks") >= F.col("texts"))).select("host", "line")
+    each = documents.select("k", "doc_id", "host", F.xxhash64("text").alias("t"), F.explode(pairs).alias("p"))
+    return each.select("k", "doc_id", "host", "t", "p.i", "p.line", "p.n", "p.first", "p.block", "p.ends")
+
+
+def of_host(rows: DataFrame, other: DataFrame, *columns: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``other`` on the host (a null one equals a null one) and ``columns``."""
+    other = other.withColumnsRenamed({c: f"_{c}" for c in ("host", *columns)})
+    same = F.col("host").eqNullSafe(F.col("_host"))
+    for c in columns:
+        same = same & (F.col(c) == F.col(f"_{c}"))
+    return rows.join(other, same, how).drop("_host", *[f"_{c}" for c in columns])
+
+
+def in_many_texts(rows: DataFrame, column: str, max_docs: int) -> DataFrame:
+    """``host`` and ``column`` where more than ``max_docs`` different texts of the host hold it."""
+    texts_of = rows.select("host", column, "t").distinct().groupBy("host", column).agg(F.count("*").alias("texts"))
+    return texts_of.where(F.col("texts") > max_docs).select("host", column)
+
+
+def evidence(lines: DataFrame, hits: DataFrame, max_docs: int) -> DataFrame:
+    """``host`` and hash ``t`` of the texts with a shared line (``hits``) and enough words of their own,
+    with their ``mark``."""
+    # One document stands for all with its text.
+    chosen = F.min(F.struct("k", "doc_id")).alias("one")
+    held = hits.groupBy("host", "t").agg(chosen, F.collect_set("line").alias("shared")).select("one.k", "one.doc_id", "shared")
+    theirs = written(join_rows(lines.where("first"), held, "inner"), "lines-beside-shared")
+    ends = written(in_many_texts(theirs.select("host", "t", F.explode("ends").alias("end")), "end", max_docs), "frequent-ends")
+    unshared = theirs.where(~F.array_contains("shared", F.col("line"))).select("host", "t", "line", "n", "block", "ends")
+    own = unshared.withColumns({"head": F.get("ends", F.lit(0)), "tail": F.get("ends", F.lit(1))})
+    for c in ("head", "tail"):
+        own = of_host(own, ends.withColumnRenamed("end", c), c, how="left_anti")
+    own = own.select("host", "t", "line", "n", "block").distinct()
+    own = own.groupBy("host", "t").agg(F.min("block").alias("mark"), F.sum("n").alias("own"))
+    total = theirs.select("host", "t", "line", "n").distinct().groupBy("host", "t").agg(F.sum("n").alias("total"))
+    both = of_host(own, total, "t")
+    return both.where(100 * F.col("own") >= MIN_OWN_PERCENT * F.col("total")).select("host", "t", "mark")
+
+
+def frequent_lines(lines: DataFrame, hits: DataFrame, max_docs: int = MAX_DOCS_PER_LINE) -> DataFrame:
+    """``host`` and ``line`` of the shared lines in more than ``max_docs`` different documents of the host."""
+    marked = of_host(hits.select("host", "t", "line").distinct(), evidence(lines, hits, max_docs), "t")
+    marks = marked.select("host", "line", "mark").distinct().groupBy("host", "line").agg(F.count("*").alias("marks"))
+    return marks.where(F.col("marks") > max_docs).select("host", "line")
 
 
 def removed_lines(documents: DataFrame, max_docs: int = MAX_DOCS_PER_LINE) -> DataFrame:
     """Key, hashes of the lines to remove and the words they hold, for documents that lose any."""
     lines = written(document_lines(documents), "document-lines")
-    frequent = written(frequent_lines(lines, max_docs), "frequent-lines").withColumnsRenamed({"host": "_host", "line": "_line"})
-    hit = lines.join(frequent, (F.col("line") == F.col("_line")) & F.col("host").eqNullSafe(F.col("_host")))
+    shared = written(in_many_texts(lines.where("first"), "line", max_docs), "shared-lines")
+    hits = written(of_host(lines.select("k", "doc_id", "host", "t", "i", "line", "n"), shared, "line"), "shared-places")
+    frequent = written(frequent_lines(lines, hits, max_docs), "frequent-lines")
+    hit = of_host(hits, frequent, "line")
     places = hit.groupBy("k", "doc_id").agg(F.collect_set(F.struct("i", "line", "n")).alias("p"))
     total = F.aggregate("p", F.lit(0), lambda n, x: n + x["n"])
     return places.select("k", "doc_id", F.array_distinct(F.col("p")["line"]).alias("removed"), total.alias("removed_words"))

@@ -21,3 +21,27 @@ def test_copies_neither_add_to_a_count_nor_veto_it(spark, documents):
     rows += [(300 + i, f"{FOOTER}\n{words(f'b{i // 40}', 40)}", "few texts") for i in range(120)]
     got = judged(documents, rows)
     assert all(r["n_removed_words"] == (9 if d < 300 else 0) and r["kept"] for d, r in got.items())
+
+
+def test_lines_of_hosts_with_ten_shared_lines(spark, documents):
+    shared = [words(f"s{j}", 8) for j in range(10)]
+    rows = [(i, "\n".join([*shared, words(f"a{i}", 20)]), "depleted") for i in range(60)]
+    rows += [(100 + i, "\n".join([*shared, words(f"b{i}", 200)]), None) for i in range(60)]
+    got = judged(documents, rows)
+    assert all(r["n_removed_words"] == 80 for r in got.values())
+    assert all(r["kept"] == (d >= 100) for d, r in got.items())
+
+
+def test_near_copies_are_no_evidence_and_no_veto(spark, documents):
+    base = [words(f"n{j}", 60).split(" ") for j in range(8)]
+
+    def near(i):
+        changed = [list(x) for x in base]
+        changed[i % 8][i // 8 % 60] = f"new{i}"
+        return "\n".join([FOOTER, *map(" ".join, changed)])
+
+    rows = [(i, near(i), "near") for i in range(400)]
+    rows += [(1000 + i, near(i), "both") for i in range(400)]
+    rows += [(2000 + i, f"{FOOTER}\n{words(f'a{i}', 40)}", "both") for i in range(30)]
+    got = judged(documents, rows)
+    assert all(r["kept"] and r["n_removed_words"] == (0 if d < 1000 else 9) for d, r in got.items())
