@@ -43,6 +43,10 @@ BLOCKS = frozenset(
 )
 # Their content is never text of the page.
 SILENT = frozenset("script style noscript template title head svg math iframe object canvas audio video map datalist".split())
+# What can stand in a head; it ends, closed or not, where anything else begins.
+IN_HEAD = frozenset("html head base basefont bgsound link meta title noscript noframes style script template".split())
+# Elements that a closing slash ends, unlike those of HTML.
+FOREIGN = frozenset(("svg", "math"))
 # Regions that hold no part of an article.
 REGIONS = frozenset("nav header footer aside form menu dialog button select textarea option fieldset label".split())
 ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar form".split())
@@ -95,7 +99,13 @@ class _Blocks(HTMLParser):
         self.links -= sum(name == "a" for name, *_ in self.open[at:])
         del self.open[at:]
 
+    def _end_head(self) -> None:
+        if self.open[-1][0] == "head":
+            self._close(len(self.open) - 1)
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag not in IN_HEAD:
+            self._end_head()
         if tag == "br":
             self.parts.append(" ")
         if tag in VOID:
@@ -131,7 +141,10 @@ class _Blocks(HTMLParser):
         self.open.append((tag, bad, talk, silent or tag in SILENT, section, article))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        self.handle_starttag(tag, attrs)  # a closing slash means nothing in HTML
+        if tag in FOREIGN:
+            self._end_head()
+        else:
+            self.handle_starttag(tag, attrs)  # a closing slash means nothing in HTML
 
     def handle_endtag(self, tag: str) -> None:
         for at in range(len(self.open) - 1, 0, -1):
@@ -142,6 +155,8 @@ class _Blocks(HTMLParser):
             self.parts.append(" ")
 
     def handle_data(self, data: str) -> None:
+        if data.strip(" \t\n\f\r"):
+            self._end_head()
         if not self.open[-1][3]:
             self.parts.append(data)
             if self.links > 0:
