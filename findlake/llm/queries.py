@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_blocks, line_dedup, nb_svm, packing, quality_rules, secret_index, simhash_anchors, string_tiling, substring_dedup, url_filter
+from . import html_blocks, license_scan, line_dedup, nb_svm, packing, quality_rules, secret_index, simhash_anchors, string_tiling, substring_dedup, url_filter
 
 URL_RULES = [
     ("allow", "org/"),
@@ -80,6 +80,11 @@ def op10_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return string_tiling.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_license_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices in every document."""
+    return license_scan.digest(license_scan.scan(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_nb_svm": op1_nb_svm,
     "op2_url_filter": op2_url_filter,
@@ -91,4 +96,5 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_string_tiling": op10_string_tiling,
+    "op13_license_automaton": op13_license_automaton,
 }

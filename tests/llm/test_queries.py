@@ -19,7 +19,7 @@ def db():
 
 def test_all_are_registered():
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES) and set(ORACLES) <= set(entry.oracle_sql())
 
 
