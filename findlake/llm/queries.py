@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_blocks, license_scan, line_dedup, nb_svm, packing, quality_rules, secret_index, simhash_anchors, string_tiling, substring_dedup, url_filter
+from . import html_blocks, license_scan, line_dedup, nb_svm, packing, prefix_trie, quality_rules, secret_index, simhash_anchors, string_tiling, substring_dedup, url_filter
+from .common import written
 
 URL_RULES = [
     ("allow", "org/"),
@@ -80,6 +81,12 @@ def op10_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return string_tiling.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of the rebuilt conversations."""
+    turns = written(prefix_trie.ordered_turns(table(spark, sf_dir, "conversations")), "trie-turns")
+    return prefix_trie.nodes(prefix_trie.paths(prefix_trie.with_borrowed_starts(turns)))
+
+
 def op13_license_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and notices in every document."""
     return license_scan.digest(license_scan.scan(table(spark, sf_dir, "documents")))
@@ -96,5 +103,6 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_string_tiling": op10_string_tiling,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_license_automaton": op13_license_automaton,
 }
