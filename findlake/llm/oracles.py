@@ -128,9 +128,49 @@ SELECT l.doc_id, count(*) FILTER (held) AS n_lines, count(g.i) AS n_removed,
 FROM lines l LEFT JOIN gone g USING (doc_id, i) GROUP BY l.doc_id
 """
 
+# The checksum of a number's digits, bit by bit (0xEDB88320 is 3988292384); prefixes are compared whole.
+PREFIX_TRIE = r"""
+WITH own AS (
+  SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS turns
+  FROM conversations GROUP BY conv_id),
+codes AS (
+  SELECT conv_id, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT) AS bytes FROM own),
+borrowed AS (
+  SELECT conv_id, xor(list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda sum, byte:
+      list_reduce([xor(sum, byte), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda bits, step:
+        CASE WHEN bits & 1 = 1 THEN xor(bits >> 1, 3988292384) ELSE bits >> 1 END)), 4294967295) % 4 AS h
+  FROM codes),
+rebuilt AS (
+  SELECT o.conv_id, list_concat(coalesce(list_slice(d.turns, 1, h), []), list_slice(o.turns, h + 1, len(o.turns))) AS turns
+  FROM own o JOIN borrowed USING (conv_id) LEFT JOIN own d ON d.conv_id = o.conv_id - o.conv_id % 20),
+starts AS (
+  SELECT conv_id, d AS depth, len(turns) AS size,
+    CASE WHEN d > 0 THEN md5(to_json(list_slice(turns, 1, d))::VARCHAR) ELSE '' END AS key,
+    CASE WHEN d > 0 THEN len(string_split_regex(trim(turns[d].text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '[\x20\x09-\x0D]+'))
+      - (NOT regexp_matches(turns[d].text, '[^\x20\x09-\x0D]'))::INTEGER ELSE 0 END AS words
+  FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT depth, key, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (size = depth), '')) AS ends_sha256
+  FROM starts GROUP BY depth, key),
+above AS (
+  SELECT n.depth, n.key, n.n_convs, n.words, s.depth AS up, s.key AS up_key
+  FROM nodes n JOIN starts s ON s.conv_id = n.conv_id AND s.depth <= n.depth),
+inner_nodes AS (SELECT DISTINCT up AS depth, up_key AS key FROM above WHERE depth = up + 1),
+subtrees AS (
+  SELECT up AS depth, up_key AS key, count(*) FILTER (a.depth = up + 1) AS n_children,
+    count(*) FILTER (i.key IS NULL) AS n_leaves, sum((n_convs - 1) * words)::BIGINT AS saved_tokens
+  FROM above a LEFT JOIN inner_nodes i USING (depth, key) GROUP BY up, up_key)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n_children, n_leaves, saved_tokens, n.ends_sha256
+FROM nodes n JOIN subtrees USING (depth, key)
+  LEFT JOIN above a ON a.depth = n.depth AND a.key = n.key AND a.up = n.depth - 1
+  LEFT JOIN nodes p ON p.depth = a.up AND p.key = a.up_key
+"""
+
 ORACLES = {
     "op2_url_filter": URL_FILTER,
     "op3_secret_index": _secret_index(),
     "op5_quality_rules": QUALITY_RULES,
     "op6_line_dedup": LINE_DEDUP,
+    "op12_prefix_trie": PREFIX_TRIE,
 }
