@@ -24,14 +24,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
-from .token_ids import encoder
+from .token_ids import encoder, portions
 
 CAPACITY = 2048
 END = 0
 # Rows that are numbered in one window group, on average.
 BUCKET_ROWS = 50_000
-# Texts whose ids are held at a time.
-TEXTS_AT_ONCE = 2_000
 
 
 def cut(n_ids: int, capacity: int) -> list[tuple[int, int]]:
@@ -50,10 +48,9 @@ def pieces(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> Da
         encode = encoder(tokenizer).encode
         end = np.array([END], "<u4")
         for whole in batches:
-            for i in range(0, whole.num_rows, TEXTS_AT_ONCE):
-                batch = whole.slice(i, TEXTS_AT_ONCE)
+            for first, texts in portions(whole.column("text")):
                 at, number, start, length, crc = [], [], [], [], []
-                for row, found in enumerate(encode([t or "" for t in batch.column("text").to_pylist()])):
+                for row, found in enumerate(encode(texts), first):
                     ids = np.concatenate([found, end])
                     for j, (s, n) in enumerate(cut(len(ids), capacity)):
                         at.append(row)
@@ -63,7 +60,7 @@ def pieces(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> Da
                         crc.append(zlib.crc32(ids[s : s + n].tobytes()))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id").take(pa.array(at, pa.int64())),
+                        whole.column("doc_id").take(pa.array(at, pa.int64())),
                         pa.array(number, pa.int32()),
                         *[pa.array(x, pa.int64()) for x in (start, length, crc)],
                     ],

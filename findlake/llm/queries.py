@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_blocks, license_scan, line_dedup, nb_svm, packing, prefix_trie, quality_rules, secret_index, simhash_anchors, string_tiling, substring_dedup, url_filter
+from . import html_blocks, license_scan, line_dedup, nb_svm, packing, prefix_trie, quality_rules, secret_index, simhash_anchors, string_tiling, substring_dedup, token_align, url_filter
 from .common import written
 
 URL_RULES = [
@@ -55,10 +55,10 @@ def op4_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_anchors.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op7_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +81,11 @@ def op10_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return string_tiling.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers' tokens in every document."""
+    return token_align.aligned(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the trie of the rebuilt conversations."""
     turns = written(prefix_trie.ordered_turns(table(spark, sf_dir, "conversations")), "trie-turns")
@@ -103,6 +108,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_string_tiling": op10_string_tiling,
+    "op11_token_align": op11_token_align,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_license_automaton": op13_license_automaton,
 }
