@@ -13,6 +13,8 @@ CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Rows go to Python by bytes, not only by number: one text may be as long as a thousand others.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
