@@ -36,7 +36,7 @@ def trend(scan_counts: DataFrame) -> DataFrame:
     """Change of the findings count against the previous scan of the repository.
 
     ``scan_counts`` has (repository, scan_ts, scan_id, findings), one row per scan. Scans are
-    numbered in time order by buckets, and each hands its count to the next number, so a
+    numbered in time order by ranges, and each hands its count to the next number, so a
     repository with very many scans is not one task, as it would be with ``lag``.
     """
     timed = scan_counts.withColumn("_micros", F.unix_micros("scan_ts"))

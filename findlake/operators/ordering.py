@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# A window group of ``numbered`` holds at most 2^BUCKET_BITS rows, whatever the data looks like.
-BUCKET_BITS = 18
+from findlake.session import materialize_ranges, shuffle_partitions
+
 SALTS = 16
 MOST_SALTS = 4096
 
@@ -16,9 +16,7 @@ MOST_SALTS = 4096
 def salts_for(df: DataFrame) -> int:
     """Salts that follow the data: one for every eight partitions that the session starts a shuffle
     with (see ``build_session``), 16 at least. Results do not depend on the number."""
-    conf = df.sparkSession.conf
-    partitions = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or conf.get("spark.sql.shuffle.partitions")
-    return min(MOST_SALTS, max(SALTS, int(partitions) // 8))
+    return min(MOST_SALTS, max(SALTS, shuffle_partitions(df.sparkSession) // 8))
 
 
 def first_by(df: DataFrame, keys: Sequence[str], order: str = "seq") -> DataFrame:
@@ -43,46 +41,36 @@ def numbered(
     order: str = "seq",
     out: str = "n",
     ties: Sequence[str] = (),
-    bits: int = BUCKET_BITS,
-    order_bits: int = 63,
+    first: str | None = None,
 ) -> DataFrame:
-    """Exact 1-based row numbers in ``group`` by ``order``, without one task per group.
-
-    ``order`` is a BIGINT below 2^order_bits, not negative, and unique within the group or made
-    so by ``ties``; group columns are not NULL. It is cut into buckets of 2^bits values. Rows
-    are numbered within their bucket, and a bucket adds the number of rows before it, from
-    prefix sums over the pre-aggregated bucket sizes. Those are taken level by level, each
-    bucket of a level holding 2^bits buckets of the level below, so no window group exceeds
-    2^bits entries, however large the group is.
+    """Exact 1-based row numbers in ``group`` by ``order``, and the group's lowest ``order`` as
+    ``first`` if that is named; without one task per group.
+
+    ``order`` and ``ties`` are unique within a group. The rows are written once, in ranges of (group,
+    order); this is the only time they are shuffled. A window numbers the rows of each group within
+    its range, which needs no exchange (see ``materialize_ranges``). Only a range that starts within a
+    group has rows of it before: for those, one row a range at most, the sizes of the group's
+    earlier ranges are added up and broadcast.
     """
     group = list(group)
-    keyed = df.withColumn("_b", F.shiftright(order, bits))
-    sizes = keyed.groupBy(*group, "_b").agg(F.count(F.lit(1)).alias("_rows"))
-    in_bucket = Window.partitionBy(*group, "_b").orderBy(order, *ties)
-    return (
-        keyed.withColumn("_n", F.row_number().over(in_bucket))
-        .join(_rows_before(sizes, group, bits, order_bits - bits), [*group, "_b"])
-        .withColumn(out, F.col("_n") + F.col("_before"))
-        .select(*df.columns, out)
-    )
-
-
-def _rows_before(sizes: DataFrame, group: list[str], bits: int, left: int) -> DataFrame:
-    """(group, _b, _before): rows of the group in buckets before ``_b``, of ``left`` bits."""
-
-    def before(*partition: str):
-        w = Window.partitionBy(*partition).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-        return F.coalesce(F.sum("_rows").over(w), F.lit(0))
-
-    if left <= bits:
-        return sizes.select(*group, "_b", before(*group).alias("_before"))
-    nested = sizes.withColumn("_outer", F.shiftright("_b", bits))
-    inside = nested.select(*group, "_b", "_outer", before(*group, "_outer").alias("_inside"))
-    outer_sizes = nested.groupBy(*group, F.col("_outer").alias("_b")).agg(F.sum("_rows").alias("_rows"))
-    outer = _rows_before(outer_sizes, group, bits, left - bits).withColumnRenamed("_b", "_outer")
-    return inside.join(outer, [*group, "_outer"]).select(
-        *group, "_b", (F.col("_inside") + F.col("_before")).alias("_before")
-    )
+    table = materialize_ranges(df, "numbered", [*group, order, *ties], "_part")
+    here = Window.partitionBy("_part", *group).orderBy(order, *ties)
+    rows = table.withColumns({"_n": F.row_number().over(here), "_low": F.first(order).over(here)})
+    cells = table.groupBy("_part", *group).agg(F.count(F.lit(1)).alias("_rows"), F.min(order).alias("_least"))
+    earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = cells.select(
+        F.col("_part").alias("_of"),
+        *[F.col(g).alias(f"_{g}") for g in group],
+        F.sum("_rows").over(earlier).alias("_before"),
+        F.min("_least").over(earlier).alias("_lowest"),
+    ).where("_before IS NOT NULL")
+    same = F.col("_part") == F.col("_of")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_{g}"))
+    joined = rows.join(F.broadcast(before), same, "left")
+    number = (F.col("_n") + F.coalesce("_before", F.lit(0))).cast("bigint")
+    lowest = [] if first is None else [F.coalesce("_lowest", "_low").alias(first)]
+    return joined.select(*df.columns, number.alias(out), *lowest)
 
 
 def hot_join(

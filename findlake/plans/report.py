@@ -33,7 +33,7 @@ from findlake.functions import (
 )
 from findlake.model import SEVERITIES_DESC
 from findlake.operators.aggregate import count_by_severity, scan_status, top_findings
-from findlake.operators.ordering import first_by, hot_join, numbered
+from findlake.operators.ordering import first_by, numbered
 
 ORDER = ["scan_id", "major", "part", "item"]
 LAST = (1 << 63) - 1
@@ -121,9 +121,8 @@ def json_report(findings: DataFrame, scans: DataFrame) -> DataFrame:
         ',"deduplication_enabled":', F.col("deduplication_enabled"),
         "}}",
     )
-    first = findings.groupBy("scan_id").agg(F.min("seq").alias("_first"))
-    body = hot_join(findings, first, ["scan_id"])
-    comma = F.when(F.col("seq") == F.col("_first"), "").otherwise(",")
+    body = numbered(findings, ["scan_id"])
+    comma = F.when(F.col("n") == 1, "").otherwise(",")
     return union_all(
         fragments(scans, head, 0),
         fragments(body, text(comma, finding_json()), 1, item=F.col("seq")),
@@ -189,8 +188,9 @@ def sarif_report(findings: DataFrame, scans: DataFrame) -> DataFrame:
     runs = findings.groupBy("scan_id", "tool").agg(F.min("seq").alias("_run"))
     firsts = runs.groupBy("scan_id").agg(F.min("_run").alias("_first"))
     stamped = runs.join(firsts, "scan_id").join(scans.select("scan_id", "scan_timestamp"), "scan_id")
-    with_run = hot_join(findings, runs, ["scan_id", "tool"], "inner")
-    rules = sarif_rules(findings).join(runs, ["scan_id", "tool"])
+    # Every finding gets the number of its run, the lowest of its tool, where it is put in order.
+    with_run = numbered(findings, ["scan_id", "tool"], first="_run")
+    rules = sarif_rules(with_run)
     run = F.col("_run")
     comma = F.when(F.col("seq") == run, "").otherwise(",")
     run_head = text(
@@ -400,14 +400,10 @@ def ci_summary(
 def severity_listing(findings: DataFrame) -> DataFrame:
     """All findings worst first, in report order; ``header`` marks the first of each level.
 
-    Sorting by (scan_id, place, seq) gives the listing; the header flag comes from the lowest
-    ``seq`` per level, so no task has to walk a whole scan.
+    Sorting by (scan_id, place, seq) gives the listing.
     """
-    firsts = findings.groupBy("scan_id", "severity").agg(F.min("seq").alias("_first"))
-    flagged = hot_join(findings, firsts, ["scan_id", "severity"])
-    return flagged.withColumn("place", severity_place(F.col("severity"))).withColumn(
-        "header", F.col("seq") == F.col("_first")
-    )
+    place, header = severity_place(F.col("severity")), F.col("n") == 1
+    return section_numbering(findings).select(*findings.columns, place.alias("place"), header.alias("header"))
 
 
 def ci_log(findings: DataFrame, scans: DataFrame) -> DataFrame:

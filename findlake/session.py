@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -74,14 +75,18 @@ def remove_folder(spark: SparkSession, path: str) -> None:
 
 
 _written: dict[str, list[str]] = {}
+_tables: dict[str, list[str]] = {}
+_labels: dict[int, list[int]] = {}
 
 
 def remove_written(spark: SparkSession) -> int:
-    """Remove the tables that this application has written with ``materialize``, once nothing reads
-    them any more; returns how many there were."""
+    """Remove the tables that this application has written with ``materialize`` and
+    ``materialize_ranges``, once nothing reads them any more; returns how many there were."""
     paths = _written.pop(spark.sparkContext.applicationId, [])
     for path in paths:
         remove_folder(spark, path)
+    for name in _tables.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     return len(paths)
 
 
@@ -99,3 +104,37 @@ def materialize(df: DataFrame, purpose: str, partition_by: list[str] | None = No
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(df.columns)
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    """How many partitions a shuffle starts with."""
+    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return int(initial or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _bucket_labels(spark: SparkSession, buckets: int) -> list[int]:
+    """For every bucket a number that Spark's bucket hash puts into it."""
+    if buckets not in _labels:
+        numbers = spark.range(max(1000, 20 * buckets)).select(F.col("id").cast("int").alias("label"))
+        found = numbers.groupBy(F.pmod(F.hash("label"), F.lit(buckets)).alias("bucket")).agg(F.min("label").alias("label"))
+        _labels[buckets] = [r["label"] for r in sorted(found.collect(), key=lambda r: r["bucket"])]  # a row a bucket
+    return _labels[buckets]
+
+
+def materialize_ranges(df: DataFrame, purpose: str, by: list[str], label: str = "_part") -> DataFrame:
+    """Write ``df`` in ranges of ``by``, one bucket for each, and read it back with ``label``: a number
+    of the range, growing with it.
+
+    This is the one shuffle. Since the table is bucketed by ``label``, Spark knows that a range lies in
+    one partition, and windows and aggregates by ``label`` and other columns need no further one.
+    """
+    spark = df.sparkSession
+    buckets = shuffle_partitions(spark)
+    labels = sorted(_bucket_labels(spark, buckets))
+    path, name = shared_dir(spark, purpose), f"findlake_{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    _tables.setdefault(spark.sparkContext.applicationId, []).append(name)
+    number = F.get(F.array(*map(F.lit, labels)), F.spark_partition_id())
+    placed = df.repartitionByRange(*by).withColumn(label, number)
+    placed.write.format("parquet").bucketBy(buckets, label).option("path", path).saveAsTable(name)
+    return spark.table(name)

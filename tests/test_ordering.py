@@ -26,18 +26,54 @@ def places(rows):
     return {(g, s): sum(1 for h, t in rows if h == g and t <= s) for g, s in rows}
 
 
-@pytest.mark.parametrize("bits", [16, 18, 21, 40])
-def test_numbered(df, bits):
-    got = {(r.g, r.seq): r.n for r in numbered(df, ["g"], bits=bits).collect()}
-    assert got == places(ROWS)
-
-
-@pytest.mark.parametrize("bits", [2, 3, 5])
-def test_numbered_over_many_levels(spark, bits):
-    small = [(g, s) for g, s in ROWS if s < 2000]
-    df = spark.createDataFrame(small, "g string, seq bigint")
-    got = {(r.g, r.seq): r.n for r in numbered(df, ["g"], bits=bits, order_bits=11).collect()}
-    assert got == places(small)
+@pytest.fixture
+def partitions(spark):
+    """Sets how many ranges numbering makes."""
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = {k: spark.conf.get(k) for k in keys}
+
+    def set_to(n):
+        spark.conf.set(keys[0], str(n))
+        spark.conf.set(keys[1], "false")
+
+    yield set_to
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("ranges", [1, 2, 7, 40, None])
+def test_numbered(df, partitions, ranges):
+    if ranges:
+        partitions(ranges)
+    out = numbered(df, ["g"], first="low").collect()
+    assert {(r.g, r.seq): r.n for r in out} == places(ROWS) and len(out) == len(ROWS)
+    assert {(r.g, r.low) for r in out} == {(g, min(s for h, s in ROWS if h == g)) for g, _ in ROWS}
+
+
+def test_numbered_takes_null_groups_and_no_rows(spark, partitions):
+    partitions(5)
+    rows = [(None, i, "x") for i in range(60)] + [("a", i, "x") for i in range(30)]
+    df = spark.createDataFrame(rows, "g string, seq bigint, n string")
+    out = numbered(df.drop("n"), ["g"]).collect()
+    assert sorted((str(r.g), r.seq, r.n) for r in out) == sorted((str(g), i, i + 1) for g, i, _ in rows)
+    assert numbered(df.drop("n").where("false"), ["g"]).count() == 0
+
+
+def test_numbered_shuffles_the_rows_once(spark, df, partitions):
+    """They are shuffled to be written; reading them, only counts of ranges move."""
+    partitions(8)
+    plan = numbered(df.withColumn("wide", F.lit("text")), ["g"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Exchange rangepartitioning" not in plan and "SinglePartition" not in plan
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 1
+    scans = [line for line in plan.splitlines() if "ReadSchema" in line]
+    assert sum("wide" in line.split("ReadSchema")[1] for line in scans) == 1
+
+
+def test_every_range_has_a_task_of_its_own(spark, df, partitions):
+    partitions(13)
+    out = numbered(df, ["g"])
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 11 and max(sizes) <= 3 * len(ROWS) / 13
 
 
 def test_numbered_with_ties(spark):
