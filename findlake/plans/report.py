@@ -33,7 +33,7 @@ from findlake.functions import (
 )
 from findlake.model import SEVERITIES_DESC
 from findlake.operators.aggregate import count_by_severity, scan_status, top_findings
-from findlake.operators.ordering import first_by, numbered
+from findlake.operators.ordering import first_by, hot_join, numbered
 
 ORDER = ["scan_id", "major", "part", "item"]
 LAST = (1 << 63) - 1
@@ -190,7 +190,7 @@ def sarif_report(findings: DataFrame, scans: DataFrame) -> DataFrame:
     stamped = runs.join(firsts, "scan_id").join(scans.select("scan_id", "scan_timestamp"), "scan_id")
     # Every finding gets the number of its run, the lowest of its tool, where it is put in order.
     with_run = numbered(findings, ["scan_id", "tool"], first="_run")
-    rules = sarif_rules(with_run)
+    rules = hot_join(sarif_rules(findings), runs, ["scan_id", "tool"], "inner")
     run = F.col("_run")
     comma = F.when(F.col("seq") == run, "").otherwise(",")
     run_head = text(

@@ -45,6 +45,24 @@ def test_plan_shape(spark, name):
         assert "WindowGroupLimit" in plan  # hot groups are cut before the shuffle
 
 
+@pytest.mark.parametrize("name", ["section_numbering", "report_json", "sarif_doc", "report_markdown", "ci_log", "severity_listing"])
+def test_whole_findings_are_neither_joined_nor_shuffled_again(spark, name):
+    """Once written in order, findings meet one broadcast row a range, whatever is made of them."""
+    plan = plan_of(QUERIES[name](spark, SF))
+    wide = [i for i, line in enumerate(plan.splitlines()) if "ReadSchema" in line and "description" in line]
+    lines = plan.splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    for i in wide:
+        above, at = [], depth[i]
+        for j in range(i, -1, -1):
+            if depth[j] < at:
+                above.append(lines[j])
+                at = depth[j]
+        rules = any("row_number() <= " in line or "WindowGroupLimit" in line for line in above)  # cut to one row a rule
+        moved = [line for line in above if "Exchange" in line or "SortMergeJoin" in line]
+        assert rules or not moved, moved
+
+
 @pytest.mark.parametrize("name", ["norm_tfsec", "norm_trivy", "norm_pylint", "severity_map", "rule_exclusion", "path_exclusion"])
 def test_row_level_queries_do_not_shuffle(spark, name):
     plan = plan_of(QUERIES[name](spark, SF))
