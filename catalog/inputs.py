@@ -16,7 +16,7 @@ from catalog.shapes import (
     spark_pick as pick,
 )
 from findlake.functions import severity_from_string
-from findlake.model import FINDING_COLUMNS, TOOLS
+from findlake.model import FINDING_COLUMNS, TOOL_BY_NAME, TOOLS
 
 FINDING_TOOLS = [
     "terraform-fmt", "terraform-validate", "tflint", "tfsec", "checkov", "trivy", "cfn-lint", "cfn-nag",
@@ -106,6 +106,40 @@ def scans(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# Lists that the scans' own configurations are made of; a scan without one has the shipped policy.
+CONFIG_RULES = [["C0301", "R8"], ["B404"], [], ["generic-api-key", "DS014", "R9"]]
+CONFIG_PATHS = [["tests", "app/f1"], ["**/src"], ["latest/"], [], ["f3.tf ", "modules"]]
+RULED_TOOLS = ["tflint", "bandit", "pylint", "snyk-iac", "secrets"]
+
+
+def scan_configs(spark: SparkSession, sf: str) -> DataFrame:
+    """(scan_id, config): a JSON configuration for six of seven customers, some of them broken."""
+    lists = {t: F.expr("array(" + ", ".join("cast(array() as array<string>)" if not r else "array(" + ", ".join(f"'{x}'" for x in r) + ")" for r in CONFIG_RULES) + ")") for t in RULED_TOOLS}
+    sections: dict[str, list[Column]] = {}
+    for i, name in enumerate(RULED_TOOLS):
+        tool = TOOL_BY_NAME[name]
+        rules = F.get(lists[name], (F.col("c_custkey") + i) % len(CONFIG_RULES)).alias(tool.exclude_key)
+        sections.setdefault(tool.scanner, []).append(rules)
+    switch = {"npm": "enabled", "terraform": "tfsec", "container": "build_images"}
+    off = {s: F.when(F.col("c_custkey") % (3 + i) == 0, F.lit(False)).alias(flag) for i, (s, flag) in enumerate(switch.items())}
+    tools = [
+        F.struct(F.struct(*sections.get(s, [F.lit(1).alias("x")])).alias("exclude_rules"), *([off[s]] if s in off else [])).alias(s)
+        for s in dict.fromkeys([*sections, *switch])
+    ]
+    paths = F.expr("element_at(array(" + ", ".join("array(" + ", ".join(f"'{x}'" for x in p) + ")" if p else "cast(array() as array<string>)" for p in CONFIG_PATHS) + f"), cast(c_custkey % {len(CONFIG_PATHS)} as int) + 1)")
+    threshold = F.expr(pick(["low", "HIGH", "medium", "bogus", None], "c_custkey"))
+    whole = F.to_json(
+        F.struct(
+            F.struct(paths.alias("excluded_paths")).alias("repository"),
+            F.struct(*tools).alias("tools"),
+            F.struct(F.struct(threshold.alias("severity_threshold")).alias("snyk")).alias("tool_config"),
+        )
+    )
+    text = F.when(F.col("c_custkey") % 13 == 5, F.concat(whole, F.lit(" x"))).otherwise(whole)
+    scan = F.concat(F.lit("scan-"), F.col("c_custkey").cast("string"))
+    return table(spark, sf, "customer").where("c_custkey % 7 <> 4").select(scan.alias("scan_id"), text.alias("config"))
+
+
 FILE_PATHS = [
     "'main.tf'", "concat('infra/f', d, '.tf')", "concat('cfn/t', d % 5, '.yaml')", "concat('cfn/t', d % 5, '.template')",
     "'package.json'", "'web/package.json'", "'src/app.py'", "concat('tests/test_', d, '.py')", "'web/index.ts'",

@@ -821,6 +821,56 @@ ORACLES["config_check_keys"] = """SELECT 'scan-' || c_custkey AS scan_id, 'tools
   UNION ALL SELECT 'scan-' || c_custkey, 'severity' FROM customer WHERE c_custkey % 3 = 0
   UNION ALL SELECT 'scan-' || c_custkey, 'output' FROM customer WHERE c_custkey % 7 = 0"""
 
+
+
+def quoted(values: list[str]) -> str:
+    return "[" + ", ".join(literal(v, "duck") for v in values) + "]::VARCHAR[]"
+
+
+def nth(lists: list[list[str]], number: str) -> str:
+    return f"([{', '.join(quoted(x) for x in lists)}])[CAST(({number}) % {len(lists)} AS BIGINT) + 1]"
+
+
+# Scans (scan_id, c) with a configuration of their own, an empty one for a broken text, or the shipped one.
+CONFIGURED = """own AS (SELECT 'scan-' || c_custkey AS scan_id, c_custkey AS c FROM customer WHERE c_custkey % 7 <> 4 AND c_custkey % 13 <> 5),
+  shipped AS (SELECT scan_id FROM known WHERE scan_id NOT IN (SELECT 'scan-' || c_custkey FROM customer WHERE c_custkey % 7 <> 4))"""
+_ruled = [(t.name, i) for i, name in enumerate(inputs.RULED_TOOLS) for t in TOOLS
+          if (t.scanner, t.exclude_key) == (TOOL_BY_NAME[name].scanner, TOOL_BY_NAME[name].exclude_key)]
+_shipped = [(t.name, r) for t in TOOLS for r in EXCLUDED_RULES.get(t.scanner, {}).get(t.exclude_key) or []]
+_switches = [(t.name, 3 + i) for i, (scanner, tools) in enumerate(
+    [("npm", ["npm-audit", "snyk-iac-template", "snyk-iac"]), ("terraform", ["tfsec"]), ("container", ["container-build"])])
+    for t in TOOLS if t.name in tools]
+POLICY_TABLES = f"""{CONFIGURED},
+  rule_rows AS ({" UNION ".join(f"SELECT scan_id, '{t}' AS tool, unnest({nth(inputs.CONFIG_RULES, f'c + {i}')}) AS rule_id FROM own" for t, i in _ruled)}
+    UNION SELECT scan_id, tool, rule_id FROM shipped, (VALUES {", ".join(f"('{t}', '{r}')" for t, r in _shipped)}) v(tool, rule_id)),
+  path_rows AS (SELECT DISTINCT scan_id, unnest({nth(inputs.CONFIG_PATHS, "c")}) AS pattern FROM own
+    UNION SELECT scan_id, unnest({quoted(EXCLUDED_PATHS)}) FROM shipped),
+  off_rows AS ({" UNION ".join(f"SELECT scan_id, '{t}' AS tool FROM own WHERE c % {n} = 0" for t, n in _switches)})"""
+_filtered = ", ".join(f"'{t.name}'" for t in TOOLS if t.path_filtered)
+_level = f"coalesce({pick(['LOW', 'HIGH', 'MEDIUM', 'BOGUS', None], 'o.c')}, 'LOW')"
+add(
+    "scan_policies",
+    f"{FINDINGS}, known AS (SELECT DISTINCT scan_id FROM f), {POLICY_TABLES}",
+    f"""SELECT f.scan_id, f.seq, f.tool, f.rule_id, f.file_path FROM f LEFT JOIN own o USING (scan_id)
+  WHERE (f.scan_id, f.tool) NOT IN (SELECT scan_id, tool FROM off_rows) AND (f.scan_id, f.tool, f.rule_id) NOT IN (SELECT * FROM rule_rows)
+    AND (f.tool <> 'snyk-iac' OR {rank("f.severity")} >= {rank(_level)})
+    AND NOT (f.tool IN ({_filtered}) AND coalesce(f.file_path, '') <> '' AND EXISTS (
+      SELECT 1 FROM path_rows p WHERE p.scan_id = f.scan_id AND (contains({normal("f.file_path")}, trim(p.pattern))
+        OR (contains(p.pattern, '**') AND contains({normal("f.file_path")}, replace(replace(trim(p.pattern), '**/', ''), '**', ''))))))""",
+)
+add(
+    "scan_policy_tables",
+    f"known AS (SELECT 'scan-' || c_custkey AS scan_id FROM customer), {POLICY_TABLES}",
+    "SELECT scan_id, 'rule' AS kind, tool || ' ' || rule_id AS value FROM rule_rows UNION ALL SELECT scan_id, 'path', pattern FROM path_rows "
+    "UNION ALL SELECT scan_id, 'off', tool FROM off_rows",
+)
+ORACLES["path_index"] = f"""WITH p AS (SELECT doc_id AS seq, 'a/' || translate(substr(text, 1, 90), ' .', '//') AS path FROM documents),
+  n AS (SELECT *, {normal("path")} AS normal FROM p),
+  w AS (SELECT DISTINCT trim(translate(substr(text, 70 + doc_id % 40, 7 + doc_id % 12), ' .', '//'), chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS pattern
+    FROM documents WHERE trim(translate(substr(text, 70 + doc_id % 40, 7 + doc_id % 12), ' .', '//')) <> ''),
+  b AS (SELECT DISTINCT unnest(CASE WHEN contains(pattern, '**') THEN [pattern, replace(replace(pattern, '**/', ''), '**', '')] ELSE [pattern] END) AS pattern FROM w)
+SELECT seq, path FROM n WHERE EXISTS (SELECT 1 FROM b WHERE contains(normal, pattern))"""
+
 # --- reports ---------------------------------------------------------------------------------
 
 

@@ -13,12 +13,15 @@ from catalog.shapes import spark_pick as pick
 from findlake import functions as fn
 from findlake.model import TOOL_BY_NAME, TOOLS
 from findlake.operators import aggregate, classify, errors, history, policy
+from findlake.operators import path_index as path_exclusion_index
 from findlake.operators.normalize import NORMALIZERS, parse_errors
+from findlake.operators.ordering import hot_join
 from findlake.operators.remediation import BANDIT_ADVICE
 from findlake.operators.secrets import redact, secret_lines
 from findlake.plans import report
 from findlake.plans.scan_flow import normalize_all, normalize_tool, run_scans
 from findlake.session import materialize, shared_dir
+from findlake.sources import policies
 from findlake.sources.config import POLICY_CONFIG, config_check, config_value, lookup
 from findlake.sources.files import read_files
 from findlake.sources.reports import lay_out_by_tool, report_line_counts
@@ -500,6 +503,44 @@ def config_check_keys(spark, sf):
     return config_check(configs(spark, sf))
 
 
+def _parsed_configs(spark, sf, scans):
+    return policies.parsed_configs(scans, inputs.scan_configs(spark, sf), POLICY_CONFIG)
+
+
+@query
+def scan_policies(spark, sf):
+    """Findings that are left when every scan has a configuration of its own: switches, rules, paths
+    and threshold."""
+    found = inputs.findings(spark, sf).withColumn("_tool", F.col("tool"))
+    parsed = _parsed_configs(spark, sf, found)
+    off, rules, settings = (materialize(t, "scan-policy") for t in (policies.switched_off(parsed), policies.excluded_rules(parsed), policies.settings(parsed)))
+    kept = policy.apply_by_scan(found, off, rules)
+    snyk = F.col("_tool") == "snyk-iac"
+    above = policy.at_or_above_by_scan(kept.where(snyk), settings)
+    kept = materialize(kept.where(~snyk).unionByName(above), "scan-policy-findings")
+    return policy.drop_paths_by_scan(kept, policies.excluded_patterns(parsed)).select("scan_id", "seq", "tool", "rule_id", "file_path")
+
+
+@query
+def scan_policy_tables(spark, sf):
+    """What the configurations say, one row for each rule, path and switch."""
+    parsed = _parsed_configs(spark, sf, inputs.scans(spark, sf))
+    rules = policies.excluded_rules(parsed).select("scan_id", F.lit("rule").alias("kind"), F.concat_ws(" ", "_tool", "rule_id").alias("value"))
+    paths = policies.excluded_patterns(parsed).select("scan_id", F.lit("path").alias("kind"), F.col("pattern").alias("value"))
+    off = policies.switched_off(parsed).select("scan_id", F.lit("off").alias("kind"), F.col("_tool").alias("value"))
+    return rules.unionByName(paths).unionByName(off)
+
+
+@query
+def path_index(spark, sf):
+    """Paths made of the documents' texts that contain a pattern made of them: a pattern a document."""
+    docs = inputs.table(spark, sf, "documents")
+    paths = docs.select(F.col("doc_id").alias("seq"), F.expr("concat('a/', translate(substring(text, 1, 90), ' .', '//'))").alias("path"))
+    patterns = docs.select(F.expr("nullif(trim(translate(substring(text, 70 + doc_id % 40, 7 + doc_id % 12), ' .', '//')), '')").alias("pattern"))
+    gone = path_exclusion_index.excluded_paths(paths, patterns, [])
+    return hot_join(paths, gone, ["path"], "left_semi").select("seq", "path")
+
+
 # --- reports ---------------------------------------------------------------------------------
 
 

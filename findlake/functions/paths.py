@@ -47,9 +47,10 @@ def path_excluded(path: Column, patterns: Sequence[str]) -> Column:
     return F.coalesce(normal_path(path).rlike(any_pattern), F.lit(False))
 
 
-def strip_scan_root(path: Column, root: str) -> Column:
+def strip_scan_root(path: Column, root: str | Column) -> Column:
     """Path relative to the scan root, if it lies under it."""
-    inside = F.ltrim(F.substr(path, F.lit(len(root) + 1)), F.lit("/"))
+    size = F.lit(len(root)) if isinstance(root, str) else F.length(root)
+    inside = F.ltrim(F.substr(path, size + 1), F.lit("/"))
     return F.when(path.startswith(root), inside).otherwise(path)
 
 
@@ -64,12 +65,12 @@ def sarif_path(path: Column) -> Column:
     return F.ltrim(path, F.lit("/"))
 
 
-def image_tag(relative_dir: Column, prefix: str = "scan-") -> Column:
+def image_tag(relative_dir: Column, prefix: str | Column = "scan-") -> Column:
     """Image name for a Dockerfile's directory; the repository root is called ``root``."""
     safe = F.regexp_replace(F.lower(relative_dir), r"[^\p{L}\p{N}-]", "-")
     safe = F.btrim(safe, F.lit("-"))
     name = F.when(relative_dir.isin("", "."), "root").otherwise(safe)
-    return F.concat(F.lit(prefix), name, F.lit(":latest"))
+    return F.concat(F.lit(prefix) if isinstance(prefix, str) else prefix, name, F.lit(":latest"))
 
 
 def repo_name(given: Column, remote_url: Column, path: Column) -> Column:

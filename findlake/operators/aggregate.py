@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from findlake.functions import finding_key, normal_path, severity_rank
 from findlake.model import FINDING_COLUMNS, SEVERITIES, SEVERITIES_DESC
-from findlake.operators.ordering import first_by, top_by
+from findlake.operators.ordering import first_by, hot_join, top_by
 
 
 def union_findings(parts: Sequence[DataFrame]) -> DataFrame:
@@ -34,6 +34,13 @@ def deduplicate(findings: DataFrame, enabled: bool = True, normalize_paths: bool
     return first_by(with_key(findings, normalize_paths), ["scan_id", "key"]).select(findings.columns)
 
 
+def deduplicate_by_scan(findings: DataFrame, settings: DataFrame) -> DataFrame:
+    """The same, but scans whose ``_deduplicate`` is false keep all their findings."""
+    met = hot_join(findings, settings.select("scan_id", "_deduplicate"), ["scan_id"])
+    own = F.when(~F.coalesce("_deduplicate", F.lit(True)), F.col("seq"))
+    return first_by(with_key(met.withColumn("_own", own)), ["scan_id", "key", "_own"]).select(findings.columns)
+
+
 def count_by_severity(findings: DataFrame) -> DataFrame:
     return findings.groupBy("scan_id", "severity").agg(F.count(F.lit(1)).alias("findings"))
 
@@ -118,9 +125,10 @@ def summarize(findings: DataFrame, scans: DataFrame, deduplicate_findings: bool
     return summary_of(deduplicate(findings, deduplicate_findings), findings, scans, deduplicate_findings)
 
 
-def summary_of(reported: DataFrame, findings: DataFrame, scans: DataFrame, deduplicated: bool) -> DataFrame:
+def summary_of(reported: DataFrame, findings: DataFrame, scans: DataFrame, deduplicated: bool | DataFrame) -> DataFrame:
     """The same when the reported findings are at hand. Counts by level, counts by tool and the
-    order of the tools come from one aggregation by (scan, tool)."""
+    order of the tools come from one aggregation by (scan, tool). ``deduplicated`` may be a table
+    (scan_id, ``_deduplicate``)."""
     levels = [s.lower() for s in SEVERITIES_DESC]
     per_tool = reported.groupBy("scan_id", "tool").agg(
         F.count(F.lit(1)).alias("_n"),
@@ -142,12 +150,15 @@ def summary_of(reported: DataFrame, findings: DataFrame, scans: DataFrame, dedup
         .withColumn("_tools", F.coalesce("_tools", F.array().cast(per_scan.schema["_tools"].dataType)))
     )
     figures = [*levels, "total_findings", "total_raw_findings", "unique_files"]
+    whether = F.lit(deduplicated) if isinstance(deduplicated, bool) else F.coalesce("_deduplicate", F.lit(True))
+    if not isinstance(deduplicated, bool):
+        joined = joined.join(deduplicated.select("scan_id", "_deduplicate"), "scan_id", "left")
     return joined.select(
         *scans.columns,
         *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in figures],
         F.transform("_tools", lambda t: t.tool).alias("scanners_run"),
         F.transform("_tools", lambda t: F.struct(t.tool.alias("tool"), t.findings.alias("findings"))).alias("by_tool"),
-        F.lit(deduplicated).alias("deduplication_enabled"),
+        whether.alias("deduplication_enabled"),
     )
 
 

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from findlake.functions import basename, dirname, path_excluded
 from findlake.model import TOOLS, Tool
 from findlake.operators.normalize import well_formed
+from findlake.operators.ordering import hot_join
+from findlake.operators.path_index import excluded_paths
 
 
 # --- fixed values: how files are recognised --------------------------------------------------
@@ -165,28 +167,39 @@ SWITCHED_SCANNERS = ("npm", "container")
 
 def tool_enabled(config: Mapping, tool: Tool) -> bool:
     """Whether the configuration lets a tool run: its scanner's switch and its own flag."""
-    section = config.get("tools", {}).get(tool.scanner) or {}
+    section = (config.get("tools") or {}).get(tool.scanner) or {}
     switch = section.get("enabled", True) if tool.scanner in SWITCHED_SCANNERS else True
     return bool(switch) and bool(section.get(tool.flag, True))
 
 
-def tool_plan(files: DataFrame, config: Mapping, patterns: Sequence[str]) -> DataFrame:
-    """(scan_id, tool, ord): the tools that run on each scan, by detection and by flag."""
+_MANIFEST = r"^requirements[^/]*\.txt$"
+
+
+def _plan_facts(files: DataFrame) -> DataFrame:
+    """What a file means for the plan: scan_id, path and flags, without the text."""
     detected = framework_flags()
-    facts = files.groupBy("scan_id").agg(
-        F.bool_or(detected["terraform"]).alias("terraform"),
-        F.bool_or(detected["cloudformation"]).alias("cfn_loose"),
-        F.bool_or(is_strict_template()).alias("cfn_strict"),
-        F.bool_or(detected["python"]).alias("python"),
-        F.bool_or(F.col("path").rlike(r"^requirements[^/]*\.txt$")).alias("manifest"),
-        F.bool_or(_ends(F.col("path"), ".py") & ~path_excluded(F.col("path"), patterns)).alias("pylint_target"),
-        F.bool_or((basename(F.col("path")) == "package.json") & ~path_excluded(F.col("path"), patterns)).alias("audit_target"),
-        F.bool_or(
-            (basename(F.col("path")) == "package.json") | _ends(F.col("path"), ".tf", ".yaml", ".yml", ".json", ".template")
-        ).alias("npm_target"),
-        F.bool_or(F.col("path").endswith(".template")).alias("template_file"),
-        F.bool_or(is_dockerfile() & ~path_excluded(dirname(F.col("path")), patterns)).alias("image_target"),
+    audit = basename(F.col("path")) == "package.json"
+    return files.select(
+        "scan_id",
+        "path",
+        detected["terraform"].alias("terraform"),
+        detected["cloudformation"].alias("cfn_loose"),
+        is_strict_template().alias("cfn_strict"),
+        detected["python"].alias("python"),
+        F.col("path").rlike(_MANIFEST).alias("manifest"),
+        _ends(F.col("path"), ".py").alias("pylint_target"),
+        audit.alias("audit_target"),
+        (audit | _ends(F.col("path"), ".tf", ".yaml", ".yml", ".json", ".template")).alias("npm_target"),
+        F.col("path").endswith(".template").alias("template_file"),
+        is_dockerfile().alias("image_target"),
     )
+
+
+def _planned(facts: DataFrame, path_gone: Column, directory_gone: Column) -> DataFrame:
+    """(scan_id, ``runs``): the tools that the files of a scan call for."""
+    own = {"pylint_target": ~path_gone, "audit_target": ~path_gone, "image_target": ~directory_gone}
+    names = [c for c in facts.columns if c not in ("scan_id", "path") and not c.startswith("_")]
+    per_scan = facts.groupBy("scan_id").agg(*[F.bool_or(F.col(n) & own.get(n, F.lit(True))).alias(n) for n in names])
     needs = {
         "terraform": F.col("terraform"),
         "cloudformation": F.col("cfn_loose") & F.col("cfn_strict"),
@@ -201,9 +214,29 @@ def tool_plan(files: DataFrame, config: Mapping, patterns: Sequence[str]) -> Dat
         "npm-audit": F.col("audit_target"),
         "snyk-iac-template": F.col("template_file"),
     }
-    runs = []
-    for tool in TOOLS:
-        if tool_enabled(config, tool):
-            cond = needs[tool.scanner] & extra.get(tool.name, F.lit(True))
-            runs.append(F.when(cond, F.struct(F.lit(tool.name).alias("tool"), F.lit(tool.rank).alias("ord"))))
-    return facts.select("scan_id", F.inline(F.array_compact(F.array(*runs))))
+    runs = [
+        F.when(needs[t.scanner] & extra.get(t.name, F.lit(True)), F.struct(F.lit(t.name).alias("tool"), F.lit(t.rank).alias("ord")))
+        for t in TOOLS
+    ]
+    return per_scan.select("scan_id", F.inline(F.array_compact(F.array(*runs))))
+
+
+def tool_plan(files: DataFrame, config: Mapping, patterns: Sequence[str]) -> DataFrame:
+    """(scan_id, tool, ord): the tools that run on each scan, by detection and by flag."""
+    path = F.col("path")
+    planned = _planned(_plan_facts(files), path_excluded(path, patterns), path_excluded(dirname(path), patterns))
+    return planned.where(F.col("tool").isin([t.name for t in TOOLS if tool_enabled(config, t)]))
+
+
+def tool_plan_by_scan(files: DataFrame, off: DataFrame, patterns: DataFrame) -> DataFrame:
+    """The same by every scan's own configuration: tools switched ``off`` (scan_id, ``_tool``) and
+    excluded ``patterns`` (scan_id, pattern). The files' texts are not shuffled."""
+    facts = _plan_facts(files).withColumn("_directory", dirname(F.col("path")))
+    targets = facts.where("pylint_target OR audit_target OR image_target")
+    paths = targets.select("scan_id", F.explode(F.array("path", "_directory")).alias("path"))
+    gone = excluded_paths(paths, patterns, ["scan_id"])
+    for column, mark in (("path", "_path_gone"), ("_directory", "_directory_gone")):
+        marked = gone.select("scan_id", F.col("path").alias(column), F.lit(True).alias(mark))
+        facts = hot_join(facts, marked, ["scan_id", column], "left", ["path"])
+    planned = _planned(facts, F.coalesce("_path_gone", F.lit(False)), F.coalesce("_directory_gone", F.lit(False)))
+    return planned.join(off.withColumnRenamed("_tool", "tool"), ["scan_id", "tool"], "left_anti").select("scan_id", "tool", "ord")

@@ -26,7 +26,8 @@ from findlake.functions import (
     truthy,
 )
 from findlake.model import FINDING_COLUMNS, POSITION_BITS, REPORT_BITS, TOOL_BY_NAME
-from findlake.operators.policy import container_filter
+from findlake.operators.ordering import hot_join
+from findlake.operators.policy import container_filter, container_filter_by_scan, strip_roots_by_scan
 from findlake.sources.config import lookup
 
 # --- fixed values: rule ids and texts of findings whose report does not state them -------------
@@ -558,21 +559,32 @@ def trivy_container(
     severities: str | None = None,
     ignore_unfixed: bool = False,
     build_images: bool = True,
+    by_scan: DataFrame | None = None,
 ) -> DataFrame:
     """``target`` is the Dockerfile; the image is named after its directory. Where images are not
     built, ``target`` is the name of a ready image and there is no Dockerfile. Reports made
-    without the severity list or the unfixed switch can be cut down by them here."""
+    without the severity list or the unfixed switch can be cut down by them here.
+
+    ``by_scan`` has these settings for every scan instead (see ``policies.settings``); they meet the
+    parsed results, never the reports' texts."""
     fixed = FIXED["trivy-container"]
     no_fix, upgrade, to_version = fixed["remediation"]
     scanned = parents("Results", "Target string, Type string, Vulnerabilities array<string>")
     image_name = image_tag(dirname(F.col("target")), image_prefix) if build_images else F.col("target")
-    named = raw.withColumn("_image", image_name)  # once per report
+    named = raw if by_scan is not None else raw.withColumn("_image", image_name)  # once per report
     rows = read(
         child_results(named, children_of(scanned, "Vulnerabilities", "Target", "Type")),
         "VulnerabilityID string, PkgName string, InstalledVersion string, FixedVersion string, Severity string, "
         "Description string, References string, CVSS string",
     )
-    if severities or ignore_unfixed:
+    from_dockerfile = F.lit(build_images)
+    if by_scan is not None:
+        rows = hot_join(rows, by_scan, ["scan_id"], "inner", ["_report", "_pos"])
+        rows = rows.where(container_filter_by_scan(F.col("Severity"), F.col("FixedVersion")))
+        from_dockerfile = F.col("_build_images")
+        named_here = image_tag(dirname(F.col("_target")), F.col("_prefix"))
+        rows = rows.withColumn("_image", F.when(from_dockerfile, named_here).otherwise(F.col("_target")))
+    elif severities or ignore_unfixed:
         rows = rows.where(container_filter(F.col("Severity"), F.col("FixedVersion"), severities, ignore_unfixed))
     image = F.col("_image")
     rule, package = default("VulnerabilityID", UNKNOWN_RULE), default("PkgName", "")
@@ -590,7 +602,7 @@ def trivy_container(
             F.when(installed.isNull(), "").otherwise(F.concat(F.lit(" ("), installed, F.lit(")"))),
         ),
         description=default("Description", ""),
-        file_path=F.col("_target") if build_images else F.lit(None).cast("string"),
+        file_path=F.when(from_dockerfile, F.col("_target")),
         resource=F.when(kind.isNull(), target).otherwise(F.concat(target, F.lit(" ("), kind, F.lit(")"))),
         remediation=F.when(fix.isNull(), no_fix).otherwise(
             F.concat(F.lit(upgrade), package, F.lit(to_version), fix)
@@ -675,6 +687,14 @@ NORMALIZERS: dict[str, Normalizer] = {
     "trivy-container": _configured_images,
 }
 
+# Normalisers that depend on settings, for settings of every scan (see ``policies.settings``). A root
+# that no path starts with leaves the paths as they are.
+BY_SCAN: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
+    "bandit": lambda raw, settings: strip_roots_by_scan(bandit(raw, "\0"), settings),
+    "pylint": lambda raw, settings: strip_roots_by_scan(pylint(raw, "\0"), settings),
+    "trivy-container": lambda raw, settings: trivy_container(raw, by_scan=settings),
+}
+
 # What the tools' JSON starts with; the others print plain text.
 TOP_LEVEL = {
     "{": ["terraform-validate", "tflint", "tfsec", "checkov", "trivy", "checkov-cfn", "bandit", "npm-audit", "trivy-container"],

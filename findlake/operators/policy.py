@@ -7,10 +7,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from findlake.functions import basename, path_excluded, severity_rank, truthy
+from findlake.functions import basename, path_excluded, severity_rank, strip_scan_root, truthy
 from findlake.model import SEVERITIES, TOOLS
 from findlake.operators.ordering import hot_join
+from findlake.operators.path_index import drop_excluded
 from findlake.operators.remediation import BANDIT_ADVICE, BANDIT_DEFAULT
+from findlake.sources.config import lookup
 from findlake.sources.dims import dimension
 
 
@@ -19,7 +21,7 @@ def exclude_rules_dim(spark: SparkSession, config: Mapping) -> DataFrame:
     pairs = []
     for tool in TOOLS:
         if tool.exclude_key:
-            rules = config.get("tools", {}).get(tool.scanner, {}).get("exclude_rules", {}).get(tool.exclude_key)
+            rules = lookup(config, f"tools.{tool.scanner}.exclude_rules.{tool.exclude_key}")
             pairs += [(tool.finding_tool, rule) for rule in rules or []]
     return dimension(spark, sorted(set(pairs)), "tool string, rule_id string")
 
@@ -74,6 +76,14 @@ def container_filter(
     return keep & truthy(fixed_version).isNotNull() if ignore_unfixed else keep
 
 
+def container_filter_by_scan(raw_severity: Column, fixed_version: Column) -> Column:
+    """The same by the scan's own ``_severities`` and ``_ignore_unfixed``."""
+    wanted = F.transform(F.split("_severities", ","), lambda s: F.upper(F.btrim(s)))
+    listed = F.array_contains(wanted, F.upper(F.coalesce(raw_severity, F.lit("UNKNOWN"))))
+    keep = F.when(truthy(F.col("_severities")).isNull(), True).otherwise(listed)
+    return keep & (~F.col("_ignore_unfixed") | truthy(fixed_version).isNotNull())
+
+
 def at_or_above(severity: Column, threshold: str) -> Column:
     """Tool threshold such as ``low`` or ``high``, on normalised severities; an unknown word
     keeps all."""
@@ -81,6 +91,39 @@ def at_or_above(severity: Column, threshold: str) -> Column:
     return severity_rank(severity) >= (SEVERITIES.index(level) if level in SEVERITIES else 0)
 
 
+def at_or_above_by_scan(findings: DataFrame, settings: DataFrame) -> DataFrame:
+    """The same with every scan's own threshold."""
+    known = settings.select("scan_id", F.upper("_threshold").alias("_level"))
+    met = hot_join(findings, known, ["scan_id"])
+    floor = severity_rank(F.col("_level"))
+    return met.where(severity_rank(F.col("severity")) >= F.coalesce(floor, F.lit(0))).select(findings.columns)
+
+
+def strip_roots_by_scan(findings: DataFrame, settings: DataFrame) -> DataFrame:
+    """Paths relative to every scan's own root."""
+    met = hot_join(findings, settings.select("scan_id", "_root"), ["scan_id"])
+    return met.withColumn("file_path", strip_scan_root(F.col("file_path"), F.coalesce("_root", F.lit("/repo")))).select(findings.columns)
+
+
+def apply_by_scan(findings: DataFrame, off: DataFrame, rules: DataFrame) -> DataFrame:
+    """Findings, with the ``_tool`` of ``raw_reports`` that made them, without those of tools that
+    are ``off`` for their scan and without those whose rule the scan excludes. Pylint rules count
+    by message id or by symbol. A scan may own a third of the findings, so all joins are salted."""
+    kept = hot_join(findings, off, ["scan_id", "_tool"], "left_anti")
+    kept = hot_join(kept, rules, ["scan_id", "_tool", "rule_id"], "left_anti")
+    symbols = rules.where("_tool = 'pylint'").select("scan_id", F.col("rule_id").alias("_symbol"))
+    symbol = F.when(F.col("_tool") == "pylint", F.get_json_object("metadata", "$.symbol"))
+    return hot_join(kept.withColumn("_symbol", symbol), symbols, ["scan_id", "_symbol"], "left_anti").select(findings.columns)
+
+
+def drop_paths_by_scan(findings: DataFrame, patterns: DataFrame) -> DataFrame:
+    """Findings, with their ``_tool``, without those on paths that their scan excludes, as far as it
+    is on us to drop them. ``findings`` are read twice: give a written table."""
+    filtered = [t.name for t in TOOLS if t.path_filtered]
+    path = F.when(F.col("_tool").isin(filtered), truthy(F.col("file_path")))
+    return drop_excluded(findings.withColumn("_path", path), patterns, ["scan_id"], "_path").select(findings.columns)
+
+
 def needs_authentication(return_code: Column, stderr: Column) -> Column:
     """A dependency check that failed because it wants a login."""
     low = F.lower(stderr)

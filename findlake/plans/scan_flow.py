@@ -5,16 +5,17 @@ from __future__ import annotations
 from collections.abc import Mapping
 from typing import Any, NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from findlake.model import TOOLS, Tool
+from findlake.model import FINDING_COLUMNS, TOOLS, Tool
 from findlake.operators import aggregate, classify, policy
 from findlake.operators.errors import unread, usable
-from findlake.operators.normalize import NORMALIZERS
+from findlake.operators.normalize import BY_SCAN, NORMALIZERS
 from findlake.operators.secrets import scan_secrets
 from findlake.session import materialize
-from findlake.sources.config import lookup
+from findlake.sources import policies
+from findlake.sources.config import POLICY_CONFIG, lookup
 from findlake.sources.reports import laid_out_by_tool, lay_out_by_tool
 
 
@@ -58,6 +59,44 @@ def normalize_all(raw: DataFrame, files: DataFrame | None, config: Mapping[str,
     return aggregate.union_findings(parts)
 
 
+def normalize_by_scan(raw: DataFrame, files: DataFrame | None, configs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The same by every scan's own configuration (see ``policies.parsed_configs``), and the scans'
+    settings. Policies meet findings, never the reports' texts."""
+    off, rules, patterns, settings = (
+        materialize(table, name)
+        for table, name in (
+            (policies.switched_off(configs), "policy-off"),
+            (policies.excluded_rules(configs), "policy-rules"),
+            (policies.excluded_patterns(configs), "policy-patterns"),
+            (policies.settings(configs), "policy-settings"),
+        )
+    )
+    parts = []
+    for tool in TOOLS:
+        if tool.name not in NORMALIZERS:
+            found = scan_secrets(files) if files is not None else None
+        else:
+            reports = raw.where(F.col("tool") == tool.name)
+            if tool.name == "safety":
+                reports = policy.cut_at_auth_failure(reports)
+            found = BY_SCAN[tool.name](reports, settings) if tool.name in BY_SCAN else NORMALIZERS[tool.name](reports, {})
+            if tool.name == "bandit":
+                found = policy.bandit_remediation(found)
+            if tool.name == "checkov-cfn" and files is not None:
+                found = policy.keep_template_files(found, classify.cfn_templates(files))
+            if tool.name == "snyk-iac-template" and files is not None:
+                found = policy.restore_template_paths(found, policy.template_renames(files))
+            if tool.finding_tool == "snyk-iac":
+                found = policy.at_or_above_by_scan(found, settings)
+        if found is not None:
+            parts.append(found.select(*FINDING_COLUMNS, F.lit(tool.name).alias("_tool")))
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part)
+    kept = materialize(policy.apply_by_scan(union, off, rules), "findings-by-rule", ["_tool"])
+    return policy.drop_paths_by_scan(kept, patterns).select(FINDING_COLUMNS), settings
+
+
 class ScanResult(NamedTuple):
     findings: DataFrame  # all, duplicates included
     reported: DataFrame  # deduplicated, what reports show
@@ -70,11 +109,15 @@ def run_scans(
     raw: DataFrame,
     files: DataFrame | None,
     scans: DataFrame,
-    config: Mapping[str, Any],
+    config: Mapping[str, Any] | DataFrame,
     fail_on: str | None = None,
     report_minimum: str | None = None,
+    default_config: Mapping[str, Any] | None = None,
 ) -> ScanResult:
-    """``scans`` has (scan_id, repository, branch, scan_timestamp, errored) and may have
+    """``config`` is one configuration for all scans, or a table (scan_id, ``config`` as JSON text) with
+    their own; scans without one get ``default_config`` (by default the tools' policy).
+
+    ``scans`` has (scan_id, repository, branch, scan_timestamp, errored) and may have
     ``fail_on``; a given ``fail_on`` beats it, and the configuration is the last resort.
 
     Findings, and what is left of them after dedup, are written to the shared folder once: the
@@ -84,17 +127,33 @@ def run_scans(
     reports without a scan are listed in ``errors``. ``report_minimum`` drops lower findings from
     what is reported and counted (``severity.report_minimum`` of the configuration, if wanted).
     """
-    dedup = lookup(config, "aggregation.deduplicate", True)
     raw = raw if laid_out_by_tool(raw) else lay_out_by_tool(raw)
     errors = unread(raw)
     raw = usable(raw)
     files = files.where("scan_id is not null") if files is not None else None
-    findings = materialize(normalize_all(raw, files, config), "findings", ["tool"])
+    dedup: bool | DataFrame
+    if isinstance(config, DataFrame):
+        known = scans.select("scan_id").unionByName(raw.select("scan_id"))
+        if files is not None:
+            known = known.unionByName(files.select("scan_id"))
+        configs = policies.parsed_configs(known, config, POLICY_CONFIG if default_config is None else default_config)
+        found, settings = normalize_by_scan(raw, files, configs)
+        dedup = settings
+        default_gate: Column = F.coalesce("_fail_on", F.lit("HIGH"))
+    else:
+        found, settings = normalize_all(raw, files, config), None
+        dedup = lookup(config, "aggregation.deduplicate", True)
+        default_gate = F.lit(lookup(config, "severity.fail_on", "HIGH"))
+    findings = materialize(found, "findings", ["tool"])
     if report_minimum is not None:
         findings = policy.severity_floor(findings, report_minimum)
-    reported = materialize(aggregate.deduplicate(findings), "reported") if dedup else findings
+    if settings is not None:
+        reported = materialize(aggregate.deduplicate_by_scan(findings, settings), "reported")
+    else:
+        reported = materialize(aggregate.deduplicate(findings), "reported") if dedup else findings
     scans = scans.join(findings.select("scan_id").distinct(), "scan_id", "full")
-    default_gate = F.lit(lookup(config, "severity.fail_on", "HIGH"))
+    if settings is not None:
+        scans = scans.join(settings.select("scan_id", "_fail_on"), "scan_id", "left")
     if fail_on is not None:
         level = F.lit(fail_on)
     elif "fail_on" in scans.columns:
