@@ -1174,3 +1174,8 @@ add(
     FINDINGS,
     "SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, severity, count(*) AS findings FROM f GROUP BY ALL",
 )
+ORACLES["stream_dedup_rows"] = ORACLES["dedup_keep_first"]
+ORACLES["stream_errors"] = (
+    f"SELECT scan_id, tool, seq, 'report' AS reason, CAST(NULL AS VARCHAR) AS position FROM ({ORACLES['report_parse_errors']}) WHERE tool = 'tflint' "
+    f"UNION ALL SELECT scan_id, tool, seq, reason, position FROM ({ORACLES['result_errors']}) WHERE tool = 'tflint'"
+)

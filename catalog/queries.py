@@ -703,3 +703,19 @@ def stream_dedup_keys(spark, sf):
 def stream_windowed_counts(spark, sf):
     counts = arrivals.count_to_table(inputs.findings_from(event_stream(spark, sf)), shared_dir(spark, "stream_counts"))
     return counts.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "severity", "findings")
+
+
+@query
+def stream_dedup_rows(spark, sf):
+    """Whole findings that are left of all that arrived."""
+    found = inputs.findings_from(event_stream(spark, sf)).drop("ts", "severity_word")
+    kept = arrivals.dedup_to_table(found, shared_dir(spark, "stream_dedup_rows"))
+    return kept.select("scan_id", "seq", "tool", "severity", "title")
+
+
+@query
+def stream_errors(spark, sf):
+    """What could not be read of the reports that arrived."""
+    raw = inputs.raw_report(inputs.events_numbers(event_stream(spark, sf)), "tflint")
+    arrived = arrivals.ingest(raw, shared_dir(spark, "stream_errors"), POLICY_CONFIG)
+    return arrived.errors.select("scan_id", "tool", "seq", "reason", "position")

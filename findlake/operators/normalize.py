@@ -419,8 +419,11 @@ def bandit(raw: DataFrame, scan_root: str = "/repo") -> DataFrame:
 def safety(raw: DataFrame) -> DataFrame:
     fixed = FIXED["safety"]
     missing = F.lit(fixed["missing"])
-    doc = parse("stdout", "vulnerabilities array<string>, scanned_packages struct<vulnerabilities: array<string>>")
-    listed = F.coalesce(top_list(), doc.vulnerabilities, doc.scanned_packages.vulnerabilities)
+    # A list is read as the object that it stands for, so a report is read once.
+    is_object = F.btrim(F.col("stdout"), F.lit(BLANKS)).startswith("{")
+    whole = F.when(is_object, F.col("stdout")).otherwise(F.concat(F.lit('{"vulnerabilities":'), "stdout", F.lit("}")))
+    doc = parse(whole, "vulnerabilities array<string>, scanned_packages struct<vulnerabilities: array<string>>")
+    listed = F.get(F.transform(F.array(doc), lambda d: F.coalesce(d.vulnerabilities, d.scanned_packages.vulnerabilities)), F.lit(0))
     rows = read(
         results(raw, listed),
         "cve string, vulnerability_id string, package string, package_name string, installed_version string, "

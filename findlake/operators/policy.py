@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from findlake.functions import basename, path_excluded, severity_rank, strip_scan_root, truthy
-from findlake.model import SEVERITIES, TOOLS
+from findlake.model import POSITION_BITS, REPORT_BITS, SEVERITIES, TOOLS
 from findlake.operators.ordering import hot_join
 from findlake.operators.path_index import drop_excluded
 from findlake.operators.remediation import BANDIT_ADVICE, BANDIT_DEFAULT
@@ -134,14 +134,27 @@ def needs_authentication(return_code: Column, stderr: Column) -> Column:
     )
 
 
-def cut_at_auth_failure(safety_reports: DataFrame) -> DataFrame:
-    """Keep a scan's dependency reports before its first authentication failure."""
+def auth_cuts(safety_reports: DataFrame) -> DataFrame:
+    """(scan_id, ``_cut``): the number of a scan's first report that failed for want of a login."""
     failed = F.when(needs_authentication(F.col("return_code"), F.col("stderr")), F.col("seq"))
-    cut = safety_reports.groupBy("scan_id").agg(F.min(failed).alias("_cut")).where("_cut is not null")
-    kept = hot_join(safety_reports, cut, ["scan_id"])
+    return safety_reports.groupBy("scan_id").agg(F.min(failed).alias("_cut")).where("_cut is not null")
+
+
+def cut_at_auth_failure(safety_reports: DataFrame) -> DataFrame:
+    """Keep a scan's dependency reports before its first authentication failure. Select the columns
+    that are needed: all that are kept meet the cut."""
+    kept = hot_join(safety_reports, auth_cuts(safety_reports), ["scan_id"])
     return kept.where(F.col("_cut").isNull() | (F.col("seq") < F.col("_cut"))).select(safety_reports.columns)
 
 
+def cut_findings_at_auth_failure(findings: DataFrame, safety_reports: DataFrame) -> DataFrame:
+    """The same on the findings of the reports: their ``seq`` holds the report's number, so no
+    report's text is shuffled."""
+    report = F.shiftright("seq", POSITION_BITS).bitwiseAND(F.lit((1 << REPORT_BITS) - 1))
+    kept = hot_join(findings, auth_cuts(safety_reports), ["scan_id"])
+    return kept.where(F.col("_cut").isNull() | (report < F.col("_cut"))).select(findings.columns)
+
+
 def keep_template_files(findings: DataFrame, templates: DataFrame) -> DataFrame:
     """Keep findings whose file name is that of a template of the same scan."""
     names = templates.select("scan_id", basename(F.col("path")).alias("_name")).distinct()

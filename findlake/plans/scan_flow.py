@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from findlake.model import FINDING_COLUMNS, TOOLS, Tool
+from findlake.model import FINDING_COLUMNS, FINDINGS, TOOLS, Tool
 from findlake.operators import aggregate, classify, policy
 from findlake.operators.errors import unread, usable
 from findlake.operators.normalize import BY_SCAN, NORMALIZERS
@@ -25,9 +25,9 @@ def normalize_tool(
     """Findings of one tool with everything the configuration says about it."""
     patterns = lookup(config, "repository.excluded_paths", [])
     reports = raw.where(F.col("tool") == tool.name)
-    if tool.name == "safety":
-        reports = policy.cut_at_auth_failure(reports)
     found = NORMALIZERS[tool.name](reports, config)
+    if tool.name == "safety":
+        found = policy.cut_findings_at_auth_failure(found, reports)
     if tool.name == "bandit":
         found = policy.bandit_remediation(found)
     if tool.name == "pylint":
@@ -45,12 +45,15 @@ def normalize_tool(
     return found
 
 
-def normalize_all(raw: DataFrame, files: DataFrame | None, config: Mapping[str, Any]) -> DataFrame:
-    """All findings of all enabled tools, in run order by ``seq``; secrets come from ``files``."""
+def normalize_all(
+    raw: DataFrame, files: DataFrame | None, config: Mapping[str, Any], only: Collection[str] | None = None
+) -> DataFrame:
+    """All findings of all enabled tools, in run order by ``seq``; secrets come from ``files``. ``only``
+    names the tools that ``raw`` has reports of, where that is known."""
     rules = policy.exclude_rules_dim(raw.sparkSession, config)
-    parts = []
+    parts = [raw.sparkSession.createDataFrame([], FINDINGS)]
     for tool in TOOLS:
-        if not classify.tool_enabled(config, tool):
+        if not classify.tool_enabled(config, tool) or only is not None and tool.name not in only:
             continue
         if tool.name in NORMALIZERS:
             parts.append(normalize_tool(raw, files, tool, config, rules))
@@ -77,9 +80,9 @@ def normalize_by_scan(raw: DataFrame, files: DataFrame | None, configs: DataFram
             found = scan_secrets(files) if files is not None else None
         else:
             reports = raw.where(F.col("tool") == tool.name)
-            if tool.name == "safety":
-                reports = policy.cut_at_auth_failure(reports)
             found = BY_SCAN[tool.name](reports, settings) if tool.name in BY_SCAN else NORMALIZERS[tool.name](reports, {})
+            if tool.name == "safety":
+                found = policy.cut_findings_at_auth_failure(found, reports)
             if tool.name == "bandit":
                 found = policy.bandit_remediation(found)
             if tool.name == "checkov-cfn" and files is not None:

@@ -8,13 +8,19 @@ make a batch, nor on the order in which they arrive.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from findlake.operators.aggregate import with_key
+from findlake.model import TOOLS
+from findlake.operators.aggregate import deduplicate, with_key
+from findlake.operators.errors import unread, usable
 from findlake.operators.ordering import SALTS
+from findlake.plans.scan_flow import normalize_all
+from findlake.session import remove_folder
+from findlake.streaming.runs import RunTable, run_batches
 
 COUNTS = "window_start timestamp, window_end timestamp, severity string, findings bigint"
 
@@ -39,9 +45,16 @@ def run_to_table(stream: DataFrame, folder: str) -> DataFrame:
         .start()
     )
     query.awaitTermination()
+    if not query.recentProgress and not _exists(stream.sparkSession, f"{folder}/table"):
+        return stream.sparkSession.createDataFrame([], stream.schema)  # nothing has arrived yet
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/table")
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def normalize_stream(raw_stream: DataFrame, normalizer: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Normalisers are stateless, so the batch function serves the stream as it is."""
     return normalizer(raw_stream)
@@ -68,20 +81,60 @@ def window_counts(findings: DataFrame, ts: str | Column = "ts", size: str = "1 d
 def count_to_table(findings_stream: DataFrame, folder: str, ts: str = "ts", size: str = "1 day") -> DataFrame:
     """Run the stream to the end of its input and return its windowed counts so far.
 
-    Every batch writes the counts of its own rows, under its number, so that a batch run again
-    replaces what it wrote; reading adds them up. A row counts in its window however late it comes.
+    Every batch writes the counts of its own rows; merges and reading add them up. A row counts in
+    its window however late it comes.
     """
-    spark = findings_stream.sparkSession
+    counts = RunTable(findings_stream.sparkSession, f"{folder}/counts", COUNTS, _added)
+    run_batches(findings_stream, folder, lambda batch, number: counts.write(window_counts(batch, ts, size), number))
+    return counts.read()
 
-    def count_batch(batch: DataFrame, number: int) -> None:
-        window_counts(batch, ts, size).write.mode("overwrite").parquet(f"{folder}/counts/batch={number}")
 
-    query = (
-        findings_stream.writeStream.foreachBatch(count_batch)
-        .option("checkpointLocation", f"{folder}/progress")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    parts = spark.read.schema(COUNTS).option("basePath", f"{folder}/counts").parquet(f"{folder}/counts")
-    return parts.groupBy("window_start", "window_end", "severity").agg(F.sum("findings").alias("findings"))
+def _added(counts: DataFrame) -> DataFrame:
+    keys = [c for c in counts.columns if c != "findings"]
+    return counts.groupBy(*keys).agg(F.sum("findings").alias("findings"))
+
+
+def dedup_to_table(findings_stream: DataFrame, folder: str) -> DataFrame:
+    """Run the stream to the end of its input and return the first finding, by ``seq``, of each key of
+    each scan so far: what ``deduplicate`` gives for all that has arrived.
+
+    No finding is held as state: a later copy with a lower ``seq`` simply wins where runs are merged or
+    read, so nothing depends on the order of arrival and nothing has to be released.
+    """
+    table = RunTable(findings_stream.sparkSession, f"{folder}/findings", findings_stream.schema, deduplicate)
+    run_batches(findings_stream, folder, table.write)
+    return table.read()
+
+
+class Arrived(NamedTuple):
+    findings: DataFrame  # deduplicated
+    counts: DataFrame  # of all findings, by scan, tool and severity
+    errors: DataFrame  # what could not be read
+
+
+TOOL_COUNTS = "scan_id string, tool string, severity string, findings bigint"
+
+
+def ingest(raw_stream: DataFrame, folder: str, config: Mapping[str, Any]) -> Arrived:
+    """Raw reports as they arrive, to three tables at once. Every batch is parsed once; each table
+    has a run of its own for it, so a batch that is run again replaces all it wrote."""
+    spark = raw_stream.sparkSession
+    empty = normalize_all(spark.createDataFrame([], raw_stream.schema), None, config)
+    findings = RunTable(spark, f"{folder}/findings", empty.schema, deduplicate)
+    counts = RunTable(spark, f"{folder}/counts", TOOL_COUNTS, _added)
+    errors = RunTable(spark, f"{folder}/errors", unread(spark.createDataFrame([], raw_stream.schema)).schema, lambda rows: rows)
+
+    def take(batch: DataFrame, number: int) -> None:
+        work = f"{folder}/work/batch={number}"
+        batch.write.mode("overwrite").partitionBy("tool").parquet(f"{work}/raw")
+        raw = spark.read.schema(raw_stream.schema).parquet(f"{work}/raw")
+        errors.write(unread(raw), number)
+        tools = [r["tool"] for r in raw.where(F.col("tool").isin([t.name for t in TOOLS])).select("tool").distinct().collect()]
+        normalize_all(usable(raw), None, config, tools).write.mode("overwrite").parquet(f"{work}/found")
+        found = spark.read.schema(empty.schema).parquet(f"{work}/found")
+        counts.write(found.groupBy("scan_id", "tool", "severity").agg(F.count(F.lit(1)).alias("findings")), number)
+        findings.write(found, number)
+        remove_folder(spark, work)
+
+    run_batches(raw_stream, folder, take)
+    return Arrived(findings.read(), counts.read(), errors.read())

@@ -63,6 +63,14 @@ def test_whole_findings_are_neither_joined_nor_shuffled_again(spark, name):
         assert rules or not moved, moved
 
 
+def test_no_report_text_is_shuffled_for_the_login_cut(spark):
+    for name in ("norm_safety", "safety_auth_cut"):
+        plan = plan_of(QUERIES[name](spark, SF))
+        assert plan.count("from_json(") <= (2 if name == "norm_safety" else 0)
+        for exchange in re.findall(r"Exchange hashpartitioning\(scan_id[^\n]*\n[^\n]*", plan):
+            assert "stdout" not in exchange
+
+
 @pytest.mark.parametrize("name", ["norm_tfsec", "norm_trivy", "norm_pylint", "severity_map", "rule_exclusion", "path_exclusion"])
 def test_row_level_queries_do_not_shuffle(spark, name):
     plan = plan_of(QUERIES[name](spark, SF))

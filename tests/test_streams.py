@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from findlake.model import FINDINGS
 from findlake.operators import aggregate
+from findlake.operators.errors import unread, usable
 from findlake.operators.normalize import tflint
+from findlake.plans.scan_flow import normalize_all
 from findlake.streaming import arrivals
+from findlake.streaming.runs import RunTable
 
 START = dt.datetime(2026, 1, 1)
 
@@ -52,7 +55,7 @@ def test_windows_count_late_rows(spark, folder, table, tmp_path, files_per_batch
         got = arrivals.count_to_table(arriving, str(tmp_path))
         assert {(r.window_start, r.severity): r.findings for r in got.collect()} == expected
     assert sum(expected.values()) == 300
-    assert len(list((tmp_path / "counts").glob("batch=*"))) == (6 if files_per_batch == 1 else 1)
+    assert len(list((tmp_path / "counts").glob("level=0/number=*"))) == (6 if files_per_batch == 1 else 1)
 
 
 def test_normalise_as_it_arrives(spark, raw, tmp_path):
@@ -76,3 +79,67 @@ def test_restart_adds_only_what_is_new(spark, raw, tmp_path):
     assert run() == 1
     reports.write.mode("append").parquet(path)
     assert run() == 2
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 10_000])
+def test_dedup_keeps_the_first_finding(spark, folder, table, tmp_path, files_per_batch):
+    arriving = arrivals.read_arrivals(spark, folder, table.schema, files_per_batch=files_per_batch)
+    stored = spark.read.schema(table.schema).parquet(folder)
+    expected = sorted(map(tuple, aggregate.deduplicate(stored).collect()), key=str)
+    for _ in range(2):
+        got = arrivals.dedup_to_table(arriving, str(tmp_path))
+        assert sorted(map(tuple, got.collect()), key=str) == expected
+
+
+def test_runs_are_merged_and_can_be_written_again(spark, tmp_path):
+    sums = lambda df: df.groupBy("k").agg(F.sum("n").alias("n"))
+    table = RunTable(spark, str(tmp_path / "t"), "k string, n bigint", sums, fan=3)
+    assert table.read().count() == 0 and table.live() == []
+    for batch in range(11):
+        table.write(spark.createDataFrame([("a", 1), (f"b{batch}", 2)], table.schema), batch)
+    table.write(spark.createDataFrame([("a", 1), ("b8", 2)], table.schema), 8)  # the batch is run again
+    assert table.live() == [(0, 9), (0, 10), (2, 0)]
+    assert {r.k: r.n for r in table.read().collect()} == {"a": 11, **{f"b{i}": 2 for i in range(11)}}
+    assert table.vacuum() == 12 and table.vacuum() == 0
+    assert {r.k: r.n for r in table.read().collect()} == {"a": 11, **{f"b{i}": 2 for i in range(11)}}
+
+
+def test_a_run_that_is_not_whole_does_not_count(spark, tmp_path):
+    table = RunTable(spark, str(tmp_path / "t"), "k string", lambda df: df, fan=2)
+    for batch in range(2):
+        table.write(spark.createDataFrame([(str(batch),)], "k string"), batch)
+    assert table.live() == [(1, 0)]
+    (tmp_path / "t" / "level=1" / "number=0" / "_SUCCESS").rename(tmp_path / "lost")
+    assert table.live() == [(0, 0), (0, 1)]
+    assert sorted(r.k for r in table.read().collect()) == ["0", "1"]
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 10_000])
+def test_reports_arrive_in_three_tables(spark, raw, tmp_path, files_per_batch):
+    reports = (
+        raw("tflint", '{"issues":[{"message":"m"},{"message":"m"},"odd"]}', "broken", '{"issues":[{"message":"n","rule":{"severity":"error"}}]}')
+        .unionByName(raw("bandit", '{"results":[{"test_id":"B404"},{"test_id":"B1"}]}'))
+        .unionByName(raw("pylint", "[]", scan=None))
+    )
+    path = str(tmp_path / "in")
+    reports.repartition(4, "seq").write.parquet(path)
+    arriving = arrivals.read_arrivals(spark, path, reports.schema, files_per_batch=files_per_batch)
+    config = {"tools": {"python": {"exclude_rules": {"bandit": ["B404"]}}}}
+    whole = normalize_all(usable(reports), None, config)
+    for _ in range(2):
+        got = arrivals.ingest(arriving, str(tmp_path / "out"), config)
+        assert sorted(map(tuple, got.findings.collect()), key=str) == sorted(map(tuple, aggregate.deduplicate(whole).collect()), key=str)
+        assert {(r.tool, r.severity): r.findings for r in got.counts.collect()} == {("tflint", "MEDIUM"): 2, ("tflint", "HIGH"): 1, ("bandit", "MEDIUM"): 1}
+        assert sorted((r.tool, r.reason) for r in got.errors.collect()) == sorted((r.tool, r.reason) for r in unread(reports).collect())
+    assert not (tmp_path / "out" / "work").exists() or not list((tmp_path / "out" / "work").iterdir())
+
+
+def test_nothing_has_arrived(spark, raw, table, tmp_path):
+    (tmp_path / "in").mkdir()
+    arriving = arrivals.read_arrivals(spark, str(tmp_path / "in"), table.schema)
+    assert arrivals.count_to_table(arriving, str(tmp_path / "a")).count() == 0
+    assert arrivals.dedup_to_table(arriving, str(tmp_path / "b")).count() == 0
+    assert arrivals.run_to_table(arrivals.dedup_stream(arriving), str(tmp_path / "c")).count() == 0
+    reports = raw("tflint", "{}")
+    got = arrivals.ingest(arrivals.read_arrivals(spark, str(tmp_path / "in"), reports.schema), str(tmp_path / "d"), {})
+    assert [t.count() for t in got] == [0, 0, 0]
