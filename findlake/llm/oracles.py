@@ -91,16 +91,28 @@ base AS (
     len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words
   FROM docs d LEFT JOIN repeats r USING (doc_id)),
 each AS (
-  SELECT doc_id, source, md5(x) AS line, len(t) AS n,
-    list_min(list_transform(range(0, len(t), 8), lambda i: md5(array_to_string(t[i + 1 : i + 8], ' ')))) AS block
-  FROM (SELECT doc_id, source, x, string_split(x, ' ') AS t
-        FROM (SELECT doc_id, source, trim(regexp_replace(lower(unnest(lines)), '[\x20\x09-\x0D]+', ' ', 'g')) AS x FROM docs))),
-different AS (SELECT DISTINCT doc_id, source, line, block FROM each),
-marked AS (
-  SELECT d.*, coalesce((SELECT min(o.block) FROM different o WHERE o.doc_id = d.doc_id AND o.line <> d.line), '') AS mark
-  FROM different d),
+  SELECT doc_id, source, md5(body) AS t, md5(x) AS line, len(w) AS n,
+    list_distinct(list_transform(range(0, len(w), least(4, (len(w) + 2) // 3)),
+      lambda i: md5(array_to_string(w[i + 1 : i + least(4, (len(w) + 2) // 3)], ' ')))) AS blocks
+  FROM (SELECT doc_id, source, body, x, string_split(x, ' ') AS w
+        FROM (SELECT doc_id, source, text AS body, trim(regexp_replace(lower(unnest(lines)), '[\x20\x09-\x0D]+', ' ', 'g')) AS x FROM docs))),
+different AS (SELECT DISTINCT source, t, line, n, blocks FROM each),
+shared AS (SELECT source, line FROM different GROUP BY ALL HAVING count(*) > 20),
+beside AS (
+  SELECT d.* FROM different d ANTI JOIN shared USING (source, line)
+  WHERE EXISTS (SELECT 1 FROM different o JOIN shared s USING (source, line) WHERE o.t = d.t AND o.source IS NOT DISTINCT FROM d.source)),
+pieces AS (SELECT source, t, line, n, unnest(blocks) AS block FROM beside),
+often AS (
+  SELECT source, block FROM pieces GROUP BY ALL HAVING count(DISTINCT t) > 20
+  UNION SELECT source, unnest(blocks) FROM different JOIN shared USING (source, line)),
+own AS (
+  SELECT source, t, n, min(block) FILTER (o.block IS NULL) AS block
+  FROM pieces p LEFT JOIN often o USING (source, block) GROUP BY source, t, line, n
+  HAVING 100 * count(o.block) < 25 * count(*)),
+marks AS (SELECT source, t, min(block) AS mark FROM own GROUP BY ALL HAVING sum(n) >= 4),
 frequent AS (
-  SELECT source, line FROM marked GROUP BY ALL HAVING count(DISTINCT mark) > 20 AND 2 * count(DISTINCT mark) >= count(*)),
+  SELECT source, line FROM different JOIN shared USING (source, line) JOIN marks USING (source, t)
+  GROUP BY ALL HAVING count(DISTINCT mark) > 20),
 lost AS (SELECT doc_id, sum(n) AS n FROM each SEMI JOIN frequent USING (source, line) GROUP BY doc_id),
 failed AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM base)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,

@@ -1,17 +1,14 @@
 """Quality rules: counts inside each text, then lines that too many documents of a host share.
 
 Line frequency: a line in its normal form that more different texts of a host hold than the limit is
-shared. Copies of a document are not evidence of boilerplate (they are left to the deduplication), and
-exact ones are one text. To tell near copies from different documents, only what boilerplate cannot
-supply counts: the lines of a text that are its own, that is neither shared nor, beginning or ending as
-more texts than the limit do, variants of a line that many have. A text whose own lines hold at least
-``MIN_OWN_PERCENT`` of the words of its different lines is evidence, with the smallest hash of the
-blocks of eight words in its own lines as its mark. Beginnings and ends are looked for among the texts
-that hold a shared line; they are eight words, in lines under sixteen words one half.
-
-A shared line is removed if the evidence for it has more marks than the limit. However many copies,
-near copies or other shared lines there are, they neither add to the marks nor take from them. A
-document that keeps too small a share of its words is rejected.
+shared, and a shared line is removed if that many *different documents* hold it. Copies are not different
+documents (they are left to the deduplication): exact ones are one text, and near ones are told by their
+other lines. A line that is not shared is a variant if a quarter or more of its blocks of four words (in
+lines under twelve words, of its thirds) stand in more texts than the limit, beside shared lines; else it is
+the text's own. A text whose own lines hold ``MIN_OWN_WORDS`` words counts as a different document, under
+the smallest hash of those blocks of its own lines that are not so frequent. It does not matter how
+little of the text that is, so hosts with hardly anything but boilerplate count too. A document that
+keeps too small a share of its words is rejected.
 
 Defined results: a null or empty text has no words and fails the base rules. A null host is a host
 of its own. Repeated rows (same id and text) are copies, and get the same verdict; a null id is an
@@ -32,9 +29,11 @@ MAX_REPEAT_PERCENT = 30
 MAX_DOCS_PER_LINE = 20
 # A document must keep this share of its words.
 MIN_KEPT_PERCENT = 30
-BLOCK_WORDS = 8
-# Share of the words of a text that its own lines hold if it counts as a different document.
-MIN_OWN_PERCENT = 10
+BLOCK_WORDS = 4
+# A line is a variant if this share of its blocks is frequent.
+MIN_VARIANT_PERCENT = 25
+# Words that a text's own lines must hold if it counts as a different document.
+MIN_OWN_WORDS = 4
 
 
 def covered_by_repeats(tokens: Column, window: int = REPEAT_WINDOW) -> Column:
@@ -91,34 +90,23 @@ def line_hash(line: Column) -> Column:
     return F.md5(normal_line(line))
 
 
-def smallest_block(tokens: Column) -> Column:
-    """Smallest hash of the blocks of words, one after the other, of a line."""
-    starts = F.sequence(F.lit(1), F.size(tokens), F.lit(BLOCK_WORDS))
-    return F.array_min(F.transform(starts, lambda i: F.xxhash64(F.slice(tokens, i, BLOCK_WORDS))))
-
-
-def line_ends(tokens: Column) -> Column:
-    """Hashes of how a line begins and ends; one changed word leaves one of them as it is."""
-    half = F.floor(F.size(tokens) / 2).cast("int")
-    head = F.slice(tokens, 1, F.least(F.lit(BLOCK_WORDS), F.size(tokens) - half))
-    n = F.least(F.lit(BLOCK_WORDS), half)
-    tail = F.slice(tokens, F.size(tokens) - n + 1, n)
-    return F.array_compact(F.array(F.xxhash64(F.lit("head"), head), F.when(n > 0, F.xxhash64(F.lit("tail"), tail))))
+def line_blocks(tokens: Column) -> Column:
+    """Hashes of the different blocks of words, one after the other, of a line."""
+    n = F.size(tokens)
+    step = F.least(F.ceil(n / 3).cast("int"), F.lit(BLOCK_WORDS))
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), n, step), lambda i: F.xxhash64(F.slice(tokens, i, step))))
 
 
 def document_lines(documents: DataFrame) -> DataFrame:
     """One row per line that is not blank: ``host``, hash of the whole text ``t``, hash ``line``, its
-    place ``i`` and ``n`` words, whether it is the ``first`` such line of the document, its smallest
-    ``block`` and its ``ends``."""
+    place ``i`` and ``n`` words, whether it is the ``first`` such line of the document, its ``blocks``."""
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(rf"[^{SPACE}]"))
 
     def facts(line: Column, i: Column) -> Column:
         def of(form: Column) -> Column:
             return let(
                 F.split(form, " "),
-                lambda w: F.struct(
-                    F.md5(form).alias("line"), i.alias("i"), F.size(w).alias("n"), smallest_block(w).alias("block"), line_ends(w).alias("ends")
-                ),
+                lambda w: F.struct(F.md5(form).alias("line"), i.alias("i"), F.size(w).alias("n"), line_blocks(w).alias("blocks")),
             )
 
         return let(normal_line(line), of)
@@ -132,7 +120,7 @@ def document_lines(documents: DataFrame) -> DataFrame:
 
     pairs = let(F.sort_array(F.transform(lines, facts)), flagged)
     each = documents.select("k", "doc_id", "host", F.xxhash64("text").alias("t"), F.explode(pairs).alias("p"))
-    return each.select("k", "doc_id", "host", "t", "p.i", "p.line", "p.n", "p.first", "p.block", "p.ends")
+    return each.select("k", "doc_id", "host", "t", "p.i", "p.line", "p.n", "p.first", "p.blocks")
 
 
 def of_host(rows: DataFrame, other: DataFrame, *columns: str, how: str = "inner") -> DataFrame:
@@ -156,17 +144,20 @@ def evidence(lines: DataFrame, hits: DataFrame, max_docs: int) -> DataFrame:
     # One document stands for all with its text.
     chosen = F.min(F.struct("k", "doc_id")).alias("one")
     held = hits.groupBy("host", "t").agg(chosen, F.collect_set("line").alias("shared")).select("one.k", "one.doc_id", "shared")
-    theirs = written(join_rows(lines.where("first"), held, "inner"), "lines-beside-shared")
-    ends = written(in_many_texts(theirs.select("host", "t", F.explode("ends").alias("end")), "end", max_docs), "frequent-ends")
-    unshared = theirs.where(~F.array_contains("shared", F.col("line"))).select("host", "t", "line", "n", "block", "ends")
-    own = unshared.withColumns({"head": F.get("ends", F.lit(0)), "tail": F.get("ends", F.lit(1))})
-    for c in ("head", "tail"):
-        own = of_host(own, ends.withColumnRenamed("end", c), c, how="left_anti")
-    own = own.select("host", "t", "line", "n", "block").distinct()
+    theirs = join_rows(lines.where("first"), held, "inner")
+    theirs = theirs.withColumn("is_shared", F.array_contains("shared", F.col("line")))
+    # Blocks of shared lines are frequent as they are; one row for each text and block of the other lines.
+    blocks = written(theirs.where("NOT is_shared").select("host", "t", "line", "n", F.explode("blocks").alias("block")), "blocks-beside-shared")
+    of_shared = hits.select("host", F.explode("blocks").alias("block")).distinct()
+    often = written(in_many_texts(blocks, "block", max_docs).unionByName(of_shared).distinct(), "frequent-blocks")
+    met = of_host(blocks, often.withColumn("often", F.lit(True)), "block", how="left")
+    is_often = F.col("often").isNotNull()
+    each = met.groupBy("host", "t", "line", "n").agg(
+        F.count(F.lit(1)).alias("blocks"), F.count_if(is_often).alias("frequent"), F.min(F.when(~is_often, F.col("block"))).alias("block")
+    )
+    own = each.where(100 * F.col("frequent") < MIN_VARIANT_PERCENT * F.col("blocks"))
     own = own.groupBy("host", "t").agg(F.min("block").alias("mark"), F.sum("n").alias("own"))
-    total = theirs.select("host", "t", "line", "n").distinct().groupBy("host", "t").agg(F.sum("n").alias("total"))
-    both = of_host(own, total, "t")
-    return both.where(100 * F.col("own") >= MIN_OWN_PERCENT * F.col("total")).select("host", "t", "mark")
+    return own.where(F.col("own") >= MIN_OWN_WORDS).select("host", "t", "mark")
 
 
 def frequent_lines(lines: DataFrame, hits: DataFrame, max_docs: int = MAX_DOCS_PER_LINE) -> DataFrame:
@@ -180,7 +171,7 @@ def removed_lines(documents: DataFrame, max_docs: int = MAX_DOCS_PER_LINE) -> Da
     """Key, hashes of the lines to remove and the words they hold, for documents that lose any."""
     lines = written(document_lines(documents), "document-lines")
     shared = written(in_many_texts(lines.where("first"), "line", max_docs), "shared-lines")
-    hits = written(of_host(lines.select("k", "doc_id", "host", "t", "i", "line", "n"), shared, "line"), "shared-places")
+    hits = written(of_host(lines.select("k", "doc_id", "host", "t", "i", "line", "n", "blocks"), shared, "line"), "shared-places")
     frequent = written(frequent_lines(lines, hits, max_docs), "frequent-lines")
     hit = of_host(hits, frequent, "line")
     places = hit.groupBy("k", "doc_id").agg(F.collect_set(F.struct("i", "line", "n")).alias("p"))

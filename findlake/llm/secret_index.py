@@ -26,6 +26,8 @@ from .common import join_rows, let, texts, written
 # Candidates up to this size are sent to every executor; more are joined by a shuffle.
 BROADCAST_BYTES = 32 << 20
 CANDIDATE_BYTES = 96
+# Matches whose lengths are added up one by one.
+SPAN_BLOCK = 64
 MAX_ALTERNATIVES = 64
 MAX_CLASS = 6
 
@@ -141,21 +143,37 @@ def candidates(documents: DataFrame, queries: dict[int, list[frozenset[str]]]) -
     return both.where("have = need").groupBy("k", "doc_id").agg(F.collect_set("rule").alias("rules"))
 
 
+def block_sums(sizes: Column) -> Column:
+    """For every block of ``SPAN_BLOCK`` sizes what those before it add up to."""
+
+    def over(sums: Column) -> Column:
+        return F.transform(sums, lambda _, b: F.aggregate(F.slice(sums, 1, b), F.lit(0), lambda n, x: n + x))
+
+    starts = F.sequence(F.lit(0), F.floor((F.size(sizes) - 1) / SPAN_BLOCK).cast("int"))
+    each = F.transform(starts, lambda b: F.aggregate(F.slice(sizes, b * SPAN_BLOCK + 1, SPAN_BLOCK), F.lit(0), lambda n, x: n + x))
+    return F.when(F.size(sizes) > 0, let(each, over)).otherwise(F.array().cast("array<int>"))
+
+
 def matches(text: Column, rule: Rule, order: int) -> Column:
     """Structs (start, order, end) of the rule's matches, from left to right."""
 
     def placed(found: Column) -> Column:
-        step = F.sequence(F.lit(0), F.size(found["all"]) - 1)
-        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,order:int,end:int>>").alias("out"))
-
-        def add(state: Column, i: Column) -> Column:
-            begin = state["at"] + F.length(F.get(found["between"], i))
-            end = begin + F.length(F.get(found["all"], i))
-            span = F.array(F.struct(begin.alias("start"), F.lit(order).alias("order"), end.alias("end")))
-            counts = F.length(F.get(found["checked"], i)) >= rule.least
-            return F.struct(end.alias("at"), F.when(counts, F.concat(state["out"], span)).otherwise(state["out"]).alias("out"))
-
-        return F.aggregate(step, start, add, lambda state: state["out"])
+        # Lengths of what is between and of the matches, in turn; blocks of them are added up first, so that
+        # a text with very many matches costs little more than their number.
+        sizes = F.transform(found["all"], lambda m, i: F.length(F.get(found["between"], i)) + F.length(m))
+        return let(
+            F.struct(sizes.alias("sizes"), block_sums(sizes).alias("blocks"), found["all"].alias("all"), found["checked"].alias("checked")), spans_of
+        )
+
+    def spans_of(s: Column) -> Column:
+        def span(m: Column, i: Column) -> Column:
+            block = F.floor(i / SPAN_BLOCK).cast("int")
+            inside = F.slice(s["sizes"], block * SPAN_BLOCK + 1, i - block * SPAN_BLOCK + 1)
+            end = F.get(s["blocks"], block) + F.aggregate(inside, F.lit(0), lambda n, x: n + x)
+            found = F.struct((end - F.length(m)).alias("start"), F.lit(order).alias("order"), end.alias("end"))
+            return F.when(F.length(F.get(s["checked"], i)) >= rule.least, found)
+
+        return F.array_compact(F.transform(s["all"], span))
 
     pattern = F.lit(rule.pattern)
     found = F.struct(

@@ -43,13 +43,34 @@ def base_counts(text):
 def quality(docs, max_docs=20):
     """{row: (counts, removed words, kept, text left)} for rows (doc_id, text, source)."""
     digest = lambda x: hashlib.md5(x.encode()).hexdigest()
-    marks = defaultdict(list)
-    for _, text, source in docs:
-        forms = {normal(x) for x in (text or "").split("\n") if words(x)}
-        blocks = {x: min(digest(" ".join(x.split(" ")[i : i + 8])) for i in range(0, len(x.split(" ")), 8)) for x in forms}
-        for x in forms:
-            marks[source, digest(x)].append(min((blocks[o] for o in forms if o != x), default=""))
-    frequent = {key for key, m in marks.items() if len(set(m)) > max_docs and 2 * len(set(m)) >= len(m)}
+
+    def blocks(line):
+        w = line.split(" ")
+        step = min(4, -(-len(w) // 3))
+        return {block_hash(w[i : i + step]) for i in range(0, len(w), step)}
+
+    def block_hash(w):
+        """The hash of a list of words, as a signed number: which of several blocks is the mark."""
+        seed = 42
+        for word in w:
+            seed = xxhash.xxh64_intdigest(word.encode(), seed)
+        return seed - (1 << 64) if seed >> 63 else seed
+
+    forms = {(source, text or ""): {normal(x) for x in (text or "").split("\n") if words(x)} for _, text, source in docs}
+    holders = Counter((source, x) for (source, _), lines in forms.items() for x in lines)
+    shared = {key for key, n in holders.items() if n > max_docs}
+    beside = {t: {x for x in lines if (t[0], x) not in shared} for t, lines in forms.items() if any((t[0], x) in shared for x in lines)}
+    counted = Counter((t[0], b) for t, lines in beside.items() for b in set().union(*map(blocks, lines)))
+    often = {key for key, n in counted.items() if n > max_docs} | {(source, b) for source, x in shared for b in blocks(x)}
+    marks = defaultdict(set)
+    for t, lines in beside.items():
+        rare = {x: [b for b in blocks(x) if (t[0], b) not in often] for x in lines}
+        own = [x for x in lines if 100 * (len(blocks(x)) - len(rare[x])) < 25 * len(blocks(x))]
+        if sum(len(x.split(" ")) for x in own) >= 4:
+            mark = min(b for x in own for b in rare[x])
+            for x in forms[t] - lines:
+                marks[t[0], digest(x)].add(mark)
+    frequent = {key for key, m in marks.items() if len(m) > max_docs}
     out = {}
     for doc_id, text, source in docs:
         counts = base_counts(text)
