@@ -2,7 +2,10 @@
 
 A page is cut into blocks at block-level tags. The first pass labels a block by its region, its link
 density, its length and its share of stop words: long running text is good, link lists and blocks in
-menus, footers, notices and the like are bad, short blocks stay open. The second pass gives an open
+menus, footers, notices and the like are bad, short blocks stay open. A region is told by its tag or role,
+or by a class or id; a class or id only counts as a whole (``side-bar``, ``comment-list``, not
+``has-sidebar`` or ``comments-open``), never on the page's body, and not on an element that holds a ``main`` or,
+where no ``article`` or ``main`` is marked, most of the page's text beside discussions. Running text in scripts without stop words here is told by its letters. The second pass gives an open
 block the label of its nearest decided neighbours: first those in its own section, then, if the
 section has none, that of the section itself (an article's blocks are text), then those on the page.
 Between two different labels the nearer neighbour wins, and the good one if both are as near.
@@ -34,6 +37,9 @@ STOP_WORDS = frozenset(
     de la le les et des un une du que qui dans est pour pas sur au avec par il elle ne se ce plus en
     der die und das von zu den mit sich auf ist im dem nicht ein eine als auch es für wird aus
     el los las del y una por con para su lo como más al sus pero sin sobre este entre
+    il di che è gli della nel sono una più ha si anche dei delle alla o os as do da em não uma com mais dos foi ao
+    het een van op te dat niet zijn voor met aan er maar om och att det som på är av för inte den till
+    и в не на что он с по это как из но за к у от так же для бы или когда nie się w z do jest że jak na to
     """.split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -48,7 +54,7 @@ IN_HEAD = frozenset("html head base basefont bgsound link meta title noscript no
 # Elements that a closing slash ends, unlike those of HTML.
 FOREIGN = frozenset(("svg", "math"))
 # Regions that hold no part of an article.
-REGIONS = frozenset("nav header footer aside form menu dialog button select textarea option fieldset label".split())
+REGIONS = frozenset("nav header footer aside form menu dialog button select textarea option label".split())
 ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar form".split())
 NAMES = frozenset(
     """ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice
@@ -57,11 +63,31 @@ NAMES = frozenset(
     subscribe subscription signup login search comment comments reply replies respondents disqus discussion hidden tags""".split()
 )
 DISCUSSION = frozenset("comment comments reply replies disqus discussion".split())
+# Words that make a class or id tell how an element looks or what it has, not what it is.
+STATES = frozenset(
+    """has have no not non without with is are open opened closed close count counts counter enabled disabled free on off allow allowed
+    single first last image images visible active loaded type format status""".split()
+)
 SECTIONS = frozenset("article main section".split())
 # An open element of the same kind ends where one of these begins.
 ENDS_ITSELF = {"p": {"p"}, "li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _WORD = re.compile(r"[^\W\d_]+")
+# Letters of scripts that do not put spaces between words, and of others that stop words here do not cover.
+_OTHER_SCRIPTS = re.compile(r"[\u0370-\u03ff\u0530-\u1fff\u2e80-\ua4cf\ua960-\ud7ff\uf900-\ufaff]")
+_SENTENCE = re.compile(r"[.!?。！？।؟։]")
+
+
+def called(attrs: dict[str, str]) -> set[str]:
+    """The words that an element's classes and id name it by: their first and last one, and all of them
+    as one, unless any of them only tells a state."""
+    found: set[str] = set()
+    for name in [*attrs.get("class", "").split(), *attrs.get("id", "").split()]:
+        parts = [p.lower() for p in _NAME_PARTS.findall(name)]
+        words = [p for p in parts if not p.isdigit()]
+        if words and not STATES & set(words):
+            found |= {words[0], words[-1], "".join(words)}
+    return found
 
 
 @dataclass
@@ -71,6 +97,7 @@ class Block:
     bad: bool
     section: int
     article: bool
+    named: tuple[int, ...]  # elements around it whose names tell that it is no text
 
 
 class _Blocks(HTMLParser):
@@ -79,8 +106,10 @@ class _Blocks(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
-        # Open elements: name, in a bad region, in a discussion, silent, number of section, in an article.
-        self.open: list[tuple[str, bool, bool, bool, int, bool]] = [("", False, False, False, 0, False)]
+        # Open elements: name, in a bad region, elements with telling names, silent, number of section, in an article.
+        self.open: list[tuple[str, bool, tuple[int, ...], bool, int, bool]] = [("", False, (), False, 0, False)]
+        self.talks: list[bool] = []  # of each element with a telling name, whether it is a discussion
+        self.holds_main: set[int] = set()
         self.sections = 0
         self.links = 0
         self.parts: list[str] = []
@@ -89,8 +118,8 @@ class _Blocks(HTMLParser):
     def _end_block(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            _, bad, _, _, section, article = self.open[-1]
-            self.blocks.append(Block(text, min(self.linked, len(text)), bad, section, article))
+            _, bad, named, _, section, article = self.open[-1]
+            self.blocks.append(Block(text, min(self.linked, len(text)), bad, section, article, named))
         self.parts, self.linked = [], 0
 
     def _close(self, at: int) -> None:
@@ -123,22 +152,26 @@ class _Blocks(HTMLParser):
                     break
                 if name in BLOCKS and name != "p":
                     break
-        _, bad, talk, silent, section, article = self.open[-1]
+        _, bad, named, silent, section, article = self.open[-1]
         given = {k: v or "" for k, v in attrs}
-        called = [*given.get("class", "").split(), *given.get("id", "").split()]
-        names = {p.lower() for name in called for p in (*_NAME_PARTS.findall(name), re.sub(r"[-_]", "", name))}
-        talk = talk or bool(names & DISCUSSION)
-        if tag in ("article", "main") and not talk:
-            bad = False  # what was left open before it has ended
+        root = tag in ("html", "body", "main")
+        names = set() if root else called(given)
+        talk = bool(names & DISCUSSION)
+        if tag == "main":
+            self.holds_main.update(named)
+        if tag == "main" or tag == "article" and not talk and not any(self.talks[e] for e in named):
+            bad, named = False, ()  # what was left open before it has ended
             article = True
         hides = "hidden" in given or given.get("aria-hidden") == "true" or "display:none" in given.get("style", "").replace(" ", "")
-        root = tag in ("html", "body", "main", "article")
-        bad = bad or talk or hides or not root and (tag in REGIONS or given.get("role") in ROLES or bool(names & NAMES))
+        bad = bad or hides or not root and tag != "article" and (tag in REGIONS or given.get("role") in ROLES)
+        if talk or tag != "article" and names & NAMES:
+            named = (*named, len(self.talks))
+            self.talks.append(talk)
         if tag in SECTIONS:
             self.sections += 1
             section = self.sections
         self.links += tag == "a"
-        self.open.append((tag, bad, talk, silent or tag in SILENT, section, article))
+        self.open.append((tag, bad, named, silent or tag in SILENT, section, article))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in FOREIGN:
@@ -166,6 +199,19 @@ class _Blocks(HTMLParser):
         self.feed(html)
         self.close()
         self._end_block()
+        inside: dict[int, int] = {}
+        total = 0
+        for block in self.blocks:
+            if not block.bad and not any(self.talks[e] for e in block.named):
+                size = len(block.text) - block.linked
+                total += size
+                for element in block.named:
+                    inside[element] = inside.get(element, 0) + size
+        # A discussion may be longer than what it is about.
+        most = {} if any(block.article for block in self.blocks) else inside
+        wrong = {e for e, size in most.items() if 2 * size > total} | self.holds_main
+        for block in self.blocks:
+            block.bad = block.bad or any(e not in wrong for e in block.named)
         return self.blocks
 
 
@@ -180,6 +226,9 @@ def first_pass(block: Block) -> bool | None:
         return False
     if block.text.startswith("©"):
         return False
+    others = len(_OTHER_SCRIPTS.findall(block.text))
+    if others * 2 > len(block.text.replace(" ", "")):  # few characters say much in some of them
+        return True if others >= LONG // 2 and _SENTENCE.search(block.text) else None
     if len(block.text) < LONG:
         return None
     return True if block.article or stop_share(block.text) >= MIN_STOP_WORDS else None

@@ -194,6 +194,18 @@ def logistic_curve(margins: np.ndarray, labels: np.ndarray, weights: np.ndarray)
     return float(max(a, 1e-3)), float(b)
 
 
+def fitting_sample(training: DataFrame, fit_rows: int) -> DataFrame:
+    """``label``, ``place`` and ``text`` of the ``fit_rows`` different rows of each class that come first
+    by a hash. They are chosen by their hashes; only the texts of the chosen ones leave their tasks."""
+    place, key = F.xxhash64(F.col("doc_id").cast("string")), F.xxhash64("doc_id", "text")
+    keyed = training.select(F.col("label").cast("int").alias("label"), place.alias("place"), key.alias("key"), "text")
+    rows = keyed.select("label", "place", "key").distinct()
+    first = [rows.where(F.col("label") == c).orderBy("place", "key").limit(fit_rows) for c in (0, 1)]
+    # Two rows of numbers for each of ``fit_rows``: a proven bound.
+    chosen = F.broadcast(first[0].unionByName(first[1]).select("label", "key"))
+    return keyed.join(chosen, ["label", "key"]).dropDuplicates(["label", "key"]).select("label", "place", "text")
+
+
 def fit(training: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     """The model of ``training`` rows (``doc_id``, ``text``, ``label`` 0 or 1)."""
     none = Model(np.zeros(BUCKETS), np.zeros(BUCKETS), 0.0, 1.0, 0.0)
@@ -206,9 +218,7 @@ def fit(training: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
         return none
     share = (counts[:, :BUCKETS] + SMOOTH) / (texts[:, None] + 2 * SMOOTH)
     ratio = np.log(share[1] / share[0])
-    place = F.xxhash64(F.col("doc_id").cast("string"))
-    chosen = [training.where(F.col("label") == c).select("label", "text", place.alias("place")).orderBy("place").limit(fit_rows) for c in (0, 1)]
-    rows = fitting_rows(chosen[0].unionByName(chosen[1])).toArrow().sort_by([("place", "ascending"), ("label", "ascending")])
+    rows = fitting_rows(fitting_sample(training, fit_rows)).toArrow().sort_by([("place", "ascending"), ("label", "ascending")])
     label = rows.column("label").to_numpy()
     bucket = rows.column("buckets").combine_chunks()
     ends, flat = bucket.offsets.to_numpy(), bucket.values.to_numpy()

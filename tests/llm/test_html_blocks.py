@@ -52,3 +52,43 @@ def test_pages_of_the_table(spark):
     for r in got:
         inner = re.search(r"<article>(.*?)</article>", pages[r["page_id"]], re.S)[1]
         assert r["text"] == " ".join(html.unescape(re.sub(r"<[^>]*>", " ", inner)).split())
+
+
+WRAPPERS = [
+    '<body class="single-post comments-open">{}</body>', '<div class="site has-sidebar">{}</div>', '<div class="page with-header-image">{}</div>',
+    '<div class="no-comments"><main>{}</main></div>', '<div class="ad-free">{}</div>', '<div id="post-comment-count-3">{}</div>', "<fieldset>{}</fieldset>",
+    '<div class="comments"><main>{}</main></div>', '<body class="sidebar">{}</body>', '<div class="banner">{}</div>',
+]
+INSIDE = [f"<article><h1>Head</h1><p>{LONG}</p><p>Short end.</p></article>", f"<h1>Head</h1><p>{LONG}</p><p>Short end.</p>"]
+AROUND = (
+    f'<nav>Menu of the site and of all that is in it</nav><div class="cookie-notice"><p>{LONG}</p></div>',
+    f'<div id="comment-list"><p>{LONG}</p><article><p>{LONG}</p></article></div><div class="sidebar"><p>Also read this</p></div><footer>{LONG}</footer>',
+)
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+@pytest.mark.parametrize("inside", INSIDE)
+def test_a_name_on_a_wrapper_does_not_silence_the_page(wrapper, inside):
+    want = f"Head {LONG} Short end."
+    assert h.main_text(wrapper.format(inside)) == want
+    if "banner" in wrapper:  # a region by its name, but for the share of the text that it has
+        assert (want in h.main_text(wrapper.format(inside) + "<p>Some words</p>")) and h.main_text(f"<p>{LONG}</p>" * 3 + wrapper.format("<p>Buy!</p>")).count("Buy!") == 0
+    elif "<body" not in wrapper:
+        assert h.main_text(AROUND[0] + wrapper.format(inside + "<p></p>") + AROUND[1]) == want
+    else:
+        assert h.main_text(wrapper.format(AROUND[0] + inside + AROUND[1])) == want
+
+
+@pytest.mark.parametrize("text", [
+    "Это длинный текст статьи, и он должен быть достаточно длинным, чтобы правила могли решить, что с ним делать.",
+    "これは記事の本文であり、規則が判断できるように十分に長くなければならない。そうでなければ何も残らない。もう一つの文もここにある。",
+    "Questo è il testo dell'articolo e deve essere abbastanza lungo perché le regole possano decidere che cosa farne di più.",
+])
+def test_other_languages(text):
+    assert h.main_text(f"<nav>a b c</nav><div><p>{text}</p></div><div class=footer><p>{text}</p></div>") == text
+
+
+@pytest.mark.parametrize("name, is_region", [("comments", True), ("comment-list", True), ("side-bar", True), ("siteFooter", True), ("comments-open", False),
+                                             ("has-sidebar", False), ("no-comments", False), ("post-comment-count-3", False), ("content", False)])
+def test_names(name, is_region):
+    assert bool(h.called({"class": name}) & h.NAMES) == is_region

@@ -61,3 +61,44 @@ def test_odd_tables(spark, documents):
     got = nb_svm.classify(documents(rows), labels).collect()
     assert len(got) == 5 and all(r["score"] == 0.5 for r in got)  # one class only
     assert nb_svm.classify(documents([]), labels).count() == 0
+
+
+def test_ratios_and_dual_steps_by_brute_force(spark):
+    """Log-count ratios from sets of n-grams, and the optimum of the hinge loss by plain sub-gradients."""
+    rows = [(i, f"good words {'fine' if i % 2 else 'nice'} w{i}", 1) for i in range(8)] + [(10 + i, f"bad junk {'spam' if i % 2 else 'buy'} w{i}", 0) for i in range(6)]
+    training = spark.createDataFrame(rows, "doc_id bigint, text string, label int")
+    counted = {r["bucket"]: (r["n0"], r["n1"]) for r in nb_svm.class_counts(training).collect()}
+    plain = {}
+    for _, text, label in rows:
+        at, bucket = nb_svm.features([text])
+        for b in set(bucket.tolist()):
+            plain.setdefault(b, [0, 0])[label] += 1
+    assert {b: tuple(n) for b, n in plain.items()} == {b: n for b, n in counted.items() if b != nb_svm.BUCKETS}
+    vectors = [(np.array([0, 2]), np.array([1.0, 1.0])), (np.array([1, 2]), np.array([0.5, 1.0])), (np.array([0, 1, 2]), np.array([0.2, 0.9, 1.0])), (np.array([0, 2]), np.array([0.4, 1.0]))]
+    sign, cost = np.array([1.0, -1.0, -1.0, 1.0]), np.full(4, 1.0)
+    weight = nb_svm.dual_coordinate_descent(vectors, sign, cost, 3)
+    dense = np.zeros((4, 3))
+    for i, (at, value) in enumerate(vectors):
+        dense[i, at] = value
+
+    def loss(w):
+        return 0.5 * w @ w + (cost * np.maximum(0, 1 - sign * (dense @ w))).sum()
+
+    best = np.zeros(3)
+    for step in range(1, 60_001):
+        margin = sign * (dense @ best)
+        slope = (margin < 1).astype(float)
+        best = best - 0.3 / (step**0.6) * (best - (cost * sign * slope) @ dense)
+    assert loss(weight) <= loss(best) + 1e-2
+
+
+def test_the_sample_is_chosen_by_numbers(spark):
+    rows = [(i % 50, f"text {i % 50}", i % 2) for i in range(400)] + [(None, None, 1)]
+    training = spark.createDataFrame(rows, "doc_id bigint, text string, label int")
+    got = [(r["label"], r["text"]) for r in nb_svm.fitting_sample(training, 10).collect()]
+    assert len(got) == len(set(got)) == 20
+    everything = nb_svm.fitting_sample(training, 1000).collect()
+    assert len(everything) == 51
+    plan = nb_svm.fitting_sample(training, 10)._jdf.queryExecution().executedPlan().toString()
+    ordered = [line for line in plan.splitlines() if "TakeOrderedAndProject" in line]
+    assert ordered and not any("text" in line for line in ordered)
