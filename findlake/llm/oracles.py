@@ -92,8 +92,8 @@ base AS (
   FROM docs d LEFT JOIN repeats r USING (doc_id)),
 each AS (
   SELECT doc_id, source, md5(body) AS t, md5(x) AS line, len(w) AS n,
-    list_distinct(list_transform(range(0, len(w), least(4, (len(w) + 2) // 3)),
-      lambda i: md5(array_to_string(w[i + 1 : i + least(4, (len(w) + 2) // 3)], ' ')))) AS blocks
+    list_distinct(list_transform(range(0, len(w), greatest(least(4, (len(w) + 2) // 3), (len(w) + 9) // 10)),
+      lambda i: md5(array_to_string(w[i + 1 : i + greatest(least(4, (len(w) + 2) // 3), (len(w) + 9) // 10)], ' ')))) AS blocks
   FROM (SELECT doc_id, source, body, x, string_split(x, ' ') AS w
         FROM (SELECT doc_id, source, text AS body, trim(regexp_replace(lower(unnest(lines)), '[\x20\x09-\x0D]+', ' ', 'g')) AS x FROM docs))),
 different AS (SELECT DISTINCT source, t, line, n, blocks FROM each),

@@ -4,7 +4,7 @@ Line frequency: a line in its normal form that more different texts of a host ho
 shared, and a shared line is removed if that many *different documents* hold it. Copies are not different
 documents (they are left to the deduplication): exact ones are one text, and near ones are told by their
 other lines. A line that is not shared is a variant if a quarter or more of its blocks of four words (in
-lines under twelve words, of its thirds) stand in more texts than the limit, beside shared lines; else it is
+lines under twelve words, of its thirds; in lines over forty, of its tenths) stand in more texts than the limit, beside shared lines; else it is
 the text's own. A text whose own lines hold ``MIN_OWN_WORDS`` words counts as a different document, under
 the smallest hash of those blocks of its own lines that are not so frequent. It does not matter how
 little of the text that is, so hosts with hardly anything but boilerplate count too. A document that
@@ -30,6 +30,7 @@ MAX_DOCS_PER_LINE = 20
 # A document must keep this share of its words.
 MIN_KEPT_PERCENT = 30
 BLOCK_WORDS = 4
+MOST_BLOCKS = 10
 # A line is a variant if this share of its blocks is frequent.
 MIN_VARIANT_PERCENT = 25
 # Words that a text's own lines must hold if it counts as a different document.
@@ -93,7 +94,7 @@ def line_hash(line: Column) -> Column:
 def line_blocks(tokens: Column) -> Column:
     """Hashes of the different blocks of words, one after the other, of a line."""
     n = F.size(tokens)
-    step = F.least(F.ceil(n / 3).cast("int"), F.lit(BLOCK_WORDS))
+    step = F.greatest(F.least(F.ceil(n / 3), F.lit(BLOCK_WORDS)), F.ceil(n / MOST_BLOCKS)).cast("int")
     return F.array_distinct(F.transform(F.sequence(F.lit(1), n, step), lambda i: F.xxhash64(F.slice(tokens, i, step))))
 
 
@@ -145,14 +146,16 @@ def evidence(lines: DataFrame, hits: DataFrame, max_docs: int) -> DataFrame:
     chosen = F.min(F.struct("k", "doc_id")).alias("one")
     held = hits.groupBy("host", "t").agg(chosen, F.collect_set("line").alias("shared")).select("one.k", "one.doc_id", "shared")
     theirs = join_rows(lines.where("first"), held, "inner")
-    theirs = theirs.withColumn("is_shared", F.array_contains("shared", F.col("line")))
+    narrow = theirs.select("host", "t", F.xxhash64("line").alias("l"), "n", "blocks", F.array_contains("shared", F.col("line")).alias("is_shared"))
+    theirs = written(narrow, "lines-beside-shared")
     # Blocks of shared lines are frequent as they are; one row for each text and block of the other lines.
-    blocks = written(theirs.where("NOT is_shared").select("host", "t", "line", "n", F.explode("blocks").alias("block")), "blocks-beside-shared")
-    of_shared = hits.select("host", F.explode("blocks").alias("block")).distinct()
+    blocks = theirs.where("NOT is_shared").select("host", "t", "l", "n", F.explode("blocks").alias("block"))
+    of_shared = theirs.where("is_shared").select("host", "l", "blocks").dropDuplicates(["host", "l"])
+    of_shared = of_shared.select("host", F.explode("blocks").alias("block"))
     often = written(in_many_texts(blocks, "block", max_docs).unionByName(of_shared).distinct(), "frequent-blocks")
     met = of_host(blocks, often.withColumn("often", F.lit(True)), "block", how="left")
     is_often = F.col("often").isNotNull()
-    each = met.groupBy("host", "t", "line", "n").agg(
+    each = met.groupBy("host", "t", "l", "n").agg(
         F.count(F.lit(1)).alias("blocks"), F.count_if(is_often).alias("frequent"), F.min(F.when(~is_often, F.col("block"))).alias("block")
     )
     own = each.where(100 * F.col("frequent") < MIN_VARIANT_PERCENT * F.col("blocks"))
@@ -171,7 +174,7 @@ def removed_lines(documents: DataFrame, max_docs: int = MAX_DOCS_PER_LINE) -> Da
     """Key, hashes of the lines to remove and the words they hold, for documents that lose any."""
     lines = written(document_lines(documents), "document-lines")
     shared = written(in_many_texts(lines.where("first"), "line", max_docs), "shared-lines")
-    hits = written(of_host(lines.select("k", "doc_id", "host", "t", "i", "line", "n", "blocks"), shared, "line"), "shared-places")
+    hits = written(of_host(lines.select("k", "doc_id", "host", "t", "i", "line", "n"), shared, "line"), "shared-places")
     frequent = written(frequent_lines(lines, hits, max_docs), "frequent-lines")
     hit = of_host(hits, frequent, "line")
     places = hit.groupBy("k", "doc_id").agg(F.collect_set(F.struct("i", "line", "n")).alias("p"))

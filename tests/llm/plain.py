@@ -46,7 +46,7 @@ def quality(docs, max_docs=20):
 
     def blocks(line):
         w = line.split(" ")
-        step = min(4, -(-len(w) // 3))
+        step = max(min(4, -(-len(w) // 3)), -(-len(w) // 10))
         return {block_hash(w[i : i + step]) for i in range(0, len(w), step)}
 
     def block_hash(w):
