@@ -4,8 +4,9 @@ Prefix doubling gives every position a rank for its first bytes, and makes the r
 length from pairs of ranks, until a position's rank is unique or the length reaches the threshold.
 Two things differ here from sorting all positions at every length:
 
-* Ranks are names (hashes of pairs), which a task computes for any length from the text alone; only
-  the question whether a name is unique needs the cluster.
+* Ranks are names (hashes of bytes), which a task computes for any length from the text alone; only
+  the question whether a name is unique needs the cluster. A shared core, by a rolling name, only
+  keeps a cell in; repeated are cells whose spans agree in 128 bits of XXH3.
 * Of all positions only one per cell takes part. A cell is a range of window starts that share an
   anchor chosen by content. Its core, common to all its windows, has the short length; its span,
   which covers them all, is past the threshold. A cell whose core is unique drops out. One whose
@@ -153,7 +154,8 @@ def decided(found: DataFrame, last_round: bool) -> tuple[DataFrame, DataFrame |
         return done, None
     undecided = F.col("open") & (F.col("n") == 1)
     cores = spans.groupBy("core").agg(F.count("*").alias("spans"), F.max(undecided).alias("undecided")).where("spans > 1 and undecided")
-    left = spans.join(cores.select("core"), "core", "left_semi").select("k", "place", undecided.alias("open"))
+    cores = written(cores.select("core"), "open-cores")  # one row a core: a core of many spans can be split by the join
+    left = spans.join(cores, "core", "left_semi").select("k", "place", undecided.alias("open"))
     return done, written(left, "cells")
 
 

@@ -1,7 +1,11 @@
-"""Names of substrings: equal substrings have equal names, and names of any length cost one step.
+"""Names of substrings: equal substrings have equal names.
 
-The name of a substring is a polynomial in random byte values, taken from running sums over the
-text. Each window of a given length has an anchor: the place of its smallest short name, the first
+There are two kinds. Rolling names, of any length in one step, are polynomials in random byte values,
+taken from running sums over the text. Different substrings may share one (regular texts of two
+bytes can be made so), hence they only choose places and put cells aside that cannot be repeated.
+What counts as repeated is decided by 128-bit XXH3 of the bytes themselves.
+
+Each window of a given length has an anchor: the place of its smallest short name, the first
 if there are several. It is chosen by content alone, so equal windows of any two texts have it in
 the same place. Windows in a row with the same anchor are cut into cells by their distance from it.
 """
@@ -11,11 +15,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import xxhash
 
 # Length of the short names that choose positions.
 SHORT = 16
 BLOCK = 1 << 20
-_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
 
@@ -24,48 +29,43 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _bytes_table(lane: int) -> np.ndarray:
-    return _mixed(_mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASES[lane])))
-
+_TABLE = _mixed(_mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE)))
+_POWERS: list[np.ndarray] = []
 
-_TABLES = [_bytes_table(lane) for lane in range(2)]
-_POWERS: list[tuple[np.ndarray, np.ndarray]] = []
 
-
-def _powers(size: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Powers of each base and of its inverse."""
-    if not _POWERS or len(_POWERS[0][0]) < size:
+def _powers(size: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse."""
+    if not _POWERS or len(_POWERS[0]) < size:
         _POWERS.clear()
-        size = max(size, 1 << 16)
-        for base in _BASES:
-            pair = []
-            for b in (base, pow(base, -1, 1 << 64)):
-                steps = np.full(size, b, np.uint64)
-                steps[0] = 1
-                pair.append(np.multiply.accumulate(steps))
-            _POWERS.append(tuple(pair))
+        for b in (_BASE, pow(_BASE, -1, 1 << 64)):
+            steps = np.full(max(size, 1 << 16), b, np.uint64)
+            steps[0] = 1
+            _POWERS.append(np.multiply.accumulate(steps))
     return _POWERS
 
 
 class Names:
-    """Names of the substrings of ``data`` (bytes), in two independent lanes."""
+    """Names of the substrings of ``data`` (bytes)."""
 
-    def __init__(self, data: np.ndarray, lanes: int = 2):
+    def __init__(self, data: np.ndarray):
+        self.data = data
         self.powers = _powers(len(data) + 1)
-        self.sums = []
-        for lane in range(lanes):
-            sums = np.zeros(len(data) + 1, np.uint64)
-            np.cumsum(_TABLES[lane][data] * self.powers[lane][0][: len(data)], out=sums[1:])
-            self.sums.append(sums)
+        self.sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_TABLE[data] * self.powers[0][: len(data)], out=self.sums[1:])
 
-    def of(self, start: np.ndarray, end: np.ndarray, lane: int) -> np.ndarray:
-        sums = self.sums[lane]
-        return _mixed((sums[end] - sums[start]) * self.powers[lane][1][start])
+    def rolling(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return _mixed((self.sums[end] - self.sums[start]) * self.powers[1][start])
 
     def short(self) -> np.ndarray:
-        sums, inverse = self.sums[0], self.powers[0][1]
-        n = len(sums) - SHORT
-        return _mixed((sums[SHORT:] - sums[:n]) * inverse[:n])
+        n = len(self.sums) - SHORT
+        return _mixed((self.sums[SHORT:] - self.sums[:n]) * self.powers[1][:n])
+
+    def exact(self, start: np.ndarray, end: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Both halves of XXH3 of the bytes, with a seed for each substring."""
+        view, digest = memoryview(self.data), xxhash.xxh3_128_digest
+        each = zip(start.tolist(), end.tolist(), seed.tolist())
+        halves = np.frombuffer(b"".join([digest(view[s:e], r) for s, e, r in each]), np.uint64)
+        return halves[::2], halves[1::2]
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -110,9 +110,8 @@ def cells(anchor: np.ndarray, first: np.ndarray, last: np.ndarray, length: int,
 
 
 def cell_names(names: Names, size: int, low: np.ndarray, high: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(core, two lanes of the span): the core is common to all windows of the cell, the span covers
+    """(core, two halves of the span): the core is common to all windows of the cell, the span covers
     them all as far as the text goes; how far it goes is part of its name."""
     start, end = np.maximum(low, 0), np.minimum(high + length, size)
-    ends = ((start - low) * 4096 + (high + length - end)).astype(np.uint64) * np.uint64(0xFF51AFD7ED558CCD)
-    core = names.of(high, low + length, 0)
-    return core, names.of(start, end, 0) ^ ends, names.of(start, end, 1) ^ ends
+    core = names.rolling(high, low + length)
+    return core, *names.exact(start, end, (start - low) * 4096 + (high + length - end))

@@ -55,6 +55,20 @@ def test_long_texts_are_taken_in_blocks(monkeypatch):
     assert all(x[2] + 1 == y[1] for x, y in zip(whole, whole[1:]))
 
 
+def test_different_bytes_with_one_rolling_name_are_not_repeats(spark, documents):
+    """Thue-Morse strings of two bytes and their opposites cancel out in polynomials modulo 2^64."""
+    bits = [bin(i).count("1") % 2 for i in range(1 << 12)]
+    one, other = ("".join("|D"[b ^ flip] for b in bits) for flip in (0, 1))
+    both = [substring_names.Names(np.frombuffer(t.encode(), np.uint8)) for t in (one, other)]
+    whole, seed = (np.array([0]), np.array([len(one)])), np.array([0])
+    assert both[0].rolling(*whole).tolist() == both[1].rolling(*whole).tolist()
+    assert all(a.tolist() != b.tolist() for a, b in zip(both[0].exact(*whole, seed), both[1].exact(*whole, seed)))
+    found = [one[:512], other[:512], one[:512] + "#" + other[:420], "x" + one[100:512], other]
+    want = plain.without_repeats(found)
+    got = substring_dedup.without_repeats(documents(list(enumerate(found)))).collect()
+    assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"]) for r in got} == {i: w[:3] for i, w in enumerate(want)}
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.integers(1, 4), max_size=40), st.lists(st.integers(1, 4), max_size=25))
 def test_tiles_equal_plain(doc, item):
