@@ -1136,6 +1136,17 @@ add(
     "SELECT scan_id, key, CASE WHEN b1.key IS NULL THEN 'new' ELSE 'same' END AS state FROM n1 LEFT JOIN b1 USING (scan_id, key) "
     "UNION ALL SELECT scan_id, key, 'fixed' FROM b1 ANTI JOIN n1 USING (scan_id, key)",
 )
+add(
+    "run_changes",
+    f"""{FINDINGS}, keys AS (SELECT DISTINCT scan_id, key FROM f),
+  times AS (SELECT user_id % 10 AS repository, 'scan-' || user_id AS scan_id, min(ts) AS scan_ts FROM events GROUP BY user_id),
+  runs AS (SELECT scan_id, lag(scan_id) OVER (PARTITION BY repository ORDER BY scan_ts, scan_id) AS previous FROM times),
+  later AS (SELECT scan_id, previous, key FROM keys JOIN runs USING (scan_id)),
+  earlier AS (SELECT runs.scan_id, runs.previous, keys.key FROM runs JOIN keys ON keys.scan_id = runs.previous)""",
+    "SELECT scan_id, l.previous, key, CASE WHEN e.key IS NULL THEN 'new' ELSE 'same' END AS state "
+    "FROM later l LEFT JOIN earlier e USING (scan_id, key) "
+    "UNION ALL SELECT scan_id, previous, key, 'fixed' FROM earlier ANTI JOIN later USING (scan_id, key)",
+)
 add(
     "suppression",
     f"{DEDUP}, {BEFORE}",

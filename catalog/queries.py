@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -643,6 +644,21 @@ def baseline_diff(spark, sf):
     return history.baseline_diff(inputs.findings(spark, sf), inputs.baseline(spark, sf))
 
 
+@query
+def run_changes(spark, sf):
+    """Each user's events are a run of one of ten repositories. The runs are kept in two appends, and
+    every run is compared with the one before it."""
+    events = inputs.table(spark, sf, "events")
+    users = events.groupBy("user_id").agg(F.min(F.col("ts").cast("timestamp")).alias("scan_ts"))
+    scan, repository = F.expr("concat('scan-', user_id)"), F.expr("concat('repo-', user_id % 10)")
+    runs = users.select(scan.alias("scan_id"), repository.alias("repository"), "scan_ts")
+    name, folder = f"findlake_history_{uuid.uuid4().hex}", shared_dir(spark, "history")
+    odd = F.expr("cast(substr(scan_id, 6) as bigint) % 2 = 1")
+    for part in (odd, ~odd):  # together all of them
+        history.append_runs(inputs.findings(spark, sf).where(part), runs.where(part), name, folder)
+    return history.run_changes(spark, name)
+
+
 @query
 def suppression(spark, sf):
     accepted = aggregate.with_key(inputs.baseline(spark, sf).where("rule_id like 'R%'"))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from findlake.model import TOOLS
 from findlake.operators.aggregate import deduplicate, with_key
-from findlake.operators.ordering import numbered
+from findlake.operators.ordering import hot_join, numbered
+from findlake.session import materialize, shuffle_partitions
 from findlake.sources.dims import dimension
 
 
@@ -57,6 +58,75 @@ def trend(scan_counts: DataFrame) -> DataFrame:
     return met.where("scan_id is not null").withColumn("change", F.col("findings") - F.col("previous"))
 
 
+def append_runs(findings: DataFrame, runs: DataFrame, name: str, folder: str | None = None) -> None:
+    """Keep the finding keys of finished scans for later comparisons.
+
+    ``runs`` has (scan_id, repository, scan_ts), one row per scan; a scan without findings is a run
+    too. ``<name>_keys`` holds each key of a scan once, bucketed by (scan_id, key), so no scan, however
+    large, is one bucket; ``<name>_runs`` holds one row per run with its number of keys. Runs are
+    written last, and what is written twice counts once: an append that failed is simply repeated.
+    ``folder`` is where the tables lie, if not in the warehouse.
+    """
+    spark = findings.sparkSession
+    keys = materialize(with_key(findings).select("scan_id", "key").distinct(), "run-keys")
+    buckets = _buckets(spark, f"{name}_keys")
+    counts = keys.groupBy("scan_id").agg(F.count(F.lit(1)).alias("findings"))
+    counted = runs.select("scan_id", "repository", "scan_ts").join(counts, "scan_id", "left").fillna(0, ["findings"])
+    # One file a bucket: the rows are dealt as the buckets are.
+    placed = keys.repartition(buckets, "scan_id", "key").write.bucketBy(buckets, "scan_id", "key").sortBy("scan_id", "key")
+    for writer, table in ((placed, f"{name}_keys"), (counted.write, f"{name}_runs")):
+        if folder:
+            writer = writer.option("path", f"{folder}/{table}")
+        writer.format("parquet").mode("append").saveAsTable(table)
+
+
+def _buckets(spark: SparkSession, table: str) -> int:
+    """Buckets of a table, or those a new one should have: as many as a shuffle has partitions."""
+    if not spark.catalog.tableExists(table):
+        return shuffle_partitions(spark)
+    described = spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Num Buckets'")
+    return int(described.first()["data_type"])
+
+
+def stored_runs(spark: SparkSession, name: str) -> DataFrame:
+    """(scan_id, repository, scan_ts, findings): the runs kept, which is what ``trend`` takes. No
+    finding is read for it. Of a run that was appended twice the later time counts."""
+    last = F.max(F.struct("scan_ts", "repository", "findings")).alias("_last")
+    return spark.table(f"{name}_runs").groupBy("scan_id").agg(last).select("scan_id", "_last.repository", "_last.scan_ts", "_last.findings")
+
+
+def run_changes(spark: SparkSession, name: str, wanted: DataFrame | None = None) -> DataFrame:
+    """(scan_id, previous, key, state): the keys of runs that are new, same or fixed against the run
+    before it of the same repository; all runs kept, or those whose scan_id is in ``wanted``.
+
+    A repository's first run, and a run without a repository, have only new keys. A run is the
+    predecessor of one run at most, so its stored keys are compared once and stay in their buckets;
+    only the later run's keys are shuffled, to where the earlier ones lie. Runs meet their keys by a
+    salted join, a broadcast as long as the table of runs is small.
+    """
+    timed = stored_runs(spark, name).withColumn("_micros", F.unix_micros("scan_ts"))
+    ordered = numbered(timed, ["repository"], "_micros", "_run", ties=["scan_id"])
+    earlier = ordered.select("repository", (F.col("_run") + 1).alias("_run"), F.col("scan_id").alias("previous"))
+    pairs = ordered.join(earlier, ["repository", "_run"], "left").select("scan_id", "previous")
+    if wanted is not None:
+        pairs = pairs.join(wanted.select("scan_id").distinct(), "scan_id", "left_semi")
+    pairs = materialize(pairs, "run-pairs")
+    keys = spark.table(f"{name}_keys").distinct()  # within buckets
+    now = hot_join(keys, pairs, ["scan_id"], "inner", spread_by=["key"])
+    followed = pairs.where("previous IS NOT NULL").select(F.col("previous").alias("scan_id"), F.col("scan_id").alias("_later"))
+    before = hot_join(keys, followed, ["scan_id"], "inner", spread_by=["key"]).select(
+        F.col("scan_id").alias("_before"), F.col("key").alias("_key"), "_later"
+    )
+    same = (F.col("previous") == F.col("_before")) & (F.col("key") == F.col("_key"))
+    state = F.when(F.col("_before").isNull(), "new").when(F.col("scan_id").isNull(), "fixed").otherwise("same")
+    return now.join(before, same, "full").select(
+        F.coalesce("scan_id", "_later").alias("scan_id"),
+        F.coalesce("previous", "_before").alias("previous"),
+        F.coalesce("key", "_key").alias("key"),
+        state.alias("state"),
+    )
+
+
 def by_layer(findings: DataFrame) -> DataFrame:
     """Findings per scan and layer (lint, security, dependency, secrets)."""
     layers = sorted({(t.finding_tool, t.layer) for t in TOOLS})
