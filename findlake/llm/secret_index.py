@@ -8,7 +8,8 @@ requires no trigram (a run of hex digits) is matched against every text.
 
 Defined results: a null or empty text has no spans. Positions are code points, the end exclusive;
 spans are ordered by start, then by the order of the rules, then by end. Matches of one rule never
-overlap, those of different rules may. Repeated rows get equal results each; a null id stays null.
+overlap, those of different rules may. A very long text is matched whole, and placing its matches takes
+time that follows their number. Repeated rows get equal results each; a null id stays null.
 No rows give no rows. Columns other than id and text are not read.
 """
 

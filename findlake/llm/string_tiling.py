@@ -11,7 +11,8 @@ documents are tiled where they are read. For a larger one, windows of documents
 by a shuffle, and only the pairs found travel with their texts. Both ways give the same rows.
 
 Defined results: tokens are runs of letters, digits and underscores, in lower case. A null or empty
-text and an item of fewer than five tokens match nothing. Rows with the same ``item_id`` are items of
+text and an item of fewer than five tokens match nothing. A very long text is one value: its tokens are
+held by the task that tiles it, 8 bytes each, and no part of it is left out. Rows with the same ``item_id`` are items of
 their own; for each ``doc_id`` and ``item_id`` the best coverage is returned, so repeated rows change
 nothing. A null id is an id. Empty tables give no rows. Other columns are not read.
 """

@@ -16,6 +16,7 @@ Two things differ here from sorting all positions at every length:
 Cells that share a span are represented by one of them in the next round, as a witness.
 
 Defined results: a null or empty text has no bytes. Texts shorter than the length keep everything.
+A very long text is named in blocks of 1 MB that overlap, so repeats across their edges are found.
 Repeated rows are texts of their own: each is repeated in the other, so both lose what is long
 enough. A null ``doc_id`` is an id like any other. No rows give no rows. Columns other than id and
 text are not read.

@@ -5,7 +5,7 @@ block. A URL whose four bits are not all set is certainly not listed and needs n
 the others are joined with the list itself, which removes the false positives.
 
 Defined results: a null URL or one without ``://`` has an empty host and path, fits no rule and is
-never listed. Repeated URLs get a row each. An empty list blocks nothing; an empty table gives no
+never listed. URLs are compared whole, whatever their length. Repeated URLs get a row each. An empty list blocks nothing; an empty table gives no
 rows. Columns of the input other than the id and the URL are not read, whatever they are called.
 """
 

@@ -39,6 +39,13 @@ def test_spans_equal_plain_regex(spark, documents):
         assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(x.startswith(k) for x in base) for k in ("assign", "access", "hex")]
 
 
+def test_very_long_text_with_many_matches(spark, documents):
+    text = "\n".join(hashlib.md5(str(i).encode()).hexdigest() + (" é token=abcdefgh" if i % 3 == 0 else "") for i in range(20_000))
+    row = s.digest(s.scan(documents([(1, text)]), RULES), RULES, 3).first()
+    assert row["spans"] == plain_spans(text)
+    assert row["n_hex"] == 20_000 and row["n_assign"] == 6_667
+
+
 def test_empty_table(spark, documents):
     assert s.scan(documents([]), RULES).count() == 0
 

@@ -37,6 +37,14 @@ def test_list_is_exact(spark):
     assert all((r["verdict"] == "block") == (r["page_id"] % 1000 < 500) == r["listed"] for r in rows)
 
 
+def test_very_long_urls(spark):
+    tail = "/" + "é/p" * 60_000 + "?" + "&".join(f"k{i}={i}" for i in range(5_000))
+    asked = ["http://a.net" + tail, "http://a.net" + tail + "1", "http://" + "h." * 50_000 + "org/x"]
+    rows = url_filter.judge(pages(spark, asked), pages(spark, ["https://A.net" + tail + "#f"]).select("url"), URL_RULES).collect()
+    got = {r["page_id"]: (len(r["host"]), len(r["path"]), r["rule"], r["verdict"]) for r in rows}
+    assert got == {0: (5, 180_001, None, "block"), 1: (5, 180_001, None, "allow"), 2: (100_003, 2, "org/", "allow")}
+
+
 @pytest.mark.parametrize("limit", [0, 1 << 30])
 def test_filter_loses_nothing_and_cuts(spark, limit):
     listed = spark.range(2000).select(F.concat(F.lit("u"), "id").alias("listed_as"))
