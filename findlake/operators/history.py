@@ -65,6 +65,7 @@ def append_runs(findings: DataFrame, runs: DataFrame, name: str, folder: str | N
     too. ``<name>_keys`` holds each key of a scan once, bucketed by (scan_id, key), so no scan, however
     large, is one bucket; ``<name>_runs`` holds one row per run with its number of keys. Runs are
     written last, and what is written twice counts once: an append that failed is simply repeated.
+    Findings without a scan belong to no run, nor do those of a scan that ``runs`` does not list.
     ``folder`` is where the tables lie, if not in the warehouse.
     """
     spark = findings.sparkSession

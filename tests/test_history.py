@@ -71,6 +71,13 @@ def test_nothing_kept(spark, findings, kept):
     assert changes(spark, name) == []
 
 
+def test_findings_of_no_run_are_not_shown(spark, findings, kept):
+    append, name = kept
+    append(findings(*of("a", "A"), *of(None, "B"), *of("stray", "C")), ("a", "r", 1), ("b", "r", 2))
+    assert changes(spark, name) == [("a", "", "A", "new"), ("b", "a", "A", "fixed")]
+    assert changes(spark, name, spark.createDataFrame([], "scan_id string")) == []
+
+
 def test_later_appends_keep_the_buckets(spark, findings, kept):
     append, name = kept
     append(findings(*of("a", "A")), ("a", "r", 1))
