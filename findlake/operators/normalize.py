@@ -4,12 +4,14 @@ A normaliser takes the ``raw_reports`` rows of one tool and returns findings. Al
 two steps: the report's list of results is exploded as raw JSON texts, which become ``metadata``
 unchanged, and each text is then read with an explicit schema. So one odd result cannot spoil
 its neighbours. Missing keys and JSON nulls both take the default.
+
+A report is parsed once, which also tells whether it is one JSON value and nothing else (see ``Form``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from typing import Any
+from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -82,15 +84,16 @@ STRICT_JSON = {"allowSingleQuotes": "false"}
 BLANKS = " \t\r\n\f\x0b"
 
 
-def well_formed(text: Column) -> Column:
-    """Exactly one JSON value: ``from_json`` alone would accept text after the value."""
-    return F.coalesce(F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1, F.lit(False))
-
-
 def parse(text: Column | str, ddl: str) -> Column:
     return F.from_json(text, ddl, STRICT_JSON)
 
 
+def well_formed(text: Column) -> Column:
+    """Exactly one JSON value: ``from_json`` alone would accept text after the value. A second value is
+    put behind it, so text that closes the list early is seen too."""
+    return F.coalesce(F.size(parse(F.concat(F.lit("["), text, F.lit(",0]")), "array<string>")) == 2, F.lit(False))
+
+
 def default(value: Column | str, text: str) -> Column:
     return F.coalesce(F.col(value) if isinstance(value, str) else value, F.lit(text))
 
@@ -109,33 +112,71 @@ def json_object(plain: Mapping[str, Column], raw: Mapping[str, Column] | None =
     return F.concat(F.substr(text, F.lit(1), F.length(text) - 1), *tail, F.lit("}"))
 
 
-def exploded(raw: DataFrame, entries: Column, *names: str) -> DataFrame:
+class Form(NamedTuple):
+    """How a tool's reports are read: ``text`` is a JSON list of the report and, behind it, a mark; ``ddl``
+    its type; ``entries`` the results in ``_doc``, which is the report as read. A report that breaks
+    off, goes on after its value or closes the list early has no mark in the second and last place."""
+
+    text: Column
+    ddl: str
+    marked: Column  # over ``_mark``, what stands in the mark's place
+    entries: Column
+
+
+MARK = "findlake_whole"
+
+
+def in_object(ddl: str, entries: Callable[[Column], Column]) -> Form:
+    """The report is an object with the fields of ``ddl``."""
+    text = F.concat(F.lit("["), "stdout", F.lit(f',{{"{MARK}":true}}]'))
+    return Form(text, f"array<struct<{ddl}, {MARK} boolean>>", F.col(f"_mark.{MARK}"), entries(F.col("_doc")))
+
+
+def top_list(entries: Callable[[Column], Column] = lambda doc: doc) -> Form:
+    """The report is a list."""
+    text = F.concat(F.lit("["), "stdout", F.lit(f',["{MARK}"]]'))
+    return Form(text, "array<array<string>>", F.get("_mark", F.lit(0)) == MARK, entries(F.col("_doc")))
+
+
+def _is_object() -> Column:
+    return F.btrim(F.col("stdout"), F.lit(BLANKS)).startswith("{")
+
+
+def top_list_or_object(entries: Callable[[Column], Column]) -> Form:
+    """The report is a list, or the one object of a list of one."""
+    wrapped = F.concat(F.lit("[["), "stdout", F.lit(f'],["{MARK}","one"]]'))
+    plain = top_list(entries)
+    one = (F.size("_mark") == 1) | (F.size("_doc") == 1)
+    return plain._replace(text=F.when(_is_object(), wrapped).otherwise(plain.text), marked=plain.marked & one)
+
+
+def exploded(raw: DataFrame, form: Form, *names: str) -> DataFrame:
     """One row per entry of a well-formed report, with the report's number and target, and any
-    column of ``raw`` that starts with an underscore."""
-    return raw.where(well_formed(F.col("stdout"))).select(
-        "scan_id",
-        F.col("seq").alias("_report"),
-        F.col("target").alias("_target"),
-        *[c for c in raw.columns if c.startswith("_")],
-        F.posexplode(entries).alias("_pos", *names),
+    column of ``raw`` that starts with an underscore. The generator keeps it to one parse a report."""
+    report = ["scan_id", "_report", "_target", *[c for c in raw.columns if c.startswith("_")]]
+    opened = raw.withColumns({"_report": F.col("seq"), "_target": F.col("target")}).select(
+        *report, F.explode(F.array(parse(form.text, form.ddl))).alias("_both")
     )
+    opened = opened.where(F.size("_both") == 2).select(
+        *report, F.get("_both", F.lit(0)).alias("_doc"), F.get("_both", F.lit(1)).alias("_mark")
+    )
+    return opened.where(form.marked).select(*report, F.posexplode(form.entries).alias("_pos", *names))
 
 
-def results(raw: DataFrame, listed: Column) -> DataFrame:
+def results(raw: DataFrame, form: Form) -> DataFrame:
     """One row per listed object: its report, position and JSON text."""
-    return exploded(raw, listed, "_raw").where(F.col("_raw").startswith("{"))
+    return exploded(raw, form, "_raw").where(F.col("_raw").startswith("{"))
 
 
-def child_results(raw: DataFrame, children: Column) -> DataFrame:
+def child_results(raw: DataFrame, form: Form) -> DataFrame:
     """The same for children that carry fields of their parent (see ``children_of``)."""
-    return exploded(raw, children, "_child").withColumn("_raw", F.col("_child.raw")).where(
+    return exploded(raw, form, "_child").withColumn("_raw", F.col("_child.raw")).where(
         F.col("_raw").startswith("{")
     )
 
 
-def parents(key: str, ddl: str) -> Column:
-    """The objects listed under ``key``, each read by itself: an odd one hides no other."""
-    listed = parse("stdout", f"{key} array<string>")[key]
+def each_object(listed: Column, ddl: str) -> Column:
+    """The objects of a list of JSON texts, each read by itself: an odd one hides no other."""
     return F.transform(listed, lambda text: F.when(text.startswith("{"), parse(text, ddl)))
 
 
@@ -155,15 +196,6 @@ def read(rows: DataFrame, ddl: str, text: str = "_raw") -> DataFrame:
     return rows.select("*", F.inline(F.array(parse(text, ddl))))
 
 
-def top_list() -> Column:
-    return parse("stdout", "array<string>")
-
-
-def top_list_or_object() -> Column:
-    is_object = F.btrim(F.col("stdout"), F.lit(BLANKS)).startswith("{")
-    return F.when(is_object, F.array("stdout")).otherwise(top_list())
-
-
 def finding_seq(rank: int, report: Column, position: Column) -> Column:
     """Total order of findings within a scan: tool, report, position. Null where a number does not
     fit; the flow leaves such reports out and lists them (see ``numbered_well``)."""
@@ -222,8 +254,8 @@ def terraform_fmt(raw: DataFrame) -> DataFrame:
 
 def terraform_validate(raw: DataFrame) -> DataFrame:
     fixed = FIXED["terraform-validate"]
-    doc = parse("stdout", "valid boolean, diagnostics array<string>")
-    rows = results(raw.where("return_code <> 0"), F.when(~doc.valid, doc.diagnostics))
+    form = in_object("valid boolean, diagnostics array<string>", lambda doc: F.when(~doc.valid, doc.diagnostics))
+    rows = results(raw.where("return_code <> 0"), form)
     rows = read(rows, "severity string, summary string, range struct<filename: string, start: struct<line: int>>")
     return findings_of(
         rows,
@@ -240,7 +272,7 @@ def terraform_validate(raw: DataFrame) -> DataFrame:
 
 def tflint(raw: DataFrame) -> DataFrame:
     fixed = FIXED["tflint"]
-    rows = results(raw, parse("stdout", "issues array<string>").issues)
+    rows = results(raw, in_object("issues array<string>", lambda doc: doc.issues))
     rows = read(
         rows,
         "rule struct<name: string, severity: string>, message string, "
@@ -261,7 +293,7 @@ def tflint(raw: DataFrame) -> DataFrame:
 
 def tfsec(raw: DataFrame) -> DataFrame:
     fixed = FIXED["tfsec"]
-    rows = results(raw, parse("stdout", "results array<string>").results)
+    rows = results(raw, in_object("results array<string>", lambda doc: doc.results))
     rows = read(
         rows,
         "severity string, rule_id string, rule_description string, description string, "
@@ -289,8 +321,8 @@ CHECKOV_FIELDS = (
 
 
 def _checkov(raw: DataFrame, tool: str, terraform: bool) -> DataFrame:
-    doc = parse("stdout", "results struct<failed_checks: array<string>>")
-    rows = read(results(raw, doc.results.failed_checks), CHECKOV_FIELDS)
+    form = in_object("results struct<failed_checks: array<string>>", lambda doc: doc.results.failed_checks)
+    rows = read(results(raw, form), CHECKOV_FIELDS)
     return findings_of(
         rows,
         tool,
@@ -312,8 +344,12 @@ def checkov(raw: DataFrame) -> DataFrame:
 
 def trivy(raw: DataFrame) -> DataFrame:
     fixed = FIXED["trivy"]
+    target_ddl = "Target string, Misconfigurations array<string>"
+    form = in_object(
+        "Results array<string>", lambda doc: children_of(each_object(doc.Results, target_ddl), "Misconfigurations", "Target")
+    )
     rows = read(
-        child_results(raw, children_of(parents("Results", "Target string, Misconfigurations array<string>"), "Misconfigurations", "Target")),
+        child_results(raw, form),
         "ID string, Severity string, Title string, Description string, Resolution string, "
         "CauseMetadata struct<Resource: string>",
     )
@@ -357,16 +393,16 @@ def cfn_lint(raw: DataFrame) -> DataFrame:
 def cfn_nag(raw: DataFrame) -> DataFrame:
     fixed = FIXED["cfn-nag"]
     file_ddl = "filename string, file_results struct<violations: array<string>>"
-    files = F.transform(
-        top_list(),
-        lambda text: F.when(text.startswith("{"), parse(text, file_ddl)),
-    )
-    flat = F.transform(
-        F.array_compact(files),
-        lambda f: F.struct(f.filename.alias("filename"), f.file_results.violations.alias("violations")),
-    )
+
+    def violations(doc: Column) -> Column:
+        flat = F.transform(
+            F.array_compact(each_object(doc, file_ddl)),
+            lambda f: F.struct(f.filename.alias("filename"), f.file_results.violations.alias("violations")),
+        )
+        return children_of(flat, "violations", "filename")
+
     rows = read(
-        child_results(raw, children_of(flat, "violations", "filename")),
+        child_results(raw, top_list(violations)),
         "id string, type string, message string, line_numbers array<int>, logical_resource_ids array<string>",
     )
     return findings_of(
@@ -393,7 +429,7 @@ def checkov_cfn(raw: DataFrame) -> DataFrame:
 def bandit(raw: DataFrame, scan_root: str = "/repo") -> DataFrame:
     fixed = FIXED["bandit"]
     rows = read(
-        results(raw, parse("stdout", "results array<string>").results),
+        results(raw, in_object("results array<string>", lambda doc: doc.results)),
         "test_id string, test_name string, issue_text string, issue_severity string, issue_confidence string, "
         "filename string, line_number int, code string, cwe string",
     )
@@ -419,13 +455,18 @@ def bandit(raw: DataFrame, scan_root: str = "/repo") -> DataFrame:
 def safety(raw: DataFrame) -> DataFrame:
     fixed = FIXED["safety"]
     missing = F.lit(fixed["missing"])
-    # A list is read as the object that it stands for, so a report is read once.
-    is_object = F.btrim(F.col("stdout"), F.lit(BLANKS)).startswith("{")
-    whole = F.when(is_object, F.col("stdout")).otherwise(F.concat(F.lit('{"vulnerabilities":'), "stdout", F.lit("}")))
-    doc = parse(whole, "vulnerabilities array<string>, scanned_packages struct<vulnerabilities: array<string>>")
-    listed = F.get(F.transform(F.array(doc), lambda d: F.coalesce(d.vulnerabilities, d.scanned_packages.vulnerabilities)), F.lit(0))
+    # A list is read as a field of an object, with a mark of its own, so a report is read once.
+    is_list = ~F.col(f"_mark.{MARK}")
+    form = in_object(
+        "vulnerabilities array<string>, scanned_packages struct<vulnerabilities: array<string>>, listed array<array<string>>",
+        lambda doc: F.when(
+            is_list, F.when((F.size(doc.listed) == 2) & (doc.listed[1] == F.array(F.lit(MARK))), doc.listed[0])
+        ).otherwise(F.coalesce(doc.vulnerabilities, doc.scanned_packages.vulnerabilities)),
+    )
+    as_field = F.concat(F.lit('[{"listed":['), "stdout", F.lit(f',["{MARK}"]]}},{{"{MARK}":false}}]'))
+    form = form._replace(text=F.when(_is_object(), form.text).otherwise(as_field), marked=F.col(f"_mark.{MARK}").isNotNull())
     rows = read(
-        results(raw, listed),
+        results(raw, form),
         "cve string, vulnerability_id string, package string, package_name string, installed_version string, "
         "analyzed_version string, affected_versions string, vulnerable_spec string, advisory string, "
         "description string",
@@ -492,7 +533,7 @@ def pylint(raw: DataFrame, scan_root: str = "/repo") -> DataFrame:
 def npm_audit(raw: DataFrame) -> DataFrame:
     fixed = FIXED["npm-audit"]
     no_fix, update, latest = fixed["remediation"]
-    by_name = parse("stdout", "vulnerabilities map<string,string>").vulnerabilities
+    by_name = in_object("vulnerabilities map<string,string>", lambda doc: doc.vulnerabilities)
     rows = exploded(raw, by_name, "_name", "_raw").where(F.col("_raw").startswith("{"))
     rows = read(rows, "severity string, via string, fixAvailable string")
     via, fix = F.col("via"), F.col("fixAvailable")
@@ -519,9 +560,9 @@ def npm_audit(raw: DataFrame) -> DataFrame:
 def _snyk(raw: DataFrame, tool: str) -> DataFrame:
     fixed = FIXED["snyk-iac"]
     file_ddl = "targetFile string, infrastructureAsCodeIssues array<string>"
-    files = F.transform(top_list_or_object(), lambda text: F.when(text.startswith("{"), parse(text, file_ddl)))
+    form = top_list_or_object(lambda doc: children_of(each_object(doc, file_ddl), "infrastructureAsCodeIssues", "targetFile"))
     rows = read(
-        child_results(raw, children_of(files, "infrastructureAsCodeIssues", "targetFile")),
+        child_results(raw, form),
         "id string, severity string, lineNumber int, issue string, impact string, title string, subType string, "
         "resolve string, publicId string, documentation string, references string",
     )
@@ -572,11 +613,14 @@ def trivy_container(
     parsed results, never the reports' texts."""
     fixed = FIXED["trivy-container"]
     no_fix, upgrade, to_version = fixed["remediation"]
-    scanned = parents("Results", "Target string, Type string, Vulnerabilities array<string>")
+    result_ddl = "Target string, Type string, Vulnerabilities array<string>"
+    scanned = in_object(
+        "Results array<string>", lambda doc: children_of(each_object(doc.Results, result_ddl), "Vulnerabilities", "Target", "Type")
+    )
     image_name = image_tag(dirname(F.col("target")), image_prefix) if build_images else F.col("target")
     named = raw if by_scan is not None else raw.withColumn("_image", image_name)  # once per report
     rows = read(
-        child_results(named, children_of(scanned, "Vulnerabilities", "Target", "Type")),
+        child_results(named, scanned),
         "VulnerabilityID string, PkgName string, InstalledVersion string, FixedVersion string, Severity string, "
         "Description string, References string, CVSS string",
     )
