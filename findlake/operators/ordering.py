@@ -84,11 +84,12 @@ def hot_join(
     """Join rows to a small-per-key side when one key may own a third of the left rows.
 
     The left rows of a key are spread over ``salts`` tasks by a hash of ``spread_by`` (stable
-    under re-runs), and the right side, one row per key, is repeated once per salt. If the right
-    side turns out small, Spark broadcasts it by its measured size and the salt costs nothing.
+    under re-runs), and the right side, one row per key, is repeated once per salt. It is never
+    broadcast: Spark would go by its size before it is repeated, or after compression, which hides
+    the copies, and the driver would hold them all.
     """
     on = list(on)
     salts = salts or salts_for(left)
     salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
+    return salted_left.join(salted_right.hint("merge"), [*on, "_salt"], how).drop("_salt")

@@ -116,3 +116,11 @@ def test_hot_join_spreads_the_hot_key(spark, df):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_a_hot_join_repeats_nothing_on_the_driver(spark, df):
+    right = spark.createDataFrame([("hot", 1), ("g1", 2)], "g string, v int")
+    for how in ("left", "inner", "left_semi", "left_anti"):
+        joined = hot_join(df, right, ["g"], how)
+        joined.collect()
+        assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
