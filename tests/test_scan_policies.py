@@ -142,3 +142,12 @@ def test_path_index_by_scan_and_without_a_cross_join(spark):
 
 def test_single_configuration_is_as_before(reports):
     assert normalize_all(reports.where("scan_id = 'plain'"), None, {}).count() > 15
+
+
+def test_a_seed_is_chosen_once_for_all_scans_with_a_pattern(spark):
+    shared = [(f"s{i}", "abc") for i in range(5)] + [("s0", "bcd"), ("s1", "x**/y")]
+    found = path_index.seeds(spark.createDataFrame(shared, "scan_id string, pattern string"), ["scan_id"])
+    got = sorted((r["scan_id"], r["_pattern"], r["_seed"]) for r in found.collect())
+    assert got == sorted([(f"s{i}", "abc", "ab") for i in range(5)] + [("s0", "bcd", "cd"), ("s1", "x**/y", "**/y"), ("s1", "xy", "xy")])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("Generate" in line and "scan_id" in line and "_seed" in line for line in plan.splitlines())
