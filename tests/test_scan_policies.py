@@ -12,6 +12,7 @@ from findlake.functions import path_excluded
 from findlake.model import RAW_REPORTS
 from findlake.operators import classify, path_index
 from findlake.plans.scan_flow import normalize_all, run_scans
+from findlake.session import shuffle_partitions
 from findlake.sources import policies
 from findlake.sources.config import POLICY_CONFIG
 
@@ -144,6 +145,15 @@ def test_single_configuration_is_as_before(reports):
     assert normalize_all(reports.where("scan_id = 'plain'"), None, {}).count() > 15
 
 
+def test_configurations_are_read_by_as_many_tasks_as_a_shuffle_starts_with(spark):
+    scans = spark.range(40).selectExpr("concat('s', id) AS scan_id")
+    configs = scans.selectExpr("scan_id", "'{\"severity\":{\"fail_on\":\"LOW\"}}' AS config")
+    parsed = policies.parsed_configs(scans, configs, {})
+    assert parsed.select("scan_id").rdd.getNumPartitions() == shuffle_partitions(spark)
+    assert "Broadcast" not in parsed._jdf.queryExecution().executedPlan().toString()
+    assert {r[0] for r in policies.settings(parsed).select("_fail_on").collect()} == {"LOW"} and parsed.count() == 40
+
+
 def test_a_seed_is_chosen_once_for_all_scans_with_a_pattern(spark):
     shared = [(f"s{i}", "abc") for i in range(5)] + [("s0", "bcd"), ("s1", "x**/y")]
     found = path_index.seeds(spark.createDataFrame(shared, "scan_id string, pattern string"), ["scan_id"])
