@@ -609,7 +609,9 @@ def file_inventory(spark, sf):
     """The documents as files, a folder for every eight, listed and read again as bytes."""
     folder = shared_dir(spark, "checkouts")
     texts = inputs.table(spark, sf, "documents").select(F.expr("concat('s', doc_id div 8)").alias("scan"), "text")
-    texts.repartition("scan").write.partitionBy("scan").text(folder)
+    # A folder for every eight documents: tasks put their own in place, not the driver one by one.
+    placed = texts.repartition("scan").write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    placed.partitionBy("scan").text(folder)
     found = read_files(spark, folder, "*.txt")
     return found.groupBy("scan_id").agg(
         F.count_if("read_ok").alias("files"), F.sum(F.length("content")).alias("chars"), F.sum(F.octet_length("content")).alias("bytes")

@@ -3,7 +3,8 @@
 Spark's own file sources pass over empty files and over names that start with a dot or an
 underscore, so ``__init__.py``, ``.env`` or ``.github/`` would be missing from the inventory.
 The folder is therefore walked by tasks: each round lists the directories found by the round
-before, and the files are then read in parallel, spread by path. The driver sees no names.
+before, and the files are then read in parallel, spread by path. The driver sees no names. Names are
+short and what they stand for is not, so the number of tasks never goes by the bytes of the names.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from findlake.session import materialize
+from findlake.session import materialize, shuffle_partitions
 
 # Texts are handed back to Spark in batches of about this many characters.
 BATCH_CHARS = 16 << 20
@@ -55,7 +56,7 @@ def walk_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     found = None
     folders = spark.range(1).select(F.lit(open_folder(root)[1]).alias("full_path"))
     while not folders.isEmpty():
-        listing = folders.repartition("full_path").mapInPandas(list_folders, "full_path string, is_folder boolean")
+        listing = folders.repartition(shuffle_partitions(spark), "full_path").mapInPandas(list_folders, "full_path string, is_folder boolean")
         entries = materialize(listing, "listing")
         files = entries.where("not is_folder").select("full_path")
         found = files if found is None else found.unionByName(files)
@@ -93,7 +94,8 @@ def read_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
 
     schema = "scan_id string, repo string, path string, content string, read_ok boolean"
     inside = F.contains(F.substr("full_path", F.lit(len(base) + 2)), F.lit("/"))  # files beside the scans are none
-    return walk_files(spark, root, glob).where(inside).repartition("full_path").mapInPandas(read, schema)
+    found = walk_files(spark, root, glob).where(inside)
+    return found.repartition(shuffle_partitions(spark), "full_path").mapInPandas(read, schema)
 
 
 def unreadable(files: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from findlake.model import RAW_REPORTS
 from findlake.operators import classify
 from findlake.operators.secrets import secret_lines
 from findlake.plans.scan_flow import normalize_all, run_scans
-from findlake.session import materialize, remove_written, shared_dir
+from findlake.session import materialize, remove_written, shared_dir, shuffle_partitions
 from findlake.sources import config as cfg
 from findlake.sources.files import read_files, unreadable
 from findlake.sources.reports import lay_out_by_tool, read_raw_reports
@@ -234,3 +234,12 @@ def test_errors_are_listed_and_stop_nothing(spark, raw):
     assert whole == [("tflint", "report"), ("tfsec", "no scan"), ("tfsec", "number")]
     assert result.findings.count() == 3
     assert [r.scan_id for r in result.status.collect()] == ["s"]
+
+
+def test_files_are_read_by_as_many_tasks_as_a_shuffle_starts_with(spark, tmp_path):
+    for i in range(12):
+        (tmp_path / f"s{i}").mkdir()
+        (tmp_path / f"s{i}" / "a.txt").write_text("x" * i)
+    files = read_files(spark, str(tmp_path))
+    assert files.rdd.getNumPartitions() == shuffle_partitions(spark)
+    assert sorted((r.scan_id, len(r.content)) for r in files.collect()) == sorted((f"s{i}", i) for i in range(12))
