@@ -19,7 +19,7 @@ from findlake.operators.aggregate import deduplicate, with_key
 from findlake.operators.errors import unread, usable
 from findlake.operators.ordering import SALTS
 from findlake.plans.scan_flow import normalize_all
-from findlake.session import remove_folder
+from findlake.session import remove_folder, shuffle_partitions
 from findlake.streaming.runs import RunTable, run_batches
 
 COUNTS = "window_start timestamp, window_end timestamp, severity string, findings bigint"
@@ -94,6 +94,13 @@ def _added(counts: DataFrame) -> DataFrame:
     return counts.groupBy(*keys).agg(F.sum("findings").alias("findings"))
 
 
+def _first_findings(findings: DataFrame) -> DataFrame:
+    """``deduplicate``, which sorts what a task reads before its shuffle: a file is read by one task,
+    however long it is, so the rows are dealt out first."""
+    parts = shuffle_partitions(findings.sparkSession)
+    return deduplicate(findings.repartition(parts, "scan_id", "seq"))
+
+
 def dedup_to_table(findings_stream: DataFrame, folder: str) -> DataFrame:
     """Run the stream to the end of its input and return the first finding, by ``seq``, of each key of
     each scan so far: what ``deduplicate`` gives for all that has arrived.
@@ -101,7 +108,7 @@ def dedup_to_table(findings_stream: DataFrame, folder: str) -> DataFrame:
     No finding is held as state: a later copy with a lower ``seq`` simply wins where runs are merged or
     read, so nothing depends on the order of arrival and nothing has to be released.
     """
-    table = RunTable(findings_stream.sparkSession, f"{folder}/findings", findings_stream.schema, deduplicate)
+    table = RunTable(findings_stream.sparkSession, f"{folder}/findings", findings_stream.schema, _first_findings)
     run_batches(findings_stream, folder, table.write)
     return table.read()
 
@@ -120,7 +127,7 @@ def ingest(raw_stream: DataFrame, folder: str, config: Mapping[str, Any]) -> Arr
     has a run of its own for it, so a batch that is run again replaces all it wrote."""
     spark = raw_stream.sparkSession
     empty = normalize_all(spark.createDataFrame([], raw_stream.schema), None, config)
-    findings = RunTable(spark, f"{folder}/findings", empty.schema, deduplicate)
+    findings = RunTable(spark, f"{folder}/findings", empty.schema, _first_findings)
     counts = RunTable(spark, f"{folder}/counts", TOOL_COUNTS, _added)
     errors = RunTable(spark, f"{folder}/errors", unread(spark.createDataFrame([], raw_stream.schema)).schema, lambda rows: rows)
 

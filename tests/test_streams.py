@@ -143,3 +143,12 @@ def test_nothing_has_arrived(spark, raw, table, tmp_path):
     reports = raw("tflint", "{}")
     got = arrivals.ingest(arrivals.read_arrivals(spark, str(tmp_path / "in"), reports.schema), str(tmp_path / "d"), {})
     assert [t.count() for t in got] == [0, 0, 0]
+
+
+def test_a_long_file_is_dealt_out_before_it_is_sorted(spark, table):
+    rows = table.drop("ts").coalesce(1)
+    found = arrivals._first_findings(rows)
+    assert {r.seq for r in found.collect()} == {r.seq for r in aggregate.deduplicate(rows).collect()}
+    plan = found._jdf.queryExecution().executedPlan().toString().splitlines()
+    first_sort = max(i for i, line in enumerate(plan) if " Sort " in line and "Final Plan" not in line)
+    assert any("REPARTITION_BY_NUM" in line for line in plan[first_sort:])
