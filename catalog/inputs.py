@@ -468,13 +468,19 @@ def raw_report(numbers: DataFrame, tool: str) -> DataFrame:
     )
 
 
+# Events whose reports one task makes, at most.
+EVENTS_A_TASK = 100_000
+
+
 def raw_reports(spark: SparkSession, sf: str, *tools: str) -> DataFrame:
     """Reports of the named tools (all by default), as one table.
 
     The driver's events are one file with one row group, so one task would write all the JSON;
-    the narrow numbers are spread first, as the many files of a real table would be.
+    the narrow numbers are spread first, as the many files of a real table would be: over more
+    tasks the more there are.
     """
-    numbers = numbered_events(spark, sf).repartition(spark.sparkContext.defaultParallelism, "e")
+    tasks = max(spark.sparkContext.defaultParallelism, -(-table(spark, sf, "events").count() // EVENTS_A_TASK))
+    numbers = numbered_events(spark, sf).repartition(tasks, "e")
     names = tools or [t.name for t in TOOLS if t.name in STDOUT]
     out = raw_report(numbers, names[0])
     for name in names[1:]:

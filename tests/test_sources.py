@@ -243,3 +243,24 @@ def test_files_are_read_by_as_many_tasks_as_a_shuffle_starts_with(spark, tmp_pat
     files = read_files(spark, str(tmp_path))
     assert files.rdd.getNumPartitions() == shuffle_partitions(spark)
     assert sorted((r.scan_id, len(r.content)) for r in files.collect()) == sorted((f"s{i}", i) for i in range(12))
+
+
+def test_tables_laid_out_by_a_column_are_not_sorted_by_it(spark, raw, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    key, seen, write = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+    before = spark.conf.get(key, None)
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: (seen.append(int(spark.conf.get(key, "0"))), write(self, *a, **k)))
+    laid = lay_out_by_tool(raw("tflint", "a", "b").union(raw("pylint", "c")))
+    assert seen and seen[0] > 1 and spark.conf.get(key, None) == before
+    assert sorted((r.tool, r.stdout) for r in laid.collect()) == [("pylint", "c"), ("tflint", "a"), ("tflint", "b")]
+
+
+def test_more_events_are_made_into_reports_by_more_tasks(spark, tmp_path, monkeypatch):
+    from catalog import inputs
+
+    events = spark.range(100).selectExpr("id as event_id", "id % 3 as user_id", "cast(id as timestamp) as ts", "concat('k', id) as props")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(inputs, "EVENTS_A_TASK", 4, raising=False)
+    made = inputs.raw_reports(spark, str(tmp_path), "tflint")
+    assert made.rdd.getNumPartitions() == 25 and made.count() == 100
