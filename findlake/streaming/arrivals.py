@@ -19,7 +19,7 @@ from findlake.operators.aggregate import deduplicate, with_key
 from findlake.operators.errors import unread, usable
 from findlake.operators.ordering import SALTS
 from findlake.plans.scan_flow import normalize_all
-from findlake.session import remove_folder, shuffle_partitions
+from findlake.session import remove_folder, shuffle_partitions, unsorted_writes
 from findlake.streaming.runs import RunTable, run_batches
 
 COUNTS = "window_start timestamp, window_end timestamp, severity string, findings bigint"
@@ -133,7 +133,8 @@ def ingest(raw_stream: DataFrame, folder: str, config: Mapping[str, Any]) -> Arr
 
     def take(batch: DataFrame, number: int) -> None:
         work = f"{folder}/work/batch={number}"
-        batch.write.mode("overwrite").partitionBy("tool").parquet(f"{work}/raw")
+        with unsorted_writes(batch.sparkSession):
+            batch.write.mode("overwrite").partitionBy("tool").parquet(f"{work}/raw")
         raw = spark.read.schema(raw_stream.schema).parquet(f"{work}/raw")
         errors.write(unread(raw), number)
         tools = [r["tool"] for r in raw.where(F.col("tool").isin([t.name for t in TOOLS])).select("tool").distinct().collect()]

@@ -66,3 +66,5 @@ def test_reports_are_read_once(raw):
     reports = raw("tflint", "{}")
     plan = errors.result_errors(reports)._jdf.queryExecution().optimizedPlan().toString()
     assert not any("from_json" in line for line in plan.splitlines() if "Filter" in line), plan
+    plan = errors.unread(reports)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and plan.count("Generate") == 1, plan
