@@ -129,15 +129,15 @@ def ingest(raw_stream: DataFrame, folder: str, config: Mapping[str, Any]) -> Arr
     empty = normalize_all(spark.createDataFrame([], raw_stream.schema), None, config)
     findings = RunTable(spark, f"{folder}/findings", empty.schema, deduplicate)
     counts = RunTable(spark, f"{folder}/counts", TOOL_COUNTS, _added)
-    errors = RunTable(spark, f"{folder}/errors", unread(spark.createDataFrame([], raw_stream.schema)).schema, lambda rows: rows)
+    errors = RunTable(spark, f"{folder}/errors", unread(spark.createDataFrame([], raw_stream.schema), []).schema, lambda rows: rows)
 
     def take(batch: DataFrame, number: int) -> None:
         work = f"{folder}/work/batch={number}"
         with unsorted_writes(batch.sparkSession):
             batch.write.mode("overwrite").partitionBy("tool").parquet(f"{work}/raw")
         raw = spark.read.schema(raw_stream.schema).parquet(f"{work}/raw")
-        errors.write(unread(raw), number)
         tools = [r["tool"] for r in raw.where(F.col("tool").isin([t.name for t in TOOLS])).select("tool").distinct().collect()]
+        errors.write(unread(raw, tools), number)
         normalize_all(usable(raw), None, config, tools).write.mode("overwrite").parquet(f"{work}/found")
         found = spark.read.schema(empty.schema).parquet(f"{work}/found")
         counts.write(found.groupBy("scan_id", "tool", "severity").agg(F.count(F.lit(1)).alias("findings")), number)
