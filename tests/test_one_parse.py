@@ -37,3 +37,29 @@ def test_safety_lists_and_objects(raw):
     outputs = [json.dumps([item]), json.dumps({"vulnerabilities": [item]}), json.dumps({"scanned_packages": {"vulnerabilities": [item]}}),
                '{"listed":[[{"cve":"x"}],["findlake_whole"]]}', '[{}]],"vulnerabilities":[{}],"x":[[1]', "[]", "{}"]
     assert [r["seq"] >> n.POSITION_BITS & 7 for r in rows(n.safety(raw("safety", *outputs)))] == [0, 1, 2]
+
+
+ODD = ["null", "5", "true", '"x"', "[1]", "{}", '{"a":1}', '["s"]']
+KIDS = '[{"ID":"A","id":"A","VulnerabilityID":"A"}]'
+PARENTS = {
+    "trivy": ("Target", "Misconfigurations", '{"Results":[%s]}'),
+    "trivy-container": ("Target", "Vulnerabilities", '{"Results":[%s]}'),
+    "cfn-nag": ("filename", "file_results", "[%s]"),
+    "snyk-iac": ("targetFile", "infrastructureAsCodeIssues", "[%s]"),
+}
+
+
+@pytest.mark.parametrize("tool", sorted(PARENTS))
+def test_parents_are_read_at_once_and_an_odd_one_hides_no_other(raw, tool):
+    name, child, report = PARENTS[tool]
+    kids = '{"violations":%s}' % KIDS if tool == "cfn-nag" else KIDS
+    good = '{"%s":"good","%s":%s}' % (name, child, kids)
+    odd = [*ODD, *['{"%s":%s,"%s":%s}' % (name, o, child, kids) for o in ODD], *['{"%s":"f","%s":%s}' % (name, child, o) for o in ODD]]
+    found = n.NORMALIZERS[tool](raw(tool, *[report % f"{good},{o},{good}" for o in odd], report % ",".join([good, *odd])), {})
+    per_report = {i: 0 for i in range(len(odd) + 1)}
+    for r in rows(found):
+        per_report[r["seq"] >> n.POSITION_BITS & 63] += 1
+    named = range(len(ODD), 2 * len(ODD))  # an odd name leaves the children there
+    assert per_report == {**{i: 3 if i in named else 2 for i in range(len(odd))}, len(odd): 1 + len(ODD)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "THEN from_json(" not in plan, plan  # one parse for all parents, not one for each
