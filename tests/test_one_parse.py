@@ -63,3 +63,13 @@ def test_parents_are_read_at_once_and_an_odd_one_hides_no_other(raw, tool):
     assert per_report == {**{i: 3 if i in named else 2 for i in range(len(odd))}, len(odd): 1 + len(ODD)}
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "THEN from_json(" not in plan, plan  # one parse for all parents, not one for each
+
+
+@pytest.mark.parametrize("text", [r"{", r"{oops", r"{},{", r"{},{}", r"{\"a\":1} x", r"\u007b\"a\":", r"\u007B"])
+@pytest.mark.parametrize("tool", sorted(PARENTS))
+def test_a_text_that_begins_like_a_parent_hides_no_other(raw, tool, text):
+    name, child, report = PARENTS[tool]
+    kids = '{"violations":%s}' % KIDS if tool == "cfn-nag" else KIDS
+    good = '{"%s":"good","%s":%s}' % (name, child, kids)
+    found = rows(n.NORMALIZERS[tool](raw(tool, report % f'"{text}",{good}', report % f'{good},"{text}",{good}'), {}))
+    assert sorted(r["seq"] >> n.POSITION_BITS & 1 for r in found) == [0, 1, 1]
