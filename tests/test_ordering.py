@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -124,3 +125,12 @@ def test_a_hot_join_repeats_nothing_on_the_driver(spark, df):
         joined = hot_join(df, right, ["g"], how)
         joined.collect()
         assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_first_by_sorts_by_a_hash_before_the_keys(spark):
+    rows = [("scan-1", "a", 3), ("scan-1", "a", 1), ("scan-1", None, 2), (None, "a", 5), (None, "a", 4), (None, None, 6), ("scan-1", None, 7)]
+    first = first_by(spark.createDataFrame(rows, "scan_id string, key string, seq int"), ["scan_id", "key"])
+    assert sorted(r.seq for r in first.collect()) == [1, 2, 4, 6]
+    plan = first._jdf.queryExecution().optimizedPlan().toString()
+    hashed = re.search(r"xxhash64\(scan_id#\d+, key#\d+, \d+\) AS (_w\d+#\d+L)", plan)
+    assert hashed and f"WindowGroupLimit [{hashed[1]}, scan_id" in plan, plan
