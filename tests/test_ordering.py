@@ -8,7 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from findlake.operators.ordering import first_by, hot_join, numbered, top_by
+from findlake.operators.ordering import first_by, frequent, hot_join, numbered, top_by
 
 random.seed(3)
 # A third and more of all rows in one group; orders far apart and close together.
@@ -134,3 +134,30 @@ def test_first_by_sorts_by_a_hash_before_the_keys(spark):
     plan = first._jdf.queryExecution().optimizedPlan().toString()
     hashed = re.search(r"xxhash64\(scan_id#\d+, key#\d+, \d+\) AS (_w\d+#\d+L)", plan)
     assert hashed and f"WindowGroupLimit [{hashed[1]}, scan_id" in plan, plan
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_hot_join_repeats_only_the_keys_that_are_hot(spark, df, how):
+    left = df.unionByName(spark.createDataFrame([(None, 5), ("g3", 6)], "g string, seq bigint"))
+    right = spark.createDataFrame([("hot", 1), ("none", 3), (None, 4), *[(f"g{i}", i) for i in range(30)]], "g string, v int")
+    hot = frequent(left, ["g"], 300)
+    assert hot.count() == 1
+    got, expected = hot_join(left, right, ["g"], how, hot=hot), left.join(right, "g", how)
+    assert sorted(got.columns) == sorted(expected.columns)
+    order = expected.columns
+    assert sorted(map(tuple, got.select(order).collect()), key=str) == sorted(map(tuple, expected.collect()), key=str)
+    repeated = re.search(r"Generate explode.*_spread", got._jdf.queryExecution().optimizedPlan().toString())
+    assert repeated, "the right side is repeated without a look at what is hot"
+
+
+def test_a_hot_key_is_spread_and_the_others_are_not_repeated(spark, df):
+    right = spark.createDataFrame([(g, 1) for g in ("hot", "g1", "g2", "g3")], "g string, v int")
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        joined = hot_join(df, right, ["g"], "inner", hot=frequent(df, ["g"], 300))
+        tasks = joined.groupBy("g", F.spark_partition_id().alias("task")).count().groupBy("g").count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
+    spread = {r.g: r["count"] for r in tasks}
+    assert spread["hot"] > 4 and spread["g1"] == 1

@@ -161,3 +161,45 @@ def test_a_seed_is_chosen_once_for_all_scans_with_a_pattern(spark):
     assert got == sorted([(f"s{i}", "abc", "ab") for i in range(5)] + [("s0", "bcd", "cd"), ("s1", "x**/y", "**/y"), ("s1", "xy", "xy")])
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert not any("Generate" in line and "scan_id" in line and "_seed" in line for line in plan.splitlines())
+
+
+def _brute(paths, patterns):
+    forms = {f for p in patterns for f in ({p.strip(), p.strip().replace("**/", "").replace("**", "")} if "**" in p else {p.strip()})}
+    return {p for p in paths if any(f in p for f in forms)}
+
+
+@pytest.mark.parametrize("words", [8, 1])
+def test_a_path_that_meets_many_patterns_is_shuffled_once(spark, monkeypatch, words):
+    chance = random.Random(5)
+    paths = sorted({"x/" + "".join(chance.choice("abcdeé/") for _ in range(60)).replace("//", "/a").rstrip("/") + "z" for _ in range(80)})
+    patterns = sorted({p[i : i + n] for p in paths[:60] for i in range(0, 50, 3) for n in range(6, 13)})
+    paths += [f"none-{i}" for i in range(300)]
+    counts = []
+    kept = path_index.materialize
+    monkeypatch.setattr(path_index, "materialize", lambda df, name: counts.append((name, (out := kept(df, name)).count())) or out)
+    if words == 1:  # a filter that lets most through
+        monkeypatch.setattr(path_index, "WORDS", 1)
+        monkeypatch.setattr(path_index, "BLOCKS", 4)
+    rows = spark.createDataFrame([(p,) for p in paths], "path string")
+    found = path_index.excluded_paths(rows, spark.createDataFrame([(p,) for p in patterns], "pattern string"), [])
+    got = [r.path for r in found.collect()]
+    assert len(got) == len(set(got)) and set(got) == _brute(paths, patterns) and len(patterns) > 5000
+    first, rest = [n for name, n in counts if name == "path-candidates"]
+    if words == 8:
+        assert 60 <= first <= 80 and rest < 10  # before, a row for each of the thousands of pieces
+    else:
+        assert rest > 100
+
+
+def test_long_patterns_are_found_by_their_seeds_beside_short_ones(spark):
+    chance = random.Random(6)
+    paths = sorted({"p/" + "".join(chance.choice("abcé") for _ in range(90)) for _ in range(60)})
+    patterns = [p[7 : 7 + path_index.WHOLE + 1 + i % 40] for i, p in enumerate(paths[:20])]
+    patterns += [p[9 : 9 + path_index.WHOLE] for p in paths[15:25]] + [paths[30][:40] + "!", "**" + paths[40][20:60] + "**/"]
+    rows = spark.createDataFrame([(s, p) for s in ("s", "t", None) for p in paths], "scan_id string, path string")
+    listed = spark.createDataFrame([("s", p) for p in patterns] + [(None, p) for p in paths], "scan_id string, pattern string")
+    got = sorted(map(tuple, path_index.excluded_paths(rows, listed, ["scan_id"]).collect()))
+    assert got == [("s", p) for p in sorted(_brute(paths, patterns))] and len(got) == 26
+    longer = listed.where(f"length(pattern) > {path_index.WHOLE} and scan_id = 's'")
+    alone = [p for p in patterns if len(p) > path_index.WHOLE]
+    assert {r.path for r in path_index.excluded_paths(rows, longer, ["scan_id"]).collect()} == _brute(paths, alone)
