@@ -11,6 +11,9 @@ from findlake.operators.ordering import hot_join, numbered
 from findlake.session import materialize, shuffle_partitions
 from findlake.sources.dims import dimension
 
+# Runs, a narrow row each, that are sent to every executor at most.
+MOST_RUNS = 100_000
+
 
 def baseline_diff(current: DataFrame, baseline: DataFrame) -> DataFrame:
     """(scan_id, key, state): new, same or fixed against the baseline run.
@@ -102,8 +105,8 @@ def run_changes(spark: SparkSession, name: str, wanted: DataFrame | None = None)
 
     A repository's first run, and a run without a repository, have only new keys. A run is the
     predecessor of one run at most, so its stored keys are compared once and stay in their buckets;
-    only the later run's keys are shuffled, to where the earlier ones lie. Runs meet their keys by a
-    salted join, a broadcast as long as the table of runs is small.
+    only the later run's keys are shuffled, to where the earlier ones lie. Runs meet their keys where these
+    lie as long as there are ``MOST_RUNS`` at most, which are sent to every executor; beyond that by a salted join.
     """
     timed = stored_runs(spark, name).withColumn("_micros", F.unix_micros("scan_ts"))
     ordered = numbered(timed, ["repository"], "_micros", "_run", ties=["scan_id"])
@@ -112,10 +115,15 @@ def run_changes(spark: SparkSession, name: str, wanted: DataFrame | None = None)
     if wanted is not None:
         pairs = pairs.join(wanted.select("scan_id").distinct(), "scan_id", "left_semi")
     pairs = materialize(pairs, "run-pairs")
+    few = pairs.count() <= MOST_RUNS
     keys = spark.table(f"{name}_keys").distinct()  # within buckets
-    now = hot_join(keys, pairs, ["scan_id"], "inner", spread_by=["key"])
+
+    def of_runs(runs: DataFrame) -> DataFrame:
+        return keys.join(F.broadcast(runs), "scan_id") if few else hot_join(keys, runs, ["scan_id"], "inner", spread_by=["key"])
+
+    now = of_runs(pairs)
     followed = pairs.where("previous IS NOT NULL").select(F.col("previous").alias("scan_id"), F.col("scan_id").alias("_later"))
-    before = hot_join(keys, followed, ["scan_id"], "inner", spread_by=["key"]).select(
+    before = of_runs(followed).select(
         F.col("scan_id").alias("_before"), F.col("key").alias("_key"), "_later"
     )
     same = (F.col("previous") == F.col("_before")) & (F.col("key") == F.col("_key"))

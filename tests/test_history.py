@@ -106,3 +106,13 @@ def test_stored_keys_stay_in_their_buckets(spark, findings, kept):
                     at = depth[j]
             shuffles.append(above)
     assert sorted(shuffles) == [0, 1], "\n".join(plan)
+
+
+def test_many_runs_meet_their_keys_by_a_salted_join(spark, findings, kept, monkeypatch):
+    append, name = kept
+    append(findings(*of("a", "A", "C"), *of("b", "A", "B")), ("a", "r", 1), ("b", "r", 2))
+    few = changes(spark, name)
+    monkeypatch.setattr(history, "MOST_RUNS", 0)
+    assert changes(spark, name) == few and len(few) == 5
+    plan = history.run_changes(spark, name)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan
